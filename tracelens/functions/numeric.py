@@ -1,0 +1,59 @@
+"""Numeric column helpers.
+
+Rounding rule
+-------------
+``round_half_up(x, n)`` first fixes the double at 8 decimals and then
+rounds the decimal half away from zero.  Rounding a binary double directly
+is engine dependent (1.005 is stored as 1.00499...; a decimal-based engine
+gives 1.01, a binary one 1.0).  Fixing 8 decimals first also absorbs the
+last-bit noise of sums taken in a different order on different
+partitionings, so the same data gives the same rounded value however it
+was split.  ``round_half_even`` mirrors Python's ``round``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# Fixed decimal type used to pin a double before rounding.
+PIN_TYPE = "decimal(38,8)"
+
+
+def _col(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def round_half_up(col: Column | str, digits: int) -> Column:
+    """Round half away from zero to ``digits``; result DOUBLE (F2)."""
+    return F.round(_col(col).cast(PIN_TYPE), digits).cast("double")
+
+
+def round_half_even(col: Column | str, digits: int) -> Column:
+    """Banker's rounding, as Python's ``round`` does; result DOUBLE."""
+    return F.bround(_col(col).cast(PIN_TYPE), digits).cast("double")
+
+
+def round_sql(expr: str, digits: int) -> str:
+    """The same rounding rule as SQL text (for oracle queries)."""
+    return f"CAST(round(CAST({expr} AS DECIMAL(38,8)), {digits}) AS DOUBLE)"
+
+
+def scale_round(col: Column | str, factor: float = 100.0, digits: int = 4) -> Column:
+    """``round(x * factor, digits)``: a fraction as a percentage (F1)."""
+    return round_half_up(_col(col).cast("double") * F.lit(float(factor)), digits)
+
+
+def difference(a: Column | str, b: Column | str) -> Column:
+    """``a - b``."""
+    return _col(a) - _col(b)
+
+
+def ratio(num: Column | str, den: Column | str) -> Column:
+    """``num / den`` as DOUBLE; null when the denominator is 0."""
+    return _col(num).cast("double") / F.nullif(_col(den).cast("double"), F.lit(0.0))
+
+
+def clamp(col: Column | str, lo: Column | str, hi: Column | str) -> Column:
+    """Limit ``col`` to ``[lo, hi]``."""
+    return F.least(F.greatest(_col(col), _col(lo)), _col(hi))
