@@ -34,14 +34,24 @@ def equal_width_histogram(df: DataFrame, col: str, bins: int = 10, *,
         raise ValueError("bins must be positive")
     x = F.col(col).cast("double")
     present = df.where(x.isNotNull())
+    # One scalar subquery for the range, projected once per side as a struct
+    # column; later expressions read its fields, so the subquery is not
+    # copied into every expression that needs lo or hi.
     rng = present.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
-    lo0, hi0 = rng.getField("lo"), rng.getField("hi")
-    lo = F.when(lo0 == hi0, lo0 - F.lit(0.5)).otherwise(lo0)
-    hi = F.when(lo0 == hi0, hi0 + F.lit(0.5)).otherwise(hi0)
-    step = (hi - lo) / F.lit(float(bins))
 
-    staged = present.select(x.alias("_x"), lo.alias("_lo"), hi.alias("_hi"), step.alias("_step"))
-    xs, los, his, steps = F.col("_x"), F.col("_lo"), F.col("_hi"), F.col("_step")
+    def with_range(frame: DataFrame) -> DataFrame:
+        frame = frame.withColumn("_r", rng)
+        lo0, hi0 = F.col("_r.lo"), F.col("_r.hi")
+        frame = frame.select(
+            *[c for c in frame.columns if c != "_r"],
+            F.when(lo0 == hi0, lo0 - F.lit(0.5)).otherwise(lo0).alias("_lo"),
+            F.when(lo0 == hi0, hi0 + F.lit(0.5)).otherwise(hi0).alias("_hi"),
+        )
+        return frame.withColumn("_step", (F.col("_hi") - F.col("_lo")) / F.lit(float(bins)))
+
+    los, his, steps = F.col("_lo"), F.col("_hi"), F.col("_step")
+    staged = with_range(present.select(x.alias("_x")))
+    xs = F.col("_x")
     # First guess from the scaled offset, then a one-step correction against
     # the actual edges (floating error near an edge can be off by one).
     guess = F.least(F.floor((xs - los) / (his - los) * F.lit(float(bins))).cast("int"),
@@ -58,11 +68,11 @@ def equal_width_histogram(df: DataFrame, col: str, bins: int = 10, *,
     counts = staged.groupBy(F.col("_i").alias("bin")).agg(F.count(F.lit(1)).alias(name))
 
     spark = df.sparkSession
-    ids = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
+    ids = with_range(spark.range(bins).select(F.col("id").cast("int").alias("bin")))
     edges = ids.select(
         "bin",
-        _edge(F.col("bin"), lo, hi, step, bins).alias("bin_lo"),
-        _edge(F.col("bin") + 1, lo, hi, step, bins).alias("bin_hi"),
+        _edge(F.col("bin"), los, his, steps, bins).alias("bin_lo"),
+        _edge(F.col("bin") + 1, los, his, steps, bins).alias("bin_hi"),
     )
     how = "left" if fill_empty else "inner"
     out = edges.join(F.broadcast(counts), on="bin", how=how)
