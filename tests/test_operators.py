@@ -1,0 +1,148 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan_text, rows
+from tracelens import operators as op
+
+
+@pytest.fixture(scope="module")
+def kv(spark):
+    data = [("a", 1), ("a", 1), ("a", 2), ("b", None), ("b", 3), (None, 4), (None, None)]
+    return spark.createDataFrame(data, "k string, v long")
+
+
+def test_value_counts_na_group(kv):
+    got = rows(op.value_counts(kv, "k", missing_label="NA"))
+    assert got == [("NA", 2), ("a", 3), ("b", 2)]
+    typed = rows(op.value_counts(kv, "k"))
+    assert (None, 2) in typed
+
+
+def test_distinct_per_key_missing_counts_once(kv):
+    got = dict(rows(op.distinct_per_key(kv, "k", "v")))
+    assert got == {"a": 2, "b": 2, None: 2}
+    plain = dict(rows(op.distinct_per_key(kv, "k", "v", count_missing=False)))
+    assert plain == {"a": 2, "b": 1, None: 1}
+    approx = dict(rows(op.distinct_per_key(kv, "k", "v", count_missing=False, approx=True)))
+    assert approx == plain
+
+
+def test_distinct_and_rows_and_frequency(kv):
+    got = rows(op.distinct_and_rows(kv, "k", "v"))
+    assert got == [("a", 2, 3), ("b", 1, 2), (None, 1, 2)]
+    counts = op.rows_per_key(kv, "k")
+    assert rows(op.frequency_of_counts(counts, "n_rows")) == [(2, 2), (3, 1)]
+    assert op.count_present(kv, "v").collect()[0][0] == 5
+    assert op.distinct_rows(kv, "k").count() == 3
+
+
+def test_summary_stats_against_numpy(spark):
+    sizes = [1, 2, 2, 3, 10, 40]
+    df = spark.createDataFrame([(s,) for s in sizes], "n long")
+    r = op.summary_stats(df, "n", digits=None).collect()[0]
+    arr = np.array(sizes, dtype=float)
+    assert r["mean"] == pytest.approx(arr.mean())
+    assert r["std_samp"] == pytest.approx(arr.std(ddof=1))
+    assert r["std_pop"] == pytest.approx(arr.std())
+    assert (r["min"], r["max"]) == (1, 40)
+    assert r["low_mean"] == pytest.approx(max(arr.mean() - arr.std(), 1))
+    assert r["high_mean"] == pytest.approx(min(arr.mean() + arr.std(), 40))
+    one = op.summary_stats(spark.createDataFrame([(5,)], "n long"), "n").collect()[0]
+    assert one["std_samp"] is None and one["std_pop"] == 0.0
+
+
+def test_medians(spark):
+    df = spark.createDataFrame([(x,) for x in [5, 1, 3, 8]], "n long")
+    assert op.exact_median(df, "n").collect()[0][0] == 4.0  # interpolated like numpy
+    assert op.approx_median(df, "n").collect()[0][0] in (3, 5)
+
+
+def test_top_and_bottom_k_with_ties(spark):
+    df = spark.createDataFrame([(k, n) for k, n in [(5, 2), (1, 2), (3, 9), (2, 2), (4, 1)]],
+                               "k long, n long")
+    assert [r.k for r in op.top_k(df, "n", 3, tie_break="k").collect()] == [3, 1, 2]
+    assert [r.k for r in op.bottom_k(df, "n", 2, tie_break="k").collect()] == [4, 1]
+    assert [r.k for r in op.sort_by(df, "n", tie_break="k").collect()] == [4, 1, 2, 5, 3]
+    assert "TakeOrderedAndProject" in plan_text(op.top_k(df, "n", 3, tie_break="k"))
+
+
+def test_share_and_rate(spark):
+    df = spark.createDataFrame([("x", 1), ("y", 3)], "k string, n long")
+    got = rows(op.share_of_total(df, "n", name="p", digits=4))
+    assert got == [("x", 1, 0.25), ("y", 3, 0.75)]
+    pct = rows(op.share_of_total(df, "n", name="p", digits=2, percent=True))
+    assert [p for _, _, p in pct] == [25.0, 75.0]
+    ev = spark.createDataFrame([(0, True), (0, False), (1, None), (1, True)], "g int, e boolean")
+    got = rows(op.rate_per_group(ev, "g", F.col("e")))
+    assert got == [(0, 2, 1, 0.5), (1, 2, 1, 0.5)]
+
+
+@pytest.mark.parametrize("values", [
+    list(np.random.default_rng(1).normal(0, 50, 500).round(2)),
+    [0.1 * i for i in range(101)],
+    [3.0] * 7,                      # hi == lo: numpy uses lo-0.5 .. hi+0.5
+    [1.0, 2.0, 10.0],               # empty middle bins
+])
+def test_histogram_equals_numpy(spark, values):
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double")
+    got = op.equal_width_histogram(df, "x", 10).orderBy("bin").collect()
+    counts, edges = np.histogram(np.array(values, dtype=float), bins=10)
+    assert [r.n_rows for r in got] == list(counts)
+    assert [r.bin_lo for r in got] == list(edges[:-1])
+    assert [r.bin_hi for r in got] == list(edges[1:])
+
+
+def test_histogram_plan_has_few_subqueries(spark):
+    df = spark.range(100).select((F.col("id") * 1.5).alias("x"))
+    plan = plan_text(op.equal_width_histogram(df, "x", 10))
+    assert 1 <= plan.count("Subquery subquery") <= 4
+
+
+def test_integer_histogram(spark):
+    df = spark.createDataFrame([(99.4,), (99.5,), (1.2,), (None,)], "p double")
+    assert rows(op.integer_histogram(df, "p")) == [(1, 1), (99, 1), (100, 1)]
+
+
+def test_semi_join_does_not_duplicate(spark):
+    left = spark.createDataFrame([(1, 10.0), (2, 20.0)], "job long, peak double")
+    events = spark.createDataFrame([(1,), (1,), (1,), (3,)], "job long")
+    assert rows(op.semi_join(left, events, "job")) == [(1, 10.0)]
+    assert rows(op.join_on_keys(left, left, "job")) == [(1, 10.0, 10.0), (2, 20.0, 20.0)]
+
+
+def test_transition_delay(spark):
+    ev = spark.createDataFrame([
+        (1, 0, 0, 10), (1, 0, 0, 12), (1, 0, 1, 15),   # first submit wins: 5
+        (1, 1, 0, 9), (1, 1, 3, 30), (1, 1, 1, 25),    # first exit among codes: 16
+        (2, 0, 0, 50), (2, 0, 5, 40),                  # exit before submit: -10
+        (3, 0, 0, 5),                                  # never leaves: dropped
+        (4, 0, 6, 5),                                  # never submitted: dropped
+    ], "job long, task long, ev int, t long")
+    d = op.transition_delay(ev, ["job", "task"], "ev", [0], [1, 3, 5, 6], "t")
+    assert rows(d) == [(1, 0, 5), (1, 1, 16), (2, 0, -10)]
+    assert rows(op.positive_delays(d)) == [(1, 0, 5), (1, 1, 16)]
+    secs = op.transition_delay(ev, ["job", "task"], "ev", [0], [1], "t", time_scale=2)
+    assert rows(secs) == [(1, 0, 2.5), (1, 1, 8.0)]
+    first = op.first_event_time(ev, "job", "ev", [0], "t")
+    assert dict(rows(first)) == {1: 9, 2: 50, 3: 5}  # 9 < 10 numerically
+
+
+def test_mean_rows_per_key(spark):
+    c = spark.createDataFrame([(1, 0)] * 2 + [(1, 1)] * 4 + [(2, 0)] * 60, "job long, task long")
+    assert rows(op.mean_rows_per_key(c, "job", "task")) == [(1, 3.0), (2, 60.0)]
+    assert rows(op.mean_rows_per_key(c, "job", "task", below=50)) == [(1, 3.0)]
+    assert rows(op.two_level_mean(c, "job", "task", "m")) == [(1, 3.0), (2, 60.0)]
+
+
+def test_per_key_aggregates(spark):
+    df = spark.createDataFrame([(1, 2.0), (1, 4.0), (2, None)], "k long, v double")
+    assert rows(op.mean_per_key(df, "k", "v", "m")) == [(1, 3.0), (2, None)]
+    assert rows(op.min_per_key(df, "k", "v", "m")) == [(1, 2.0), (2, None)]
+    assert rows(op.max_per_key(df, "k", "v", "m")) == [(1, 4.0), (2, None)]
+    assert rows(op.sum_per_key(df, "k", "v", "m")) == [(1, 6.0), (2, None)]
+    c = op.correlation(spark.createDataFrame([(1.0, 2.0), (2.0, 4.1), (3.0, 6.0)], "x double, y double"),
+                       "x", "y")
+    assert c.collect()[0][0] == pytest.approx(np.corrcoef([1, 2, 3], [2, 4.1, 6])[0, 1], abs=1e-6)

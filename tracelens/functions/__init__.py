@@ -7,7 +7,7 @@ from tracelens.functions.missing import (
     missing_if_equal,
     numeric,
 )
-from tracelens.functions.numeric import (
+from tracelens.functions.arith import (
     clamp,
     difference,
     ratio,

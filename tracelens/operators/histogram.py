@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracelens.functions.numeric import round_half_up
+from tracelens.functions.arith import round_half_up
 
 
 def _edge(i: Column, lo: Column, hi: Column, step: Column, bins: int) -> Column:

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracelens.functions.numeric import ratio, round_half_up
+from tracelens.functions.arith import ratio, round_half_up
 
 
 def total_of(df: DataFrame, col: str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelens.functions.numeric import clamp, round_half_up
+from tracelens.functions.arith import clamp, round_half_up
 
 
 def _list(cols: str | Sequence[str]) -> list[str]:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracelens.functions.missing import NA, is_present
-from tracelens.functions.numeric import round_half_up, scale_round
+from tracelens.functions.arith import round_half_up, scale_round
 from tracelens.operators.counting import (
     distinct_and_rows,
     distinct_per_key,

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelens.functions.numeric import round_sql as R
+from tracelens.functions.arith import round_sql as R
 from tracelens.plans import analyses as A
 from tracelens.plans import bindings as B
 from tracelens.sources import readers, sinks
