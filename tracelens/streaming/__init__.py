@@ -1,0 +1,8 @@
+from tracelens.streaming.incremental import (
+    running_first_transitions,
+    running_value_counts,
+    start,
+    stream_trace_table,
+)
+
+__all__ = ["running_first_transitions", "running_value_counts", "start", "stream_trace_table"]
