@@ -113,3 +113,19 @@ def test_analyses_on_empty_input(spark, trace_dir):
     assert A.first_transition_delay(empty, empty.select("job_id", "task_index")).count() == 0
     hist = A.delta_histogram(empty.selectExpr("cpu_request AS delta")).collect()
     assert len(hist) == 10 and all(r.n_rows == 0 for r in hist)
+
+
+def test_jobs_runner_writes_every_result(spark, trace_dir):
+    from tracelens.plans.jobs import JOBS, run_job
+    from tracelens.session import shared_dir
+
+    out = shared_dir(spark, "jobs")
+    for name in sorted(JOBS):
+        paths = run_job(spark, name, trace_dir, out)
+        assert "report" in paths
+        report = "\n".join(r.value for r in spark.read.text(paths["report"]).collect())
+        assert report.startswith("total time = ")
+    per_job = rows(spark.read.parquet(f"{out}/job6/cpu_per_job"), "job_id", "delta")
+    assert per_job == [(1, 10.0), (4, 15.0)]
+    j8 = rows(spark.read.parquet(f"{out}/job8/delay_vs_constraints"))
+    assert j8 == [(1, 13.0, 3.0)]

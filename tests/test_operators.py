@@ -146,3 +146,10 @@ def test_per_key_aggregates(spark):
     c = op.correlation(spark.createDataFrame([(1.0, 2.0), (2.0, 4.1), (3.0, 6.0)], "x double, y double"),
                        "x", "y")
     assert c.collect()[0][0] == pytest.approx(np.corrcoef([1, 2, 3], [2, 4.1, 6])[0, 1], abs=1e-6)
+
+
+def test_correlation_of_constant_column_is_missing(spark):
+    df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (3.0, 5.0)], "x double, y double")
+    assert op.correlation(df, "x", "y").collect()[0][0] is None  # corr() would raise under ANSI
+    one = spark.createDataFrame([(1.0, 2.0)], "x double, y double")
+    assert op.correlation(one, "x", "y").collect()[0][0] is None

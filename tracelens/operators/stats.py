@@ -102,6 +102,14 @@ def approx_median(df: DataFrame, col: str, name: str = "median",
 
 def correlation(df: DataFrame, x: str, y: str, name: str = "corr",
                 digits: int | None = 6) -> DataFrame:
-    """Pearson correlation of two columns as a one-row table."""
-    return df.agg(_maybe_round(F.corr(F.col(x).cast("double"), F.col(y).cast("double")),
-                               digits).alias(name))
+    """Pearson correlation of two columns as a one-row table.
+
+    Written as ``covar_pop / (stddev_pop(x) * stddev_pop(y))`` with a
+    null-safe division: with ANSI mode on, ``corr`` itself raises a
+    division-by-zero error when either column is constant; here that case
+    (and fewer than two rows) gives null.
+    """
+    xd, yd = F.col(x).cast("double"), F.col(y).cast("double")
+    den = F.stddev_pop(xd) * F.stddev_pop(yd)
+    value = F.covar_pop(xd, yd) / F.nullif(den, F.lit(0.0))
+    return df.agg(_maybe_round(value, digits).alias(name))

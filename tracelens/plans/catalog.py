@@ -353,6 +353,11 @@ SELECT ad.job_id AS job_id, {R('avg_delay', 3)} AS avg_delay,
        {R('avg_constraints', 3)} AS avg_constraints
 FROM ad JOIN c ON ad.job_id = c.job_id"""
 
+def _corr_sql(x: str, y: str) -> str:
+    return (f"covar_pop({x}, {y}) / "
+            f"nullif(stddev_pop({x}) * stddev_pop({y}), 0.0)")
+
+
 _LINEITEM_MISSING = """
 SELECT l_orderkey, l_partkey, CASE WHEN l_suppkey = 0 THEN NULL ELSE l_suppkey END AS l_suppkey,
        l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
@@ -414,7 +419,7 @@ GROUP BY 1""",
     "most_under_mem": f"SELECT * FROM ({_J6_MEM}) ORDER BY delta DESC, job_id ASC LIMIT 10",
     "delta_histogram": _hist_sql(_J6),
     "delta_histogram_mem": _hist_sql(_J6_MEM),
-    "request_usage_corr": f"SELECT {R('corr(request, usage)', 6)} AS corr FROM ({_J6})",
+    "request_usage_corr": f"SELECT {R(_corr_sql('request', 'usage'), 6)} AS corr FROM ({_J6})",
     "peak_vs_event": _J7,
     "peak_histogram": f"""
 SELECT CAST({R('peak', 0)} AS BIGINT) AS peak_int, count(*) AS n_keys
@@ -427,7 +432,7 @@ FROM events WHERE event_type IN ('signup') GROUP BY 1, 2""",
     "constraints_per_job": f"""
 WITH {_J8_CONS} SELECT job_id, {R('avg_constraints', 3)} AS avg_constraints FROM c""",
     "delay_constraints_corr": f"""
-SELECT {R('corr(avg_constraints, avg_delay)', 6)} AS corr FROM ({_J8})""",
+SELECT {R(_corr_sql('avg_constraints', 'avg_delay'), 6)} AS corr FROM ({_J8})""",
     "event_keys": "SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F'",
     "hash_sample": """
 SELECT l_orderkey, count(*) AS n_rows FROM lineitem
