@@ -35,8 +35,25 @@ PEAK_BELOW = 10                    # J7 keep peaks below
 MICROS = 1_000_000                 # J8 delays in seconds
 
 
+# Schemas of the driver tables that the bindings read.  A
+# supplied schema spares Spark the footer-reading job it otherwise runs to
+# infer one, on every read.
+DRIVER_SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+                "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+              "value DOUBLE, props STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+                "c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet_table(spark, sf_dir, name)
+    return read_parquet_table(spark, sf_dir, name, schema=DRIVER_SCHEMAS.get(name))
 
 
 def micros(col: str) -> Column:

@@ -76,9 +76,15 @@ def read_lines_table(
     return sample_rows(raw.select(*cols), sample, seed)
 
 
-def read_parquet_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """``{root}/{name}.parquet`` (a file or a folder of parts)."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+def read_parquet_table(spark: SparkSession, root: str, name: str,
+                       schema: str | None = None) -> DataFrame:
+    """``{root}/{name}.parquet`` (a file or a folder of parts).
+
+    With a known ``schema`` (DDL string or StructType) Spark skips schema
+    inference, which otherwise reads parquet footers in a job of its own.
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
 def sample_rows(df: DataFrame, fraction: float | None, seed: int = 42) -> DataFrame:
