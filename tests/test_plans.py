@@ -67,3 +67,17 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["job_id", "request", "usage", "delta"]
     assert df.count() == 15
+
+
+def test_semi_join_keys_are_deduplicated_before_the_shuffle(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = plan_text(entry.queries()["peak_vs_event"](spark, SF))
+    finally:
+        spark.conf.set(key, old)
+    # peaks side and key side: one hash exchange each, both after a partial aggregate
+    assert plan.count("Exchange hashpartitioning(job_id") == 2
+    assert plan.count("HashAggregate(keys=[job_id") == 4
+    assert "SortMergeJoin [job_id#" in plan and "LeftSemi" in plan

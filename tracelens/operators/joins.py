@@ -29,9 +29,13 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
 def semi_join(df: DataFrame, keys_df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``keys_df``.
 
-    Equal to ``distinct`` of the keys followed by an inner join, but the
-    keys are never deduplicated into a separate table and ``df``'s rows
-    are never duplicated.
+    The keys are deduplicated first.  ``distinct`` is a hash aggregate with
+    a map-side partial step, so a key that occurs in a billion rows leaves
+    every map task as one row, and the join meets exactly one row per key
+    on the right (no skewed join partition, no buffered duplicates).  When
+    ``df`` is itself grouped by the key, both sides arrive hash-partitioned
+    on it and the join adds no exchange.  Rows of ``df`` are never
+    duplicated.
     """
     keys = _list(keys)
-    return df.join(keys_df.select(*keys), on=keys, how="left_semi")
+    return df.join(keys_df.select(*keys).distinct(), on=keys, how="left_semi")

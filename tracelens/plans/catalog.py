@@ -47,6 +47,16 @@ def q_distinct_per_key_stats(spark, sf):
     return A.rows_per_key_stats(B.lineitem(spark, sf), "l_orderkey", entity="l_linenumber")
 
 
+def q_rows_per_key(spark, sf):
+    from tracelens.operators.counting import rows_per_key
+    return rows_per_key(B.lineitem(spark, sf), "l_orderkey")
+
+
+def q_count_present(spark, sf):
+    from tracelens.operators.counting import count_present
+    return count_present(B.part_suppliers(spark, sf), "l_suppkey", "n_present")
+
+
 def q_rows_per_key_median(spark, sf):
     return A.rows_per_key_median(B.lineitem(spark, sf), "l_orderkey")
 
@@ -230,6 +240,8 @@ QUERIES: dict[str, Query] = {
     "value_share": q_value_share,
     "entities_per_value": q_entities_per_value,
     "rows_per_key_stats": q_rows_per_key_stats,
+    "rows_per_key": q_rows_per_key,
+    "count_present": q_count_present,
     "distinct_per_key_stats": q_distinct_per_key_stats,
     "rows_per_key_median": q_rows_per_key_median,
     "class_distribution": q_class_distribution,
@@ -378,6 +390,9 @@ FROM lineitem GROUP BY 1""",
     "rows_per_key_stats": _stats_sql("SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1"),
     "distinct_per_key_stats": _stats_sql(
         "SELECT l_orderkey, count(DISTINCT l_linenumber) AS n FROM lineitem GROUP BY 1"),
+    "rows_per_key": "SELECT l_orderkey, count(*) AS n_rows FROM lineitem GROUP BY 1",
+    "count_present": """
+SELECT count(CASE WHEN l_suppkey = 0 THEN NULL ELSE l_suppkey END) AS n_present FROM lineitem""",
     "rows_per_key_median": """
 SELECT CAST(median(n) AS DOUBLE) AS median_rows
 FROM (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1)""",
