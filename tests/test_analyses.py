@@ -129,3 +129,36 @@ def test_jobs_runner_writes_every_result(spark, trace_dir):
     assert per_job == [(1, 10.0), (4, 15.0)]
     j8 = rows(spark.read.parquet(f"{out}/job8/delay_vs_constraints"))
     assert j8 == [(1, 13.0, 3.0)]
+
+
+def test_ingest_then_parquet_jobs_match_csv_jobs(spark, trace_dir):
+    from tracelens.plans.jobs import ingest, run_job
+    from tracelens.sources.readers import read_ingested_table
+    from tracelens.session import shared_dir
+
+    tables = ["machine_events", "task_events", "task_usage", "task_constraints"]
+    pq_root = shared_dir(spark, "ingested")
+    ingest(spark, trace_dir, pq_root, tables)
+    te = read_ingested_table(spark, "task_events", f"{pq_root}/task_events")
+    assert te.count() == 13 and te.schema["job_id"].dataType.simpleString() == "bigint"
+    out_csv, out_pq = shared_dir(spark, "jobs-csv"), shared_dir(spark, "jobs-pq")
+    for job in ["job4", "job6", "job8"]:
+        a = run_job(spark, job, trace_dir, out_csv)
+        b = run_job(spark, job, pq_root, out_pq, input_format="parquet")
+        for key in a:
+            if key != "report":
+                assert rows(spark.read.parquet(a[key])) == rows(spark.read.parquet(b[key])), key
+
+
+def test_reference_variant_parameters(trace):
+    # Variant of J6 that rounds means to 3 and deltas to 4 digits.
+    res = A.request_vs_usage(trace["task_events"], trace["task_usage"], mean_digits=3,
+                             delta_digits=4)
+    assert rows(res, "job_id", "delta") == [(1, 10.0), (4, 15.0)]
+    # J5 counting rows (not distinct machines), top 5.
+    assert [tuple(r) for r in A.rows_per_key_topk(trace["task_events"], k=5).collect()] == [
+        (1, 6), (4, 3), (BIG, 3), (5, 1)]
+    # approximate distinct counts agree on small inputs
+    exact = [tuple(r) for r in A.class_distribution(trace["task_events"]).collect()]
+    approx = [tuple(r) for r in A.class_distribution(trace["task_events"], approx=True).collect()]
+    assert exact == approx

@@ -77,10 +77,11 @@ def distinct_per_key(df: DataFrame, keys: str | Sequence[str], value: str, *,
 
 def distinct_and_rows(df: DataFrame, group: str | Sequence[str], distinct_col: str, *,
                       distinct_name: str = "n_distinct", rows_name: str = "n_rows",
-                      count_missing: bool = False) -> DataFrame:
+                      count_missing: bool = False, approx: bool = False) -> DataFrame:
     """Distinct values and row count per group in one aggregation."""
     return df.groupBy(*_list(group)).agg(
-        distinct_count(distinct_col, count_missing=count_missing).alias(distinct_name),
+        distinct_count(distinct_col, count_missing=count_missing, approx=approx)
+        .alias(distinct_name),
         F.count(F.lit(1)).alias(rows_name),
     )
 

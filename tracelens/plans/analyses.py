@@ -95,14 +95,15 @@ def rows_per_key_median(df: DataFrame, key: str = "job_id", *, entity: str | Non
 
 def class_distribution(df: DataFrame, class_col: str = "scheduling_class",
                        job_col: str = "job_id", *, jobs_name: str = "n_jobs",
-                       rows_name: str = "n_tasks") -> DataFrame:
+                       rows_name: str = "n_tasks", approx: bool = False) -> DataFrame:
     """Distinct jobs and rows per class, ordered by class.
 
     Distinct counts per class are not additive: a job seen in two classes
-    counts in both.
+    counts in both.  ``approx`` uses HyperLogLog++ (about 5 % error) in
+    place of the exact two-stage distinct aggregation.
     """
     out = distinct_and_rows(df, class_col, job_col, distinct_name=jobs_name,
-                            rows_name=rows_name)
+                            rows_name=rows_name, approx=approx)
     return sort_by(out, class_col)
 
 
@@ -144,17 +145,19 @@ def rows_per_key_topk(df: DataFrame, key: str = "job_id", k: int = 10, *,
 
 def distinct_per_key_topk(df: DataFrame, key: str = "job_id", value: str = "machine_id",
                           k: int = 10, *, name: str = "n_distinct",
-                          count_missing: bool = True) -> DataFrame:
+                          count_missing: bool = True, approx: bool = False) -> DataFrame:
     """The k keys with the most distinct values (a missing value counts once)."""
-    counts = distinct_per_key(df, key, value, name=name, count_missing=count_missing)
+    counts = distinct_per_key(df, key, value, name=name, count_missing=count_missing,
+                              approx=approx)
     return top_k(counts, name, k, tie_break=key)
 
 
 def distinct_frequency(df: DataFrame, key: str = "job_id", value: str = "machine_id", *,
                        name: str = "n_distinct", keys_name: str = "n_keys",
-                       count_missing: bool = False) -> DataFrame:
+                       count_missing: bool = False, approx: bool = False) -> DataFrame:
     """V5: how many keys have each number of distinct values."""
-    counts = distinct_per_key(df, key, value, name=name, count_missing=count_missing)
+    counts = distinct_per_key(df, key, value, name=name, count_missing=count_missing,
+                              approx=approx)
     return frequency_of_counts(counts, name, keys_name)
 
 

@@ -22,7 +22,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tracelens.plans import analyses as A
-from tracelens.sources.readers import read_trace_table
+from tracelens.sources.readers import ingest_trace_table, read_ingested_table, read_trace_table
+from tracelens.sources.schemas import TABLES
 from tracelens.sources.sinks import render_table, write_report, write_result
 
 Tables = Callable[[str], DataFrame]
@@ -95,16 +96,29 @@ JOBS = {"job1": job1, "job2": job2, "job3": job3, "job4": job4,
         "job5": job5, "job6": job6, "job7": job7, "job8": job8}
 
 
+def ingest(spark: SparkSession, trace_root: str, out_root: str,
+           tables: list[str] | None = None) -> dict[str, str]:
+    """Convert the trace's CSV tables to parquet below ``out_root`` (one folder each)."""
+    root, out = trace_root.rstrip("/"), out_root.rstrip("/")
+    return {t: ingest_trace_table(spark, t, f"{root}/{t}", f"{out}/{t}")
+            for t in (tables or sorted(TABLES))}
+
+
 def run_job(spark: SparkSession, name: str, trace_root: str, out_root: str, *,
             sample: float | None = None, seed: int = 42, fmt: str = "parquet",
-            preview_rows: int = 20) -> dict[str, str]:
-    """Run one job end to end; returns result name -> written path."""
+            preview_rows: int = 20, input_format: str = "csv") -> dict[str, str]:
+    """Run one job end to end; returns result name -> written path.
+
+    ``input_format='parquet'`` reads tables written by ``ingest``.
+    """
     if name not in JOBS:
         raise ValueError(f"unknown job {name!r}; known: {sorted(JOBS)}")
     root = trace_root.rstrip("/")
     out = f"{out_root.rstrip('/')}/{name}"
 
     def tables(table: str) -> DataFrame:
+        if input_format == "parquet":
+            return read_ingested_table(spark, table, f"{root}/{table}", sample=sample, seed=seed)
         return read_trace_table(spark, table, f"{root}/{table}", sample=sample, seed=seed)
 
     t0 = time.time()
@@ -125,16 +139,23 @@ def run_job(spark: SparkSession, name: str, trace_root: str, out_root: str, *,
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    p.add_argument("job", choices=sorted(JOBS))
+    p.add_argument("job", choices=sorted(JOBS) + ["ingest"],
+                   help="a job, or 'ingest' to convert the trace CSVs to parquet under --out")
     p.add_argument("--trace", required=True, help="root folder with one sub-folder per table")
     p.add_argument("--out", required=True, help="output root on shared storage")
     p.add_argument("--sample", type=float, default=None, help="row fraction (default: all)")
     p.add_argument("--seed", type=int, default=42)
     p.add_argument("--format", default="parquet", choices=["parquet", "csv", "json", "orc"])
+    p.add_argument("--input-format", default="csv", choices=["csv", "parquet"],
+                   help="parquet: read tables written by 'ingest'")
     args = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"tracelens-{args.job}").getOrCreate()
-    for key, path in run_job(spark, args.job, args.trace, args.out, sample=args.sample,
-                             seed=args.seed, fmt=args.format).items():
+    if args.job == "ingest":
+        paths = ingest(spark, args.trace, args.out)
+    else:
+        paths = run_job(spark, args.job, args.trace, args.out, sample=args.sample,
+                        seed=args.seed, fmt=args.format, input_format=args.input_format)
+    for key, path in paths.items():
         print(f"{key}\t{path}")
 
 

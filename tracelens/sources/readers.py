@@ -76,6 +76,31 @@ def read_lines_table(
     return sample_rows(raw.select(*cols), sample, seed)
 
 
+def read_ingested_table(spark: SparkSession, table: str, path: str | list[str], *,
+                        sample: float | None = None, seed: int = 42) -> DataFrame:
+    """Read a trace table previously written by ``ingest_trace_table``.
+
+    The registry schema is supplied, so no footer-reading job runs, only
+    the columns an analysis uses are read, and equality / range filters
+    are pushed into the parquet scan.
+    """
+    return sample_rows(spark.read.schema(schema_of(table)).parquet(path), sample, seed)
+
+
+def ingest_trace_table(spark: SparkSession, table: str, src: str | list[str], dst: str, *,
+                       mode: str = "overwrite", compression: str = "zstd") -> str:
+    """Convert a CSV trace table (plain or gzipped) to typed parquet, once.
+
+    Gzipped CSV cannot be split (one task per file) and every scan parses
+    every column.  After ingestion each analysis reads only the columns it
+    needs from splittable, compressed column chunks.  The conversion is a
+    map-only job: each input split is written by its own task, no shuffle.
+    """
+    df = read_trace_table(spark, table, src)
+    df.write.mode(mode).option("compression", compression).parquet(dst)
+    return dst
+
+
 def read_parquet_table(spark: SparkSession, root: str, name: str,
                        schema: str | None = None) -> DataFrame:
     """``{root}/{name}.parquet`` (a file or a folder of parts).
