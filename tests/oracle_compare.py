@@ -44,6 +44,18 @@ def _norm(v):
     return (3, str(v))
 
 
+# Spark simpleString -> DuckDB type name of the same logical type.
+TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+            "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "date": "DATE"}
+
+
+def type_mismatches(df, rel) -> list[str]:
+    spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return [f"{c}: {spark_types[c]} vs {duck_types.get(c)}" for c in spark_types
+            if TYPE_MAP.get(spark_types[c], spark_types[c]) != duck_types.get(c)]
+
+
 def rows_of(records, cols):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     out = [tuple(_norm(r[i]) for i in order) for r in records]
@@ -81,6 +93,10 @@ def compare(spark, sf_dir: str, names: list[str] | None = None) -> dict[str, str
         if sorted(s_cols) != sorted(d_cols):
             results[name] = f"SCHEMA MISMATCH spark={s_cols} sql={d_cols}"
             continue
+        bad_types = type_mismatches(df, rel)
+        if bad_types:
+            results[name] = f"TYPE MISMATCH {bad_types}"
+            continue
         a, b = rows_of(s_rows, s_cols), rows_of(d_rows, d_cols)
         if len(a) != len(b):
             results[name] = f"ROWCOUNT MISMATCH spark={len(a)} sql={len(b)}"

@@ -314,26 +314,28 @@ _J6_MEM = _j6_sql("customer", "c_nationkey",
 
 
 def _hist_sql(source: str, col: str = "delta", bins: int = 10) -> str:
+    lo, hi, step = "(SELECT lo FROM q)", "(SELECT hi FROM q)", "(SELECT step FROM q)"
+
     def edge(i: str) -> str:
-        return f"(CASE WHEN {i} >= {bins} THEN hi ELSE CAST({i} AS DOUBLE) * step + lo END)"
+        return f"(CASE WHEN {i} >= {bins} THEN {hi} ELSE CAST({i} AS DOUBLE) * {step} + {lo} END)"
     return f"""
 WITH d AS ({source}),
 rng AS (SELECT min({col}) AS lo0, max({col}) AS hi0 FROM d WHERE {col} IS NOT NULL),
 p AS (SELECT CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo,
              CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM rng),
 q AS (SELECT lo, hi, (hi - lo) / {float(bins)} AS step FROM p),
-g AS (SELECT CAST({col} AS DOUBLE) AS x, lo, hi, step,
-             least(CAST(floor((CAST({col} AS DOUBLE) - lo) / (hi - lo) * {float(bins)}) AS INTEGER),
-                   {bins - 1}) AS i0
-      FROM d, q WHERE {col} IS NOT NULL),
-g1 AS (SELECT x, lo, hi, step, CASE WHEN x < {edge('i0')} THEN i0 - 1 ELSE i0 END AS i1 FROM g),
+g AS (SELECT CAST({col} AS DOUBLE) AS x,
+             least(CAST(floor((CAST({col} AS DOUBLE) - {lo}) / ({hi} - {lo}) * {float(bins)})
+                        AS INTEGER), {bins - 1}) AS i0
+      FROM d WHERE {col} IS NOT NULL),
+g1 AS (SELECT x, CASE WHEN x < {edge('i0')} THEN i0 - 1 ELSE i0 END AS i1 FROM g),
 g2 AS (SELECT CASE WHEN x >= {edge('i1 + 1')} AND i1 <> {bins - 1} THEN i1 + 1 ELSE i1 END AS bin
        FROM g1),
 c AS (SELECT bin, count(*) AS n FROM g2 GROUP BY 1),
 b AS (SELECT CAST(range AS INTEGER) AS bin FROM range({bins}))
 SELECT b.bin AS bin, {edge('b.bin')} AS bin_lo, {edge('b.bin + 1')} AS bin_hi,
        coalesce(c.n, 0) AS n_rows
-FROM b CROSS JOIN q LEFT JOIN c ON b.bin = c.bin"""
+FROM b LEFT JOIN c ON b.bin = c.bin"""
 
 
 _J7 = f"""
