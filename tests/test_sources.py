@@ -112,3 +112,11 @@ def test_checkpoint_cuts_lineage(spark):
 def test_local_path():
     assert local_path("file:///tmp/x") == "/tmp/x"
     assert local_path("/tmp/y") == "/tmp/y"
+
+
+def test_cache_table_keeps_results(spark):
+    df = spark.range(50).withColumn("y", F.col("id") % 5)
+    cached = readers.cache_table(df)
+    assert cached.is_cached
+    assert cached.groupBy("y").count().count() == 5
+    cached.unpersist()

@@ -38,16 +38,27 @@ def build_session(
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None where there is none (Spark Connect clients)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect: no context on the client
+        return None
+
+
 def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    return spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    return sc.getCheckpointDir() if sc is not None else None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -59,12 +70,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder of our own is created and registered.
     """
     configured = _configured_checkpoint_dir(spark)
+    sc = _context(spark)
     if configured:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(configured)
+        if sc is not None and sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(configured)
         return configured
     local = tempfile.mkdtemp(prefix="tracelens-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
+    else:
+        spark.conf.set("spark.checkpoint.dir", local)
     return local
 
 
