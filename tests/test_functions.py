@@ -58,3 +58,13 @@ def test_composite_keys(spark):
     assert k.collect()[0].k == "3000000000, 7"
     back = k.select(split_key("k", 0).alias("j"), split_key("k", 1).alias("t")).collect()[0]
     assert (back.j, back.t) == ("3000000000", "7")
+
+
+def test_rounding_fast_and_wide_paths_agree(spark):
+    vals = [1.005, -1.005, 2.675, 999999999.995, 1e9 + 0.125, -3e12 - 0.5, 123456.78945, None]
+    df = spark.createDataFrame([(v,) for v in vals], "a double")
+    got = [r.r for r in df.select(round_half_up("a", 2).alias("r")).collect()]
+    wide = [r.r for r in df.select(
+        F.round(F.col("a").cast("decimal(38,8)"), 2).cast("double").alias("r")).collect()]
+    assert got == wide
+    assert got[:3] == [1.01, -1.01, 2.68]
