@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelens.functions.missing import NA, is_present
+from tracelens.functions.missing import NA, is_present, label_missing
 from tracelens.functions.arith import round_half_up, scale_round
 from tracelens.operators.counting import (
     distinct_and_rows,
@@ -57,7 +57,7 @@ def value_share(df: DataFrame, col: str = "cpus", *, name: str = "n_rows",
 def entities_per_value(df: DataFrame, col: str = "cpus", entity: str = "machine_id", *,
                        name: str = "n_entities", missing_label: str | None = NA) -> DataFrame:
     """Distinct entities (e.g. machines) per value instead of rows."""
-    key = F.coalesce(F.col(col).cast("string"), F.lit(missing_label)) if missing_label else F.col(col)
+    key = label_missing(col, missing_label) if missing_label else F.col(col)
     return distinct_per_key(df.select(key.alias(col), entity), col, entity, name=name,
                             count_missing=False)
 

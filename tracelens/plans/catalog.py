@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracelens.functions.arith import round_sql as R
+from tracelens.functions.missing import missing_if_equal
+from tracelens.operators.counting import count_present, distinct_rows, rows_per_key
+from tracelens.operators.transitions import first_event_time
 from tracelens.plans import analyses as A
 from tracelens.plans import bindings as B
 from tracelens.sources import readers, sinks
@@ -48,12 +51,10 @@ def q_distinct_per_key_stats(spark, sf):
 
 
 def q_rows_per_key(spark, sf):
-    from tracelens.operators.counting import rows_per_key
     return rows_per_key(B.lineitem(spark, sf), "l_orderkey")
 
 
 def q_count_present(spark, sf):
-    from tracelens.operators.counting import count_present
     return count_present(B.part_suppliers(spark, sf), "l_suppkey", "n_present")
 
 
@@ -163,7 +164,6 @@ def q_positive_delays(spark, sf):
 
 
 def q_first_event_time(spark, sf):
-    from tracelens.operators.transitions import first_event_time
     return first_event_time(B.task_events(spark, sf), ["job_id", "task_index"], "event_type",
                             B.SUBMIT_EVENTS, "time", "first_time")
 
@@ -178,14 +178,12 @@ def q_delay_constraints_corr(spark, sf):
 
 
 def q_event_keys(spark, sf):
-    from tracelens.operators.counting import distinct_rows
     o = B.table(spark, sf, "orders")
     return distinct_rows(o.where(F.col("o_orderstatus") == B.ORDER_EVENT), "o_custkey")
 
 
 def q_hash_sample(spark, sf):
     li = B.lineitem(spark, sf)
-    from tracelens.operators.counting import rows_per_key
     return rows_per_key(li.where(hash_sample_condition("l_orderkey", 0.5)), "l_orderkey")
 
 
@@ -195,7 +193,6 @@ def q_seeded_sample(spark, sf):
 
 def _lineitem_with_missing(spark, sf) -> DataFrame:
     li = B.lineitem(spark, sf)
-    from tracelens.functions.missing import missing_if_equal
     return li.select(
         "l_orderkey", "l_partkey",
         missing_if_equal("l_suppkey", B.SUPPKEY_MISSING).alias("l_suppkey"),
