@@ -148,8 +148,17 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--format", default="parquet", choices=["parquet", "csv", "json", "orc"])
     p.add_argument("--input-format", default="csv", choices=["csv", "parquet"],
                    help="parquet: read tables written by 'ingest'")
+    p.add_argument("--shuffle-partitions", type=int, default=None,
+                   help="initial shuffle partition count (AQE coalesces it down); "
+                        "size it so a partition of the largest shuffle is ~128 MB, "
+                        "e.g. 20000 for a 100 TB trace.  Default: the session's setting")
     args = p.parse_args(argv)
-    spark = SparkSession.builder.appName(f"tracelens-{args.job}").getOrCreate()
+    builder = SparkSession.builder.appName(f"tracelens-{args.job}")
+    if args.shuffle_partitions:
+        builder = (builder.config("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
+                   .config("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                           str(args.shuffle_partitions)))
+    spark = builder.getOrCreate()
     if args.job == "ingest":
         paths = ingest(spark, args.trace, args.out)
     else:
