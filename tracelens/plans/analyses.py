@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracelens.functions.missing import NA, is_present, label_missing
-from tracelens.functions.arith import round_half_up, scale_round
+from tracelens.functions.arith import round_half_even, round_half_up, scale_round
 from tracelens.operators.counting import (
     distinct_and_rows,
     distinct_per_key,
@@ -218,23 +218,26 @@ def request_usage_corr(result: DataFrame, *, request_name: str = "request",
 def peak_vs_event(usage: DataFrame, events: DataFrame, *, key: str = "job_id",
                   peak_col: str = "maximum_cpu_rate", event_col: str = "event_type",
                   event_value=EVICT, factor: float = 100.0, digits: int | None = 2,
-                  below: float = 100.0, name: str = "peak") -> DataFrame:
+                  below: float = 100.0, name: str = "peak",
+                  half_even: bool = False) -> DataFrame:
     """Per key the peak of ``peak_col * factor``, kept below ``below``,
     for keys that have at least one row with the event.
 
     ``digits=2`` keeps 99.6 below 100 (DataFrame job); ``digits=0``
-    rounds it to 100 and drops it (RDD job, which rounded half-even per
-    row; here rounding is half-up).  The event side is a semi-join, so
-    keys with many events neither multiply rows nor need a distinct.
+    rounds it to 100 and drops it (RDD job; ``half_even=True`` rounds ties
+    to even per row as that job did).  The event side is a semi-join on
+    deduplicated keys, so keys with many events neither multiply rows nor
+    skew the join.
     """
+    rnd = round_half_even if half_even else round_half_up
     value = F.col(peak_col).cast("double") * F.lit(float(factor))
     if digits is not None:
-        value = round_half_up(value, digits)
+        value = rnd(value, digits)
     peaks = (usage.where(is_present(peak_col))
              .select(F.col(key), value.alias("_p"))
              .groupBy(key).agg(F.max("_p").alias(name)))
     if digits is not None:
-        peaks = peaks.withColumn(name, round_half_up(F.col(name), digits))
+        peaks = peaks.withColumn(name, rnd(F.col(name), digits))
     peaks = peaks.where(F.col(name) < F.lit(float(below)))
     hit_keys = events.where(F.col(event_col) == F.lit(event_value))
     return semi_join(peaks, hit_keys, key)

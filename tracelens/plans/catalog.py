@@ -102,6 +102,13 @@ def q_request_vs_usage(spark, sf):
     return _cpu(spark, sf)
 
 
+def q_request_vs_usage_rdd(spark, sf):
+    # Rounding of the RDD job: means to 3 digits, deltas to 4.
+    return A.request_vs_usage(B.cpu_requests(spark, sf), B.cpu_usage(spark, sf),
+                              request_col="cpu_request", usage_col="cpu_rate",
+                              mean_digits=3, delta_digits=4)
+
+
 def q_request_vs_usage_mem(spark, sf):
     return _mem(spark, sf)
 
@@ -143,6 +150,13 @@ def q_peak_vs_event(spark, sf):
     return _peaks(spark, sf)
 
 
+def q_peak_vs_event_int(spark, sf):
+    # RDD job: peaks rounded to integers per row (ties to even), so 9.6 -> 10 is dropped.
+    return A.peak_vs_event(B.peak_usage(spark, sf), B.order_events(spark, sf),
+                           event_value=B.ORDER_EVENT, below=B.PEAK_BELOW, digits=0,
+                           half_even=True)
+
+
 def q_peak_histogram(spark, sf):
     return A.peak_histogram(_peaks(spark, sf))
 
@@ -249,6 +263,7 @@ QUERIES: dict[str, Query] = {
     "distinct_frequency": q_distinct_frequency,
     "request_vs_usage": q_request_vs_usage,
     "request_vs_usage_mem": q_request_vs_usage_mem,
+    "request_vs_usage_rdd": q_request_vs_usage_rdd,
     "most_over": q_most_over,
     "most_under": q_most_under,
     "most_over_mem": q_most_over_mem,
@@ -257,6 +272,7 @@ QUERIES: dict[str, Query] = {
     "delta_histogram_mem": q_delta_histogram_mem,
     "request_usage_corr": q_request_usage_corr,
     "peak_vs_event": q_peak_vs_event,
+    "peak_vs_event_int": q_peak_vs_event_int,
     "peak_histogram": q_peak_histogram,
     "first_transition_delay": q_first_transition_delay,
     "positive_delays": q_positive_delays,
@@ -289,15 +305,16 @@ SELECT {R('m', 2)} AS "mean", {R('ss', 2)} AS std_samp, {R('sp', 2)} AS std_pop,
 FROM a"""
 
 
-def _j6_sql(req_table, req_key, req_expr, use_table, use_key, use_expr) -> str:
+def _j6_sql(req_table, req_key, req_expr, use_table, use_key, use_expr,
+            mean_digits: int = 4, delta_digits: int = 2) -> str:
     return f"""
 WITH rv AS (SELECT {req_key} AS job_id, {R(f'CAST({req_expr} AS DOUBLE) * 100.0', 4)} AS v
             FROM {req_table} WHERE ({req_expr}) IS NOT NULL),
-r AS (SELECT job_id, {R('avg(v)', 4)} AS request FROM rv GROUP BY 1),
+r AS (SELECT job_id, {R('avg(v)', mean_digits)} AS request FROM rv GROUP BY 1),
 uv AS (SELECT {use_key} AS job_id, {R(f'CAST({use_expr} AS DOUBLE) * 100.0', 4)} AS v
        FROM {use_table} WHERE ({use_expr}) IS NOT NULL),
-u AS (SELECT job_id, {R('avg(v)', 4)} AS usage FROM uv GROUP BY 1)
-SELECT r.job_id AS job_id, request, usage, {R('request - usage', 2)} AS delta
+u AS (SELECT job_id, {R('avg(v)', mean_digits)} AS usage FROM uv GROUP BY 1)
+SELECT r.job_id AS job_id, request, usage, {R('request - usage', delta_digits)} AS delta
 FROM r JOIN u ON r.job_id = u.job_id"""
 
 
@@ -305,6 +322,11 @@ _J6 = _j6_sql("orders", "o_custkey",
               "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice / 1000 END",
               "events", "user_id",
               "CASE WHEN event_type = 'error' THEN NULL ELSE value END")
+_J6_RDD = _j6_sql("orders", "o_custkey",
+                  "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice / 1000 END",
+                  "events", "user_id",
+                  "CASE WHEN event_type = 'error' THEN NULL ELSE value END",
+                  mean_digits=3, delta_digits=4)
 _J6_MEM = _j6_sql("customer", "c_nationkey",
                   "CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE c_acctbal / 100 END",
                   "supplier", "s_nationkey", "s_acctbal / 100")
@@ -341,6 +363,17 @@ WITH p AS (SELECT l_orderkey AS job_id, {R(f"max({R('CAST(l_discount AS DOUBLE)
 SELECT job_id, peak FROM p
 WHERE peak < 10.0 AND job_id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')"""
 
+def _even(expr: str, digits: int) -> str:
+    return f"CAST(round_even(CAST({expr} AS DECIMAL(38,8)), {digits}) AS DOUBLE)"
+
+
+_J7_INT = f"""
+WITH p AS (SELECT l_orderkey AS job_id,
+                  {_even(f"max({_even('CAST(l_discount AS DOUBLE) * 100.0', 0)})", 0)} AS peak
+           FROM lineitem WHERE l_discount IS NOT NULL GROUP BY 1)
+SELECT job_id, peak FROM p
+WHERE peak < 10.0 AND job_id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')"""
+
 _J8_EVENTS = """
 e AS (SELECT user_id AS job_id, event_id % 4 AS task_index, event_type, epoch_us(ts) AS t
       FROM events),
@@ -427,6 +460,7 @@ FROM (SELECT l_partkey, count(DISTINCT l_suppkey) AS n_distinct FROM lineitem GR
 GROUP BY 1""",
     "request_vs_usage": _J6,
     "request_vs_usage_mem": _J6_MEM,
+    "request_vs_usage_rdd": _J6_RDD,
     "most_over": f"SELECT * FROM ({_J6}) ORDER BY delta ASC, job_id ASC LIMIT 10",
     "most_under": f"SELECT * FROM ({_J6}) ORDER BY delta DESC, job_id ASC LIMIT 10",
     "most_over_mem": f"SELECT * FROM ({_J6_MEM}) ORDER BY delta ASC, job_id ASC LIMIT 10",
@@ -435,6 +469,7 @@ GROUP BY 1""",
     "delta_histogram_mem": _hist_sql(_J6_MEM),
     "request_usage_corr": f"SELECT {R(_corr_sql('request', 'usage'), 6)} AS corr FROM ({_J6})",
     "peak_vs_event": _J7,
+    "peak_vs_event_int": _J7_INT,
     "peak_histogram": f"""
 SELECT CAST({R('peak', 0)} AS BIGINT) AS peak_int, count(*) AS n_keys
 FROM ({_J7}) GROUP BY 1""",
