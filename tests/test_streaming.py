@@ -40,3 +40,18 @@ def test_streaming_first_transitions(spark, trace_dir, tmp_path):
     got = rows(spark.table("te_first").where(F.col("delay").isNotNull()),
                "job_id", "task_index", "delay")
     assert got == [(1, 0, 5), (1, 1, 21), (3000000000, 0, -10)]
+
+
+def test_streaming_snapshots_to_parquet(spark, trace_dir, tmp_path):
+    stream = st.stream_trace_table(spark, "task_events", f"{trace_dir}/task_events")
+    evictions = st.running_value_counts(stream, "priority", missing_label=None,
+                                        where=F.col("event_type") == 2)
+    out = str(tmp_path / "snap")
+    q = st.start_snapshots(evictions, "evictions", out, checkpoint=str(tmp_path / "ck"),
+                           available_now=True)
+    q.awaitTermination(120)
+    got = rows(spark.read.parquet(out))
+    assert got == [(0, 1), (1, 2), (9, 1)]
+    batch = rows(A.event_share(read_trace_table(spark, "task_events",
+                                                f"{trace_dir}/task_events")), "priority", "n_events")
+    assert got == batch

@@ -2,7 +2,9 @@ from tracelens.streaming.incremental import (
     running_first_transitions,
     running_value_counts,
     start,
+    start_snapshots,
     stream_trace_table,
 )
 
-__all__ = ["running_first_transitions", "running_value_counts", "start", "stream_trace_table"]
+__all__ = ["running_first_transitions", "running_value_counts", "start", "start_snapshots",
+           "stream_trace_table"]

@@ -67,6 +67,29 @@ def running_first_transitions(stream: DataFrame, *, job: str = "job_id",
     return firsts.withColumn("delay", F.col("first_end") - F.col("first_start"))
 
 
+def start_snapshots(result: DataFrame, name: str, path: str, *,
+                    checkpoint: str | None = None, fmt: str = "parquet",
+                    available_now: bool = False) -> StreamingQuery:
+    """Keep ``path`` holding the latest full result of a streaming aggregate.
+
+    File sinks accept no update-mode aggregates, so each micro-batch's
+    complete result (one row per group, written by the executors) replaces the previous one
+    through ``foreachBatch``.  A batch replayed after a failure rewrites
+    the same snapshot, so the output stays consistent.
+    """
+    spark = result.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").format(fmt).save(path)
+
+    writer = (result.writeStream.queryName(name).outputMode("complete")
+              .option("checkpointLocation", checkpoint or shared_dir(spark, f"stream-{name}"))
+              .foreachBatch(write))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def start(result: DataFrame, name: str, *, output_mode: str = "update",
           sink: str = "memory", path: str | None = None,
           checkpoint: str | None = None, available_now: bool = False) -> StreamingQuery:
