@@ -81,3 +81,9 @@ def test_semi_join_keys_are_deduplicated_before_the_shuffle(spark):
     assert plan.count("Exchange hashpartitioning(job_id") == 2
     assert plan.count("HashAggregate(keys=[job_id") == 4
     assert "SortMergeJoin [job_id#" in plan and "LeftSemi" in plan
+
+
+def test_share_total_is_one_subquery(spark):
+    for name in ["value_share", "event_share"]:
+        plan = plan_text(entry.queries()[name](spark, SF))
+        assert plan.count("Subquery ") == 1, name

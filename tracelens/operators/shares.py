@@ -33,9 +33,12 @@ def share_of_total(df: DataFrame, count_col: str, *, name: str = "share",
     value = ratio(F.col(count_col), total_of(df, count_col))
     if percent:
         value = value * F.lit(100.0)
+    out = df.withColumn(name, value)
     if digits is not None:
-        value = round_half_up(value, digits)
-    return df.withColumn(name, value)
+        # Round the materialised column: the total's subquery then appears
+        # once in the plan instead of once per use inside the rounding.
+        out = out.withColumn(name, round_half_up(F.col(name), digits))
+    return out
 
 
 def rate_per_group(df: DataFrame, group: str | Sequence[str], condition: Column, *,
