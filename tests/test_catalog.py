@@ -23,3 +23,9 @@ def test_catalogue_matches_sql(spark):
 def test_seeded_sample_is_repeatable(spark):
     fn = entry.queries()["seeded_sample"]
     assert fn(spark, SF).count() == fn(spark, SF).count()
+
+
+def test_every_query_documents_its_operators():
+    from tracelens.plans import catalog
+
+    assert set(catalog.OPERATORS) == set(entry.queries())
