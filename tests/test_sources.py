@@ -120,3 +120,12 @@ def test_cache_table_keeps_results(spark):
     assert cached.is_cached
     assert cached.groupBy("y").count().count() == 5
     cached.unpersist()
+
+
+def test_slash_column_is_usable(trace):
+    tu = trace["task_usage"]
+    got = tu.select(F.col("disk_i/o_time")).where(F.col("disk_i/o_time") == 0).count()
+    assert got == tu.count()
+    tu.createOrReplaceTempView("tu_slash")
+    sql = tu.sparkSession.sql("SELECT count(`disk_i/o_time`) AS n FROM tu_slash").collect()[0].n
+    assert sql == tu.count()
