@@ -162,3 +162,21 @@ def test_reference_variant_parameters(trace):
     exact = [tuple(r) for r in A.class_distribution(trace["task_events"]).collect()]
     approx = [tuple(r) for r in A.class_distribution(trace["task_events"], approx=True).collect()]
     assert exact == approx
+
+
+def test_ingested_events_prune_by_event_type(spark, trace_dir):
+    from conftest import plan_text
+    from tracelens.plans.jobs import ingest
+    from tracelens.session import shared_dir
+    from tracelens.sources.readers import read_ingested_table, read_trace_table
+
+    root = shared_dir(spark, "ingested-pruning")
+    ingest(spark, trace_dir, root, ["task_events"])
+    te = read_ingested_table(spark, "task_events", f"{root}/task_events")
+    csv = read_trace_table(spark, "task_events", f"{trace_dir}/task_events")
+    assert te.columns == csv.columns
+    assert rows(te) == rows(csv)  # null event codes survive the partitioned layout
+    plan = plan_text(A.event_share(te))
+    assert "PartitionFilters: [isnotnull(event_type" in plan and "(event_type#" in plan
+    assert rows(A.event_share(te)) == rows(A.event_share(csv))
+    assert rows(A.pending_delays(te)) == rows(A.pending_delays(csv))
