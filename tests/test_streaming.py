@@ -55,3 +55,23 @@ def test_streaming_snapshots_to_parquet(spark, trace_dir, tmp_path):
     batch = rows(A.event_share(read_trace_table(spark, "task_events",
                                                 f"{trace_dir}/task_events")), "priority", "n_events")
     assert got == batch
+
+
+def test_streaming_restart_from_checkpoint(spark, trace_dir, tmp_path):
+    src = tmp_path / "machine_events"
+    src.mkdir()
+    ckpt, out = str(tmp_path / "ckpt"), str(tmp_path / "snap")
+    shutil.copy(f"{trace_dir}/machine_events/part-00000.csv", src / "part-00000.csv")
+
+    def run_once():
+        stream = st.stream_trace_table(spark, "machine_events", str(src))
+        q = st.start_snapshots(st.running_value_counts(stream, "cpus"), "me_restart", out,
+                               checkpoint=ckpt, available_now=True)
+        q.awaitTermination(120)
+
+    run_once()
+    assert rows(spark.read.parquet(out)) == [("0.5", 2)]
+    # the query is gone (as after a driver failure); a new part file arrives
+    shutil.copy(f"{trace_dir}/machine_events/part-00001.csv", src / "part-00001.csv")
+    run_once()  # resumes from the committed offsets and state: nothing lost or counted twice
+    assert rows(spark.read.parquet(out)) == [("0.5", 3), ("1", 1), ("NA", 1)]
