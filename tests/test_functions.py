@@ -68,3 +68,10 @@ def test_rounding_fast_and_wide_paths_agree(spark):
         F.round(F.col("a").cast("decimal(38,8)"), 2).cast("double").alias("r")).collect()]
     assert got == wide
     assert got[:3] == [1.01, -1.01, 2.68]
+
+
+def test_missing_if_equal_keeps_type(spark):
+    df = spark.createDataFrame([(0, 1.5), (3, 0.0)], "i int, d double")
+    out = df.select(missing_if_equal("i", 0).alias("i"), missing_if_equal("d", 0.0).alias("d"))
+    assert [f.dataType.simpleString() for f in out.schema.fields] == ["int", "double"]
+    assert [tuple(r) for r in out.collect()] == [(None, 1.5), (3, None)]

@@ -31,19 +31,9 @@ def as_missing(col: Column | str, condition: Column) -> Column:
 
 
 def missing_if_equal(col: Column | str, value) -> Column:
-    """Null where the column equals ``value``; keeps the column type."""
+    """Null where the column equals ``value``; keeps the column's type."""
     c = _col(col)
-    return F.when(c == F.lit(value), F.lit(None).cast(_null_type(value))).otherwise(c)
-
-
-def _null_type(value) -> str:
-    if isinstance(value, bool):
-        return "boolean"
-    if isinstance(value, int):
-        return "bigint"
-    if isinstance(value, float):
-        return "double"
-    return "string"
+    return F.when(c == F.lit(value), F.lit(None)).otherwise(c)
 
 
 def numeric(col: Column | str, dtype: str = "double") -> Column:
