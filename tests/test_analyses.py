@@ -180,3 +180,22 @@ def test_ingested_events_prune_by_event_type(spark, trace_dir):
     assert "PartitionFilters: [isnotnull(event_type" in plan and "(event_type#" in plan
     assert rows(A.event_share(te)) == rows(A.event_share(csv))
     assert rows(A.pending_delays(te)) == rows(A.pending_delays(csv))
+
+
+def test_jobs_share_one_scan_but_match_the_analyses(spark, trace_dir, trace):
+    from tracelens.plans.jobs import run_job
+    from tracelens.session import shared_dir
+
+    out = shared_dir(spark, "jobs-shared")
+    te = trace["task_events"]
+    p2 = run_job(spark, "job2", trace_dir, out)
+    assert rows(spark.read.parquet(p2["tasks_per_job"])) == rows(A.rows_per_key_stats(te))
+    assert rows(spark.read.parquet(p2["distinct_tasks_per_job"])) == rows(
+        A.rows_per_key_stats(te, entity="task_index"))
+    assert rows(spark.read.parquet(p2["median_tasks_per_job"])) == rows(A.rows_per_key_median(te))
+    p5 = run_job(spark, "job5", trace_dir, out)
+    assert rows(spark.read.parquet(p5["machines_per_job_top"])) == rows(
+        A.distinct_per_key_topk(te, "job_id", "machine_id"))
+    assert rows(spark.read.parquet(p5["rows_per_job_top"])) == rows(A.rows_per_key_topk(te))
+    assert rows(spark.read.parquet(p5["machines_per_job_frequency"])) == rows(
+        A.distinct_frequency(te, "job_id", "machine_id"))

@@ -8,9 +8,10 @@ executors to ``<out>/<job>/<result>/`` (parquet by default); a short text
 report with the run time and the first rows of each result goes to
 ``<out>/reports/<job>/<mm.dd>_result.txt``.
 
-Results that several others are derived from (J6's per-job table, J7's
-peaks) are written once and read back, so the derived results neither
-recompute the scans nor carry a long lineage.
+Results that several others are derived from (the per-job tables of J2,
+J5 and J6, J7's peaks, J8's pairs) are written once and read back, so the
+big tables are scanned once per job and the derived results carry no long
+lineage.
 """
 
 from __future__ import annotations
@@ -20,7 +21,11 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tracelens.operators.counting import frequency_of_counts
+from tracelens.operators.ordering import top_k
+from tracelens.operators.stats import exact_median, summary_stats
 from tracelens.plans import analyses as A
 from tracelens.sources.readers import ingest_trace_table, read_ingested_table, read_trace_table
 from tracelens.sources.schemas import TABLES
@@ -43,10 +48,14 @@ def job1(spark, t: Tables, out: str, fmt: str) -> dict[str, DataFrame]:
 
 
 def job2(spark, t, out, fmt):
-    te = t("task_events")
-    return {"tasks_per_job": A.rows_per_key_stats(te, "job_id"),
-            "distinct_tasks_per_job": A.rows_per_key_stats(te, "job_id", entity="task_index"),
-            "median_tasks_per_job": A.rows_per_key_median(te, "job_id")}
+    # One pass over task_events: rows and distinct tasks per job, persisted;
+    # the three results are read from that per-job table.
+    per_job = _persisted(spark, t("task_events").groupBy("job_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("task_index").alias("n_tasks")),
+        f"{out}/per_job", fmt)
+    return {"tasks_per_job": summary_stats(per_job, "n_rows", digits=2),
+            "distinct_tasks_per_job": summary_stats(per_job, "n_tasks", digits=2),
+            "median_tasks_per_job": exact_median(per_job, "n_rows", "median_rows")}
 
 
 def job3(spark, t, out, fmt):
@@ -59,10 +68,20 @@ def job4(spark, t, out, fmt):
 
 
 def job5(spark, t, out, fmt):
-    te = t("task_events")
-    return {"machines_per_job_top": A.distinct_per_key_topk(te, "job_id", "machine_id"),
-            "rows_per_job_top": A.rows_per_key_topk(te, "job_id"),
-            "machines_per_job_frequency": A.distinct_frequency(te, "job_id", "machine_id")}
+    # One pass over task_events: rows, distinct machines and whether a
+    # machine is missing, per job; the three results come from that table.
+    m = F.col("machine_id")
+    per_job = _persisted(spark, t("task_events").groupBy("job_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct(m).alias("n_known"),
+        F.max(F.when(m.isNull(), F.lit(1)).otherwise(F.lit(0))).alias("has_missing")),
+        f"{out}/per_job", fmt)
+    with_missing = per_job.select("job_id", (F.col("n_known") + F.col("has_missing"))
+                                  .alias("n_distinct"))
+    return {"machines_per_job_top": top_k(with_missing, "n_distinct", 10, tie_break="job_id"),
+            "rows_per_job_top": top_k(per_job.select("job_id", "n_rows"), "n_rows", 10,
+                                      tie_break="job_id"),
+            "machines_per_job_frequency": frequency_of_counts(
+                per_job.select(F.col("n_known").alias("n_distinct")), "n_distinct", "n_keys")}
 
 
 def job6(spark, t, out, fmt):
