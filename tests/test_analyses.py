@@ -125,8 +125,8 @@ def test_jobs_runner_writes_every_result(spark, trace_dir):
         assert "report" in paths
         report = "\n".join(r.value for r in spark.read.text(paths["report"]).collect())
         assert report.startswith("total time = ")
-    per_job = rows(spark.read.parquet(f"{out}/job6/cpu_per_job"), "job_id", "delta")
-    assert per_job == [(1, 10.0), (4, 15.0)]
+    per_job = A.pair_result(spark.read.parquet(f"{out}/job6/per_job"), "cpu")
+    assert rows(per_job, "job_id", "delta") == [(1, 10.0), (4, 15.0)]
     j8 = rows(spark.read.parquet(f"{out}/job8/delay_vs_constraints"))
     assert j8 == [(1, 13.0, 3.0)]
 
@@ -199,3 +199,12 @@ def test_jobs_share_one_scan_but_match_the_analyses(spark, trace_dir, trace):
     assert rows(spark.read.parquet(p5["rows_per_job_top"])) == rows(A.rows_per_key_topk(te))
     assert rows(spark.read.parquet(p5["machines_per_job_frequency"])) == rows(
         A.distinct_frequency(te, "job_id", "machine_id"))
+
+
+def test_request_vs_usage_pairs_equal_single_runs(trace):
+    te, tu = trace["task_events"], trace["task_usage"]
+    both = A.request_vs_usage_pairs(te, tu, [("cpu", "cpu_request", "cpu_rate"),
+                                             ("mem", "memory_request", "canonical_memory_usage")])
+    assert rows(A.pair_result(both, "cpu")) == rows(A.request_vs_usage(te, tu))
+    assert rows(A.pair_result(both, "mem")) == rows(A.request_vs_usage(
+        te, tu, request_col="memory_request", usage_col="canonical_memory_usage"))

@@ -85,16 +85,21 @@ def job5(spark, t, out, fmt):
 
 
 def job6(spark, t, out, fmt):
-    te, tu = t("task_events"), t("task_usage")
+    # CPU and memory in one pass over each table, joined once and persisted;
+    # every result below reads that per-job table.
+    per_job = _persisted(spark, A.request_vs_usage_pairs(
+        t("task_events"), t("task_usage"),
+        [("cpu", "cpu_request", "cpu_rate"), ("mem", "memory_request", "canonical_memory_usage")]),
+        f"{out}/per_job", fmt)
+    # per_job holds cpu_/mem_ request and usage per job; A.pair_result(per_job,
+    # kind) gives one kind with its delta, so no per-kind copy is written.
     results = {}
-    for kind, req, used in [("cpu", "cpu_request", "cpu_rate"),
-                            ("mem", "memory_request", "canonical_memory_usage")]:
-        per_job = _persisted(spark, A.request_vs_usage(te, tu, request_col=req, usage_col=used),
-                             f"{out}/{kind}_per_job", fmt)
-        results[f"{kind}_most_over"] = A.most_over(per_job)
-        results[f"{kind}_most_under"] = A.most_under(per_job)
-        results[f"{kind}_delta_histogram"] = A.delta_histogram(per_job)
-        results[f"{kind}_corr"] = A.request_usage_corr(per_job)
+    for kind in ["cpu", "mem"]:
+        pair = A.pair_result(per_job, kind)
+        results[f"{kind}_most_over"] = A.most_over(pair)
+        results[f"{kind}_most_under"] = A.most_under(pair)
+        results[f"{kind}_delta_histogram"] = A.delta_histogram(pair)
+        results[f"{kind}_corr"] = A.request_usage_corr(pair)
     return results
 
 
