@@ -208,3 +208,14 @@ def test_request_vs_usage_pairs_equal_single_runs(trace):
     assert rows(A.pair_result(both, "cpu")) == rows(A.request_vs_usage(te, tu))
     assert rows(A.pair_result(both, "mem")) == rows(A.request_vs_usage(
         te, tu, request_col="memory_request", usage_col="canonical_memory_usage"))
+
+
+def test_job8_results_match_the_analyses(spark, trace_dir, trace):
+    from tracelens.plans.jobs import run_job
+    from tracelens.session import shared_dir
+
+    p = run_job(spark, "job8", trace_dir, shared_dir(spark, "jobs-j8"))
+    te, tc = trace["task_events"], trace["task_constraints"]
+    assert rows(spark.read.parquet(p["positive_delays"])) == rows(A.positive_pending_delays(te))
+    corr = spark.read.parquet(p["corr"]).collect()[0][0]
+    assert corr == A.delay_constraints_corr(A.first_transition_delay(te, tc)).collect()[0][0]

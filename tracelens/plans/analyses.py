@@ -309,7 +309,18 @@ def first_transition_delay(events: DataFrame, constraints: DataFrame, *,
     delays = pending_delays(events, job=job, task=task, event_col=event_col,
                             time_col=time_col, submit=submit, leave=leave,
                             time_scale=time_scale)
-    avg_delay = delays.groupBy(job).agg(F.avg("delay").alias(delay_name))
+    return delay_vs_constraints(delays, constraints, job=job, task=task,
+                                max_constraints=max_constraints, digits=digits,
+                                delay_name=delay_name, constraints_name=constraints_name)
+
+
+def delay_vs_constraints(delays: DataFrame, constraints: DataFrame, *, job: str = "job_id",
+                         task: str = "task_index", delay_col: str = "delay",
+                         max_constraints: float = 50, digits: int | None = 3,
+                         delay_name: str = "avg_delay",
+                         constraints_name: str = "avg_constraints") -> DataFrame:
+    """J8 from precomputed (job, task) delays (the output of ``pending_delays``)."""
+    avg_delay = delays.groupBy(job).agg(F.avg(delay_col).alias(delay_name))
     cons = mean_rows_per_key(constraints, job, task, name=constraints_name,
                              below=max_constraints)
     out = join_on_keys(avg_delay, cons, job)

@@ -9,7 +9,7 @@ report with the run time and the first rows of each result goes to
 ``<out>/reports/<job>/<mm.dd>_result.txt``.
 
 Results that several others are derived from (the per-job tables of J2,
-J5 and J6, J7's peaks, J8's pairs) are written once and read back, so the
+J5 and J6, J7's peaks, J8's per-task delays and pairs) are written once and read back, so the
 big tables are scanned once per job and the derived results carry no long
 lineage.
 """
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tracelens.operators.counting import frequency_of_counts
 from tracelens.operators.ordering import top_k
 from tracelens.operators.stats import exact_median, summary_stats
+from tracelens.operators.transitions import positive_delays
 from tracelens.plans import analyses as A
 from tracelens.sources.readers import ingest_trace_table, read_ingested_table, read_trace_table
 from tracelens.sources.schemas import TABLES
@@ -110,10 +111,13 @@ def job7(spark, t, out, fmt):
 
 
 def job8(spark, t, out, fmt):
-    te, tc = t("task_events"), t("task_constraints")
-    res = _persisted(spark, A.first_transition_delay(te, tc), f"{out}/delay_vs_constraints", fmt)
+    # Delays per (job, task) computed once from task_events and persisted;
+    # the per-job pairs and the positive delays are both read from them.
+    delays = _persisted(spark, A.pending_delays(t("task_events")), f"{out}/delays", fmt)
+    res = _persisted(spark, A.delay_vs_constraints(delays, t("task_constraints")),
+                     f"{out}/delay_vs_constraints", fmt)
     return {"corr": A.delay_constraints_corr(res),
-            "positive_delays": A.positive_pending_delays(te)}
+            "positive_delays": positive_delays(delays)}
 
 
 JOBS = {"job1": job1, "job2": job2, "job3": job3, "job4": job4,
