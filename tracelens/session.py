@@ -66,8 +66,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     A cluster names a shared (distributed file system) folder in
     ``spark.checkpoint.dir``; it is read from the session and never
-    replaced.  Only when nothing is configured -- local tests -- a
-    folder of our own is created and registered.
+    replaced.  Only when nothing is configured and the master is local
+    (tests) a folder of our own is created and registered; on a cluster
+    a missing setting is an error.
     """
     configured = _configured_checkpoint_dir(spark)
     sc = _context(spark)
@@ -75,6 +76,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not str(master).startswith("local"):
+        # A folder on this machine is invisible to the other executors.
+        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
+                           "(e.g. on HDFS or an object store) for checkpoints and "
+                           "written intermediate tables")
     local = tempfile.mkdtemp(prefix="tracelens-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(local)
