@@ -219,3 +219,10 @@ def test_job8_results_match_the_analyses(spark, trace_dir, trace):
     assert rows(spark.read.parquet(p["positive_delays"])) == rows(A.positive_pending_delays(te))
     corr = spark.read.parquet(p["corr"]).collect()[0][0]
     assert corr == A.delay_constraints_corr(A.first_transition_delay(te, tc)).collect()[0][0]
+
+
+def test_peak_event_corr(trace):
+    # peaks below 100: job 1 99.4 (evicted), BIG 99.6 (evicted), 6 50.0 (never); job 4 is at 100
+    got = A.peak_event_corr(trace["task_usage"], trace["task_events"]).collect()[0][0]
+    x, y = np.array([99.4, 99.6, 50.0]), np.array([1.0, 1.0, 0.0])
+    assert got == pytest.approx(np.corrcoef(x, y)[0, 1], abs=1e-6)

@@ -275,6 +275,32 @@ def peak_vs_event(usage: DataFrame, events: DataFrame, *, key: str = "job_id",
     return semi_join(peaks, hit_keys, key)
 
 
+def peak_event_corr(usage: DataFrame, events: DataFrame, *, key: str = "job_id",
+                    peak_col: str = "maximum_cpu_rate", event_col: str = "event_type",
+                    event_value=EVICT, factor: float = 100.0, digits: int | None = 2,
+                    below: float = 100.0, corr_digits: int = 6) -> DataFrame:
+    """X2 for J7: correlation of a key's peak with whether it had the event.
+
+    Peaks as in ``peak_vs_event`` but for every key; the event indicator
+    comes from a left join to the deduplicated event keys (both sides one
+    row per key, hash-partitioned alike).
+    """
+    value = F.col(peak_col).cast("double") * F.lit(float(factor))
+    if digits is not None:
+        value = round_half_up(value, digits)
+    peaks = (usage.where(is_present(peak_col))
+             .select(F.col(key), value.alias("_p"))
+             .groupBy(key).agg(F.max("_p").alias("peak")))
+    if digits is not None:
+        peaks = peaks.withColumn("peak", round_half_up(F.col("peak"), digits))
+    peaks = peaks.where(F.col("peak") < F.lit(float(below)))
+    hit = (events.where(F.col(event_col) == F.lit(event_value)).select(key).distinct()
+           .withColumn("_hit", F.lit(1.0)))
+    pairs = (join_on_keys(peaks, hit, key, how="left")
+             .select("peak", F.coalesce(F.col("_hit"), F.lit(0.0)).alias("had_event")))
+    return correlation(pairs, "peak", "had_event", "corr", corr_digits)
+
+
 def peak_histogram(peaks: DataFrame, *, peak: str = "peak", name: str = "n_keys") -> DataFrame:
     """V3: keys per integer peak value."""
     return integer_histogram(peaks, peak, bucket=f"{peak}_int", name=name)

@@ -157,6 +157,11 @@ def q_peak_vs_event_int(spark, sf):
                            half_even=True)
 
 
+def q_peak_event_corr(spark, sf):
+    return A.peak_event_corr(B.peak_usage(spark, sf), B.order_events(spark, sf),
+                             event_value=B.ORDER_EVENT, below=B.PEAK_BELOW)
+
+
 def q_peak_histogram(spark, sf):
     return A.peak_histogram(_peaks(spark, sf))
 
@@ -273,6 +278,7 @@ QUERIES: dict[str, Query] = {
     "request_usage_corr": q_request_usage_corr,
     "peak_vs_event": q_peak_vs_event,
     "peak_vs_event_int": q_peak_vs_event_int,
+    "peak_event_corr": q_peak_event_corr,
     "peak_histogram": q_peak_histogram,
     "first_transition_delay": q_first_transition_delay,
     "positive_delays": q_positive_delays,
@@ -315,6 +321,7 @@ OPERATORS: dict[str, str] = {
     "request_usage_corr": "X2",
     "peak_vs_event": "J7 A10 P10 N3 P7 F2",
     "peak_vs_event_int": "J7 (RDD rounding) A10 P10 N3",
+    "peak_event_corr": "X2 J7 A10 A14",
     "peak_histogram": "V3",
     "first_transition_delay": "J8 V6 A9 N2 F4 A6 A15 P9 P10 N1",
     "positive_delays": "J8d P11",
@@ -512,6 +519,13 @@ GROUP BY 1""",
     "request_usage_corr": f"SELECT {R(_corr_sql('request', 'usage'), 6)} AS corr FROM ({_J6})",
     "peak_vs_event": _J7,
     "peak_vs_event_int": _J7_INT,
+    "peak_event_corr": f"""
+WITH p AS (SELECT l_orderkey AS job_id, {R(f"max({R('CAST(l_discount AS DOUBLE) * 100.0', 2)})", 2)} AS peak
+           FROM lineitem WHERE l_discount IS NOT NULL GROUP BY 1),
+k AS (SELECT DISTINCT o_orderkey AS job_id FROM orders WHERE o_orderstatus = 'F'),
+j AS (SELECT p.peak AS peak, CASE WHEN k.job_id IS NULL THEN 0.0 ELSE 1.0 END AS had_event
+      FROM p LEFT JOIN k ON p.job_id = k.job_id WHERE p.peak < 10.0)
+SELECT {R(_corr_sql('peak', 'had_event'), 6)} AS corr FROM j""",
     "peak_histogram": f"""
 SELECT CAST({R('peak', 0)} AS BIGINT) AS peak_int, count(*) AS n_keys
 FROM ({_J7}) GROUP BY 1""",

@@ -107,7 +107,8 @@ def job6(spark, t, out, fmt):
 def job7(spark, t, out, fmt):
     peaks = _persisted(spark, A.peak_vs_event(t("task_usage"), t("task_events")),
                        f"{out}/peaks", fmt)
-    return {"peak_histogram": A.peak_histogram(peaks)}
+    return {"peak_histogram": A.peak_histogram(peaks),
+            "peak_event_corr": A.peak_event_corr(t("task_usage"), t("task_events"))}
 
 
 def job8(spark, t, out, fmt):
