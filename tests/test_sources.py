@@ -129,3 +129,12 @@ def test_slash_column_is_usable(trace):
     tu.createOrReplaceTempView("tu_slash")
     sql = tu.sparkSession.sql("SELECT count(`disk_i/o_time`) AS n FROM tu_slash").collect()[0].n
     assert sql == tu.count()
+
+
+def test_hash_sample_width(spark):
+    assert readers.hash_bucket_prefix(0.001, 4) == "0042"
+    with pytest.raises(ValueError):
+        readers.hash_bucket_prefix(0.001)
+    df = spark.range(20000).select((F.col("id") % 5000).alias("k"))
+    kept = readers.hash_sample(df, "k", 0.01, width=3).select("k").distinct().count()
+    assert 20 < kept < 90  # about 1 % of 5000 keys

@@ -141,28 +141,34 @@ def sample_rows(df: DataFrame, fraction: float | None, seed: int = 42) -> DataFr
     return df.sample(withReplacement=False, fraction=float(fraction), seed=seed)
 
 
-def hash_bucket_prefix(fraction: float) -> str:
-    """Two hex digits: keys whose md5 starts below this are kept."""
+def hash_bucket_prefix(fraction: float, width: int = 2) -> str:
+    """``width`` hex digits: keys whose md5 starts below this are kept."""
     if not 0 < fraction <= 1:
         raise ValueError(f"fraction must be in (0, 1], got {fraction}")
-    return format(int(round(fraction * 256)), "02x")
+    buckets = int(round(fraction * 16 ** width))
+    if buckets == 0:
+        raise ValueError(f"fraction {fraction} is below one bucket of {16 ** width}; "
+                         f"use a larger width")
+    return format(buckets, f"0{width}x")
 
 
-def hash_sample_condition(key: Column | str, fraction: float) -> Column:
-    """Keep a key when the first two hex digits of md5(key) fall below the bound.
+def hash_sample_condition(key: Column | str, fraction: float, width: int = 2) -> Column:
+    """Keep a key when the first ``width`` hex digits of md5(key) fall below the bound.
 
     All rows of a key are kept or dropped together, the choice is the same
     in every engine that has md5, and the condition is a plain filter
-    evaluated inside the scan stage (no shuffle).
+    evaluated inside the scan stage (no shuffle).  The kept share is
+    ``fraction`` rounded to a multiple of ``16 ** -width``.
     """
     if fraction >= 1:
         return F.lit(True)
     key = F.col(key) if isinstance(key, str) else key
-    return F.substring(F.md5(key.cast("string")), 1, 2) < F.lit(hash_bucket_prefix(fraction))
+    return (F.substring(F.md5(key.cast("string")), 1, width)
+            < F.lit(hash_bucket_prefix(fraction, width)))
 
 
-def hash_sample(df: DataFrame, key: str, fraction: float) -> DataFrame:
-    return df.where(hash_sample_condition(key, fraction))
+def hash_sample(df: DataFrame, key: str, fraction: float, width: int = 2) -> DataFrame:
+    return df.where(hash_sample_condition(key, fraction, width))
 
 
 def cache_table(df: DataFrame) -> DataFrame:
