@@ -226,3 +226,18 @@ def test_peak_event_corr(trace):
     got = A.peak_event_corr(trace["task_usage"], trace["task_events"]).collect()[0][0]
     x, y = np.array([99.4, 99.6, 50.0]), np.array([1.0, 1.0, 0.0])
     assert got == pytest.approx(np.corrcoef(x, y)[0, 1], abs=1e-6)
+
+
+def test_jobs_cli(spark, trace_dir, capsys):
+    from tracelens.plans.jobs import main
+    from tracelens.session import shared_dir
+
+    pq, out = shared_dir(spark, "cli-pq"), shared_dir(spark, "cli-out")
+    main(["ingest", "--trace", trace_dir, "--out", pq,
+          "--tables", "machine_events,task_events,task_usage,task_constraints"])
+    main(["job4", "--trace", pq, "--input-format", "parquet", "--out", out,
+          "--shuffle-partitions", "8"])
+    printed = capsys.readouterr().out
+    assert "evictions_by_priority\t" in printed and "report\t" in printed
+    got = rows(spark.read.parquet(f"{out}/job4/evictions_by_priority"), "priority", "n_events")
+    assert got == [(0, 1), (1, 2), (9, 1)]

@@ -177,6 +177,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--format", default="parquet", choices=["parquet", "csv", "json", "orc"])
     p.add_argument("--input-format", default="csv", choices=["csv", "parquet"],
                    help="parquet: read tables written by 'ingest'")
+    p.add_argument("--tables", default=None,
+                   help="ingest only these tables (comma-separated; default: all five)")
     p.add_argument("--shuffle-partitions", type=int, default=None,
                    help="initial shuffle partition count (AQE coalesces it down); "
                         "size it so a partition of the largest shuffle is ~128 MB, "
@@ -189,7 +191,8 @@ def main(argv: list[str] | None = None) -> None:
                            str(args.shuffle_partitions)))
     spark = builder.getOrCreate()
     if args.job == "ingest":
-        paths = ingest(spark, args.trace, args.out)
+        tables = [t.strip() for t in args.tables.split(",")] if args.tables else None
+        paths = ingest(spark, args.trace, args.out, tables)
     else:
         paths = run_job(spark, args.job, args.trace, args.out, sample=args.sample,
                         seed=args.seed, fmt=args.format, input_format=args.input_format)
