@@ -36,9 +36,9 @@ Tables = Callable[[str], DataFrame]
 
 
 def _persisted(spark: SparkSession, df: DataFrame, path: str, fmt: str) -> DataFrame:
+    """Write ``df`` to shared storage and read it back with its known schema."""
     write_result(df, path, fmt)
-    return spark.read.format(fmt).schema(df.schema).load(path) if fmt != "parquet" \
-        else spark.read.parquet(path)
+    return spark.read.format(fmt).schema(df.schema).load(path)
 
 
 def job1(spark, t: Tables, out: str, fmt: str) -> dict[str, DataFrame]:
@@ -157,8 +157,7 @@ def run_job(spark: SparkSession, name: str, trace_root: str, out_root: str, *,
         path = f"{out}/{key}"
         write_result(df, path, fmt)
         paths[key] = path
-        back = spark.read.parquet(path) if fmt == "parquet" else \
-            spark.read.format(fmt).schema(df.schema).load(path)
+        back = spark.read.format(fmt).schema(df.schema).load(path)
         previews.append(f"{key}:\n{render_table(back, preview_rows)}")
     seconds = round(time.time() - t0, 2)
     paths["report"] = write_report(spark, f"{out_root.rstrip('/')}/reports", name, seconds,
