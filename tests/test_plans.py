@@ -87,3 +87,9 @@ def test_share_total_is_one_subquery(spark):
     for name in ["value_share", "event_share"]:
         plan = plan_text(entry.queries()[name](spark, SF))
         assert plan.count("Subquery ") == 1, name
+
+
+def test_distinct_counts_shuffle_on_key_and_value_first(spark):
+    plan = plan_text(entry.queries()["distinct_per_key_topk"](spark, SF))
+    assert re.search(r"Exchange hashpartitioning\(l_partkey#\d+L, l_suppkey#\d+L", plan)
+    assert re.search(r"Exchange hashpartitioning\(l_partkey#\d+L, \d+\)", plan)
