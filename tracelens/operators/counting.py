@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracelens.functions.missing import NA, label_missing
+from tracelens.functions.missing import label_missing
 
 
 def _list(cols: str | Sequence[str]) -> list[str]:
@@ -92,6 +92,6 @@ def distinct_rows(df: DataFrame, cols: str | Sequence[str] | None = None) -> Dat
 
 
 __all__ = [
-    "NA", "count_present", "distinct_and_rows", "distinct_count", "distinct_per_key",
+    "count_present", "distinct_and_rows", "distinct_count", "distinct_per_key",
     "distinct_rows", "frequency_of_counts", "rows_per_key", "value_counts",
 ]
