@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pytest
 
@@ -180,6 +182,8 @@ def test_ingested_events_prune_by_event_type(spark, trace_dir):
     assert "PartitionFilters: [isnotnull(event_type" in plan and "(event_type#" in plan
     assert rows(A.event_share(te)) == rows(A.event_share(csv))
     assert rows(A.pending_delays(te)) == rows(A.pending_delays(csv))
+    j8 = plan_text(A.pending_delays(te))
+    assert re.search(r"PartitionFilters: \[[^\]]*event_type#\d+ IN \(0,1,3,5,6\)", j8)
 
 
 def test_jobs_share_one_scan_but_match_the_analyses(spark, trace_dir, trace):
