@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -69,3 +70,18 @@ def test_shares_sum_to_one(spark, data):
     shares = op.share_of_total(counts, "n_rows", name="s", digits=None).collect()
     assert abs(sum(r.s for r in shares) - 1.0) < 1e-9
     assert {r.k: r.n_rows for r in shares} == pd.Series(data).value_counts().to_dict()
+
+
+@SETTINGS
+@given(sizes=st.lists(st.integers(1, 10_000), min_size=2, max_size=80))
+def test_summary_stats_match_numpy(spark, sizes):
+    df = spark.createDataFrame([(s,) for s in sizes], "n long")
+    r = op.summary_stats(df, "n", digits=None).collect()[0]
+    a = np.array(sizes, dtype=float)
+    mean, sp = a.mean(), a.std()
+    assert r["mean"] == pytest.approx(mean, rel=1e-12)
+    assert r["std_samp"] == pytest.approx(a.std(ddof=1), rel=1e-9, abs=1e-9)
+    assert r["std_pop"] == pytest.approx(sp, rel=1e-9, abs=1e-9)
+    assert (r["min"], r["max"]) == (min(sizes), max(sizes))
+    assert r["low_mean"] == pytest.approx(min(max(mean - sp, a.min()), a.max()), rel=1e-9)
+    assert r["high_mean"] == pytest.approx(min(max(mean + sp, a.min()), a.max()), rel=1e-9)
