@@ -245,3 +245,16 @@ def test_jobs_cli(spark, trace_dir, capsys):
     assert "evictions_by_priority\t" in printed and "report\t" in printed
     got = rows(spark.read.parquet(f"{out}/job4/evictions_by_priority"), "priority", "n_events")
     assert got == [(0, 1), (1, 2), (9, 1)]
+
+
+def test_job7_results_match_the_analyses(spark, trace_dir, trace):
+    from tracelens.plans.jobs import run_job
+    from tracelens.session import shared_dir
+
+    p = run_job(spark, "job7", trace_dir, shared_dir(spark, "jobs-j7"))
+    tu, te = trace["task_usage"], trace["task_events"]
+    assert rows(spark.read.parquet(p["peaks"])) == rows(A.peak_vs_event(tu, te))
+    assert rows(spark.read.parquet(p["peak_histogram"])) == rows(
+        A.peak_histogram(A.peak_vs_event(tu, te)))
+    got = spark.read.parquet(p["peak_event_corr"]).collect()[0][0]
+    assert got == A.peak_event_corr(tu, te).collect()[0][0]

@@ -275,15 +275,14 @@ def peak_vs_event(usage: DataFrame, events: DataFrame, *, key: str = "job_id",
     return semi_join(peaks, hit_keys, key)
 
 
-def peak_event_corr(usage: DataFrame, events: DataFrame, *, key: str = "job_id",
-                    peak_col: str = "maximum_cpu_rate", event_col: str = "event_type",
-                    event_value=EVICT, factor: float = 100.0, digits: int | None = 2,
-                    below: float = 100.0, corr_digits: int = 6) -> DataFrame:
-    """X2 for J7: correlation of a key's peak with whether it had the event.
-
-    Peaks as in ``peak_vs_event`` but for every key; the event indicator
-    comes from a left join to the deduplicated event keys (both sides one
-    row per key, hash-partitioned alike).
+def peak_table(usage: DataFrame, events: DataFrame, *, key: str = "job_id",
+               peak_col: str = "maximum_cpu_rate", event_col: str = "event_type",
+               event_value=EVICT, factor: float = 100.0, digits: int | None = 2) -> DataFrame:
+    """Per key: the peak (as in ``peak_vs_event``) and ``had_event`` (1.0 / 0.0).
+
+    One aggregation of ``usage`` and one left join to the deduplicated
+    event keys (both one row per key, partitioned alike); J7's peaks and
+    its correlation are both filters / aggregates of this table.
     """
     value = F.col(peak_col).cast("double") * F.lit(float(factor))
     if digits is not None:
@@ -293,12 +292,35 @@ def peak_event_corr(usage: DataFrame, events: DataFrame, *, key: str = "job_id",
              .groupBy(key).agg(F.max("_p").alias("peak")))
     if digits is not None:
         peaks = peaks.withColumn("peak", round_half_up(F.col("peak"), digits))
-    peaks = peaks.where(F.col("peak") < F.lit(float(below)))
     hit = (events.where(F.col(event_col) == F.lit(event_value)).select(key).distinct()
            .withColumn("_hit", F.lit(1.0)))
-    pairs = (join_on_keys(peaks, hit, key, how="left")
-             .select("peak", F.coalesce(F.col("_hit"), F.lit(0.0)).alias("had_event")))
-    return correlation(pairs, "peak", "had_event", "corr", corr_digits)
+    return (join_on_keys(peaks, hit, key, how="left")
+            .select(key, "peak", F.coalesce(F.col("_hit"), F.lit(0.0)).alias("had_event")))
+
+
+def peak_event_corr(usage: DataFrame, events: DataFrame, *, key: str = "job_id",
+                    peak_col: str = "maximum_cpu_rate", event_col: str = "event_type",
+                    event_value=EVICT, factor: float = 100.0, digits: int | None = 2,
+                    below: float = 100.0, corr_digits: int = 6) -> DataFrame:
+    """X2 for J7: correlation of a key's peak with whether it had the event.
+
+    Peaks as in ``peak_vs_event`` but for every key below ``below``.
+    """
+    table = peak_table(usage, events, key=key, peak_col=peak_col, event_col=event_col,
+                       event_value=event_value, factor=factor, digits=digits)
+    return peak_corr_of(table, below=below, corr_digits=corr_digits)
+
+
+def peak_corr_of(table: DataFrame, *, below: float = 100.0, corr_digits: int = 6) -> DataFrame:
+    """``peak_event_corr`` from a ``peak_table``."""
+    return correlation(table.where(F.col("peak") < F.lit(float(below))),
+                       "peak", "had_event", "corr", corr_digits)
+
+
+def peaks_of(table: DataFrame, *, key: str = "job_id", below: float = 100.0) -> DataFrame:
+    """``peak_vs_event`` from a ``peak_table``: keys with the event, peak below ``below``."""
+    return (table.where((F.col("had_event") == F.lit(1.0)) & (F.col("peak") < F.lit(float(below))))
+            .select(key, "peak"))
 
 
 def peak_histogram(peaks: DataFrame, *, peak: str = "peak", name: str = "n_keys") -> DataFrame:

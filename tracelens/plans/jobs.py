@@ -9,7 +9,7 @@ report with the run time and the first rows of each result goes to
 ``<out>/reports/<job>/<mm.dd>_result.txt``.
 
 Results that several others are derived from (the per-job tables of J2,
-J5 and J6, J7's peaks, J8's per-task delays and pairs) are written once and read back, so the
+J5, J6 and J7, J8's per-task delays and pairs) are written once and read back, so the
 big tables are scanned once per job and the derived results carry no long
 lineage.
 """
@@ -105,10 +105,13 @@ def job6(spark, t, out, fmt):
 
 
 def job7(spark, t, out, fmt):
-    peaks = _persisted(spark, A.peak_vs_event(t("task_usage"), t("task_events")),
-                       f"{out}/peaks", fmt)
-    return {"peak_histogram": A.peak_histogram(peaks),
-            "peak_event_corr": A.peak_event_corr(t("task_usage"), t("task_events"))}
+    # Peak and eviction flag per job from one pass over each table; the
+    # evicted jobs' peaks and the correlation are both read from it.
+    table = _persisted(spark, A.peak_table(t("task_usage"), t("task_events")),
+                       f"{out}/per_job", fmt)
+    peaks = A.peaks_of(table)
+    return {"peaks": peaks, "peak_histogram": A.peak_histogram(peaks),
+            "peak_event_corr": A.peak_corr_of(table)}
 
 
 def job8(spark, t, out, fmt):
