@@ -247,6 +247,20 @@ def request_usage_corr(result: DataFrame, *, request_name: str = "request",
 # ---------------------------------------------------------------- J7 / V3
 
 
+def _peaks(usage: DataFrame, key: str, peak_col: str, factor: float, digits: int | None,
+           rnd, name: str) -> DataFrame:
+    """Per key: the largest ``peak_col * factor`` (rounded per row and after)."""
+    value = F.col(peak_col).cast("double") * F.lit(float(factor))
+    if digits is not None:
+        value = rnd(value, digits)
+    peaks = (usage.where(is_present(peak_col))
+             .select(F.col(key), value.alias("_p"))
+             .groupBy(key).agg(F.max("_p").alias(name)))
+    if digits is not None:
+        peaks = peaks.withColumn(name, rnd(F.col(name), digits))
+    return peaks
+
+
 def peak_vs_event(usage: DataFrame, events: DataFrame, *, key: str = "job_id",
                   peak_col: str = "maximum_cpu_rate", event_col: str = "event_type",
                   event_value=EVICT, factor: float = 100.0, digits: int | None = 2,
@@ -261,15 +275,8 @@ def peak_vs_event(usage: DataFrame, events: DataFrame, *, key: str = "job_id",
     deduplicated keys, so keys with many events neither multiply rows nor
     skew the join.
     """
-    rnd = round_half_even if half_even else round_half_up
-    value = F.col(peak_col).cast("double") * F.lit(float(factor))
-    if digits is not None:
-        value = rnd(value, digits)
-    peaks = (usage.where(is_present(peak_col))
-             .select(F.col(key), value.alias("_p"))
-             .groupBy(key).agg(F.max("_p").alias(name)))
-    if digits is not None:
-        peaks = peaks.withColumn(name, rnd(F.col(name), digits))
+    peaks = _peaks(usage, key, peak_col, factor, digits,
+                   round_half_even if half_even else round_half_up, name)
     peaks = peaks.where(F.col(name) < F.lit(float(below)))
     hit_keys = events.where(F.col(event_col) == F.lit(event_value))
     return semi_join(peaks, hit_keys, key)
@@ -284,14 +291,7 @@ def peak_table(usage: DataFrame, events: DataFrame, *, key: str = "job_id",
     event keys (both one row per key, partitioned alike); J7's peaks and
     its correlation are both filters / aggregates of this table.
     """
-    value = F.col(peak_col).cast("double") * F.lit(float(factor))
-    if digits is not None:
-        value = round_half_up(value, digits)
-    peaks = (usage.where(is_present(peak_col))
-             .select(F.col(key), value.alias("_p"))
-             .groupBy(key).agg(F.max("_p").alias("peak")))
-    if digits is not None:
-        peaks = peaks.withColumn("peak", round_half_up(F.col("peak"), digits))
+    peaks = _peaks(usage, key, peak_col, factor, digits, round_half_up, "peak")
     hit = (events.where(F.col(event_col) == F.lit(event_value)).select(key).distinct()
            .withColumn("_hit", F.lit(1.0)))
     return (join_on_keys(peaks, hit, key, how="left")
