@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelens.llm import minhash_dedup
+from tracelens.llm import minhash_dedup, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,11 +16,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_tree_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, texts = substring_dedup.distinct_texts(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    cut = substring_dedup.cut_repeats(texts).withColumn("kept_sha256", F.sha2(F.col("kept").cast("binary"), 256))
+    return rows.join(cut.drop("kept"), "key").select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 def op10_superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(spark, _table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_suffix_tree_repeats": op1_suffix_tree_repeats,
     "op10_superminhash_dedup": op10_superminhash_dedup,
 }
 
