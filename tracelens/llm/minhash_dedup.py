@@ -147,7 +147,7 @@ def linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     keep = shared[column]
     column, owner = (np.cumsum(shared) - 1)[column[keep]], owner[keep]
     common = np.zeros((n, n), dtype=np.float32)
-    width = max(64, (1 << 22) // n)  # columns of the 0/1 matrix held at once
+    width = max(64, min(int(shared.sum()), (1 << 22) // n))  # columns of the 0/1 matrix held at once
     for lo in range(0, int(shared.sum()), width):
         a, b = np.searchsorted(column, [lo, lo + width])
         part = np.zeros((n, width), dtype=np.float32)
@@ -234,8 +234,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
         F.col("node").alias("id"), F.col("component").alias("cluster"), "own",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")) \
         .select("id", "cluster", F.concat_ws("-", F.least("own", "other"), F.greatest("own", "other")).alias("part"))
-    # One row per class: an id may be repeated, the representative's text is taken once.
-    texts = rows_in.where("id is not null and text is not null").join(paired, "id")
+    # The same join at every size: texts are dealt by id rather than the ids copied to all tasks.
+    texts = rows_in.where("id is not null and text is not null").hint("merge").join(paired, "id")
     dealt = texts.repartition("cluster", "part").sortWithinPartitions("cluster", "part", "id")
     links = table(spark, dealt.mapInArrow(_verify(k, percent), "a long, b long"), "minhash-links")
     groups = components(spark, links, "minhash-components")

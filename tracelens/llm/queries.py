@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelens.llm import minhash_dedup, substring_dedup
+from tracelens.llm import exact_dedup, minhash_dedup, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,13 +23,47 @@ def op1_suffix_tree_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
+def op9_streaming_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(spark, _table(spark, sf_dir, "documents")).drop("keep_locator")
+
+
 def op10_superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(spark, _table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     "op1_suffix_tree_repeats": op1_suffix_tree_repeats,
+    "op9_streaming_exact_dedup": op9_streaming_exact_dedup,
     "op10_superminhash_dedup": op10_superminhash_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_suffix_tree_repeats": r"""
+        WITH w AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        win AS (
+            SELECT doc_id, i, sha256(array_to_string(list_slice(words, i, i + 34), ' ')) AS h
+            FROM w, unnest(range(1, greatest(len(words) - 33, 1))) AS t(i)),
+        again AS (
+            SELECT doc_id, i FROM win WHERE h IN (SELECT h FROM win GROUP BY h HAVING count(*) > 1)),
+        gone AS (
+            SELECT DISTINCT doc_id, i + k AS pos FROM again, unnest(range(0, 35)) AS t(k)),
+        word AS (
+            SELECT doc_id, pos, words[pos] AS word FROM w, unnest(range(1, len(words) + 1)) AS t(pos)),
+        kept AS (
+            SELECT word.doc_id, count(*) AS n, string_agg(word.word, ' ' ORDER BY word.pos) AS text
+            FROM word ANTI JOIN gone ON word.doc_id = gone.doc_id AND word.pos = gone.pos GROUP BY word.doc_id)
+        SELECT w.doc_id, len(words) AS n_words, len(words) - coalesce(kept.n, 0) AS n_removed,
+               sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id""",
+    "op9_streaming_exact_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, length(coalesce(text, '')) AS n,
+                   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS text_sha256
+            FROM documents)
+        SELECT doc_id, first_value(doc_id) OVER w AS keep_id,
+               count(*) OVER (PARTITION BY text_sha256) AS group_size,
+               doc_id = first_value(doc_id) OVER w AS kept, text_sha256
+        FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
+}
