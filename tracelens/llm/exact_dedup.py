@@ -22,7 +22,7 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 
 def _normal(column: str):
-    """The text without any character of ``[\\x20\\x09-\\x0D]``; null counts as empty."""
+    r"""The text without any character of ``[\x20\x09-\x0D]``; null counts as empty."""
     return F.regexp_replace(F.coalesce(F.col(column).cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", "")
 
 
@@ -82,9 +82,9 @@ def digest_clashes(spark: SparkSession, docs: DataFrame, text_col: str = "text")
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, keep_id, group_size, kept, text_sha256, keep_locator) of every row of ``docs``.
+    r"""(id, keep_id, group_size, kept, text_sha256, keep_locator) of every row of ``docs``.
 
-    Texts are equal when they are identical without the characters of ``[\\x20\\x09-\\x0D]``.
+    Texts are equal when they are identical without the characters of ``[\x20\x09-\x0D]``.
     Of equal texts the row with most code points stays, then the one with the smallest id.
 
     Null text: empty, equal to other empty texts.  Null id: takes part, loses every tie to

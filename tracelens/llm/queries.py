@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelens.llm import exact_dedup, minhash_dedup, substring_dedup
+from tracelens.llm import decontaminate, exact_dedup, language_id, minhash_dedup, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,19 @@ def op1_suffix_tree_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
+def op5_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+def op8_mixture_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language_id.identify(spark, docs, language_id.train_on_kept_in(docs), keep=["doc_id"])
+    return found.select("doc.doc_id", language_id.held_out("doc.doc_id").alias("held_out"), "lang_pred", "score",
+                        "langs", "shares")
+
+
 def op9_streaming_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(spark, _table(spark, sf_dir, "documents")).drop("keep_locator")
 
@@ -33,6 +46,8 @@ def op10_superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_suffix_tree_repeats": op1_suffix_tree_repeats,
+    "op5_suffix_array_decontamination": op5_suffix_array_decontamination,
+    "op8_mixture_language_id": op8_mixture_language_id,
     "op9_streaming_exact_dedup": op9_streaming_exact_dedup,
     "op10_superminhash_dedup": op10_superminhash_dedup,
 }
@@ -56,6 +71,33 @@ ORACLE_SQL: dict[str, str] = {
         SELECT w.doc_id, len(words) AS n_words, len(words) - coalesce(kept.n, 0) AS n_removed,
                sha256(coalesce(kept.text, '')) AS kept_sha256
         FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id""",
+    "op5_suffix_array_decontamination": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+        b AS (
+            SELECT item_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+        item AS (
+            SELECT item_id, n, array_to_string(list_slice(words, i, i + n - 1), ' ') AS run
+            FROM (SELECT item_id, words, least(13, len(words)) AS n FROM b WHERE len(words) > 0),
+                 unnest(range(1, len(words) - n + 2)) AS t(i)),
+        sizes AS (SELECT DISTINCT n FROM item),
+        win AS (
+            SELECT doc_id, i, n, array_to_string(list_slice(words, i, i + n - 1), ' ') AS run
+            FROM d, sizes, unnest(range(1, greatest(len(words) - n + 2, 1))) AS t(i)),
+        hit AS (SELECT win.doc_id, win.i, win.n, item.item_id FROM win JOIN item ON win.run = item.run),
+        word AS (
+            SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hit, unnest(range(0, n)) AS t(k) GROUP BY doc_id),
+        found AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+            FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hit) GROUP BY doc_id)
+        SELECT d.doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+        FROM d LEFT JOIN word ON d.doc_id = word.doc_id LEFT JOIN found ON d.doc_id = found.doc_id""",
     "op9_streaming_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,

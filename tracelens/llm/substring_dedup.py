@@ -396,9 +396,9 @@ def cut_repeats(texts: DataFrame, window: int = 35, gram: int = 5, group_rows: i
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    window: int = 35, gram: int = 5, group_rows: int = 20000) -> DataFrame:
-    """Texts without repeated passages: (id, n_words, n_removed, kept) for every row of ``docs``.
+    r"""Texts without repeated passages: (id, n_words, n_removed, kept) for every row of ``docs``.
 
-    Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.  Every word inside a window of
+    Words are ``[^\x20\x09-\x0D]+``, unchanged.  Every word inside a window of
     ``window`` words that also starts elsewhere (other text or the same one, overlaps
     included) is removed; all windows are judged on the input.  ``kept`` is the
     remaining words joined by one space.

@@ -22,7 +22,7 @@ _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def space_words() -> np.ndarray:
-    """Byte table: true where a byte belongs to a word of ``[^\\x20\\x09-\\x0D]+``."""
+    r"""Byte table: true where a byte belongs to a word of ``[^\x20\x09-\x0D]+``."""
     table = np.ones(256, dtype=bool)
     table[[0x20, *range(0x09, 0x0E)]] = False
     return table
