@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelens.llm import decontaminate, exact_dedup, language_id, minhash_dedup, substring_dedup
+from tracelens.llm import decontaminate, exact_dedup, language_id, minhash_dedup, packing, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,10 @@ def op1_suffix_tree_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
+def op3_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, _table(spark, sf_dir, "documents"))
+
+
 def op5_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -46,6 +50,7 @@ def op10_superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_suffix_tree_repeats": op1_suffix_tree_repeats,
+    "op3_histogram_packing": op3_histogram_packing,
     "op5_suffix_array_decontamination": op5_suffix_array_decontamination,
     "op8_mixture_language_id": op8_mixture_language_id,
     "op9_streaming_exact_dedup": op9_streaming_exact_dedup,
