@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelens.llm import decontaminate, exact_dedup, language_id, minhash_dedup, packing, substring_dedup
+from tracelens.llm import decontaminate, exact_dedup, html_extract, language_id, minhash_dedup, packing, substring_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,23 @@ def op3_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, _table(spark, sf_dir, "documents"))
 
 
+def op2_boosted_tree_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    model = html_extract.train(spark, pages)
+    return html_extract.extract(spark, pages, model, keep=["page_id", "url"]) \
+        .select("page.page_id", "page.url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+# Fixed values of the rule list: (host, path, verdict).
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
+             ("org", "/fr/", "allow")]
+
+
+def op4_bloom_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql("SELECT * FROM VALUES " + ", ".join(str(r) for r in URL_RULES) + " AS t(host, path, verdict)")
+    return url_filter.judge_urls(spark, _table(spark, sf_dir, "pages"), rules)
+
+
 def op5_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -50,7 +67,9 @@ def op10_superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_suffix_tree_repeats": op1_suffix_tree_repeats,
+    "op2_boosted_tree_extraction": op2_boosted_tree_extraction,
     "op3_histogram_packing": op3_histogram_packing,
+    "op4_bloom_url_filter": op4_bloom_url_filter,
     "op5_suffix_array_decontamination": op5_suffix_array_decontamination,
     "op8_mixture_language_id": op8_mixture_language_id,
     "op9_streaming_exact_dedup": op9_streaming_exact_dedup,
@@ -76,6 +95,27 @@ ORACLE_SQL: dict[str, str] = {
         SELECT w.doc_id, len(words) AS n_words, len(words) - coalesce(kept.n, 0) AS n_removed,
                sha256(coalesce(kept.text, '')) AS kept_sha256
         FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id""",
+    "op4_bloom_url_filter": r"""
+        WITH rules(rhost, rpath, rverdict) AS (VALUES
+            ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+            ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+        rest AS (
+            SELECT row_number() OVER () AS n, page_id,
+                   CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+            FROM pages),
+        parts AS (
+            SELECT n, page_id, regexp_extract(rest, '^[^/?#]*') AS raw,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+        split AS (
+            SELECT n, page_id, path,
+                   translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host FROM parts),
+        fits AS (
+            SELECT n, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
+                   arg_max(rverdict, length(rhost || rpath)) AS verdict
+            FROM split JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+            GROUP BY n)
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+        FROM split LEFT JOIN fits ON split.n = fits.n""",
     "op5_suffix_array_decontamination": r"""
         WITH d AS (
             SELECT doc_id, regexp_extract_all(
