@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelens.llm import decontaminate, exact_dedup, html_extract, language_id, minhash_dedup, packing, substring_dedup, url_filter
+from tracelens.llm import (decontaminate, exact_dedup, html_extract, language_id, minhash_dedup, packing,
+                           substring_dedup, training_order, url_filter, warc_derive)
+from tracelens.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +52,16 @@ def op5_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    responses = warc_derive.responses_of_pages(_table(spark, sf_dir, "pages"))
+    return warc_derive.derive(responses, "key").withColumnRenamed("key", "page_id")
+
+
+def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "training-order")
+    return training_order.materialise(spark, _table(spark, sf_dir, "documents"), folder)
+
+
 def op8_mixture_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = language_id.identify(spark, docs, language_id.train_on_kept_in(docs), keep=["doc_id"])
@@ -71,6 +83,8 @@ QUERIES: dict[str, Query] = {
     "op3_histogram_packing": op3_histogram_packing,
     "op4_bloom_url_filter": op4_bloom_url_filter,
     "op5_suffix_array_decontamination": op5_suffix_array_decontamination,
+    "op6_warc_derivatives": op6_warc_derivatives,
+    "op7_training_order": op7_training_order,
     "op8_mixture_language_id": op8_mixture_language_id,
     "op9_streaming_exact_dedup": op9_streaming_exact_dedup,
     "op10_superminhash_dedup": op10_superminhash_dedup,
