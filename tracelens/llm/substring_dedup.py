@@ -38,7 +38,7 @@ from tracelens.llm import text as tx
 from tracelens.llm.store import columns_first
 
 U = np.uint64
-CHUNK_BYTES = 12 << 20  # text of stretches that one subtree pass holds
+CHUNK_BYTES = 3 << 20  # text of stretches that one subtree pass holds
 PLACE_BITS = 27  # words of one block of text
 
 
