@@ -21,6 +21,7 @@ from tracelens.llm import tokens
 from tracelens.llm.store import columns_first, table
 
 RANK_ROWS = 100_000  # pieces of one length that are ranked together
+RANK_LIMIT = 1 << 48  # above any rank: (length, rank) pairs are searched as one number
 
 
 def patterns(histogram: dict[int, int], size: int) -> list[tuple[tuple[int, ...], int]]:
@@ -103,8 +104,7 @@ def _place(where):
             length, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
             # The last place of this length that starts at or before the rank.
             first, last = np.searchsorted(at.length, length, "left"), np.searchsorted(at.length, length, "right")
-            step = int(at.rank.max()) + 1 if len(at.rank) else 1
-            row = np.searchsorted(at.length * step + at.rank, length * step + rank, "right") - 1
+            row = np.searchsorted(at.length * RANK_LIMIT + at.rank, length * RANK_LIMIT + rank, "right") - 1
             assert ((row >= first) & (row < last)).all(), "a piece has no place"
             names = batch.schema.names
             yield pa.RecordBatch.from_arrays(
