@@ -17,8 +17,12 @@ from pyspark.sql import functions as F
 from tracelens.llm.store import columns_first, table
 from tracelens.session import shared_dir
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on disk; many stores share a disk, so none reserves space ahead.
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def _normal(column: str):
@@ -48,19 +52,23 @@ def keep_state(spark: SparkSession, folder: str, schema, checkpoint: str, files_
     best = F.min(F.struct((-F.col("n")).alias("less"), F.col("id").isNull().alias("no_id"), "id", "row", "locator"))
     groups = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
               .groupBy("digest").agg(F.count("*").alias("group_size"), best.alias("best")))
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in _STATE}
+    for name, value in _STATE.items():
+        spark.conf.set(name, value)
     try:
         query = (groups.writeStream.outputMode("update").format("noop")
                  .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         query.awaitTermination()
+        state = spark.read.format("statestore").load(checkpoint).select(
+            F.col("key.digest").alias("digest"), F.col("value.count").alias("group_size"),
+            F.col("value.min").alias("best"))
+        return table(spark, state, "exact-groups")
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
-    return spark.read.format("statestore").load(checkpoint).select(
-        F.col("key.digest").alias("digest"), F.col("value.count").alias("group_size"), F.col("value.min").alias("best"))
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def _batch_best(rows: DataFrame, *keys: str) -> DataFrame:
