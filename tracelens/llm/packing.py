@@ -83,13 +83,13 @@ def _pieces(where: SimpleNamespace, size: int, end_id: int):
         for batch in batches:
             source, out = [], {"start": [], "length": [], "ids_crc32": [], "doc_tokens": []}
             for i, text in enumerate(batch.column("text").to_pylist()):
-                ids = np.append(encode(text or ""), np.uint32(end_id)).astype("<u4")
+                ids = [*encode(text or ""), end_id]
+                data = np.array(ids, dtype="<u4").tobytes()
                 for start in range(0, len(ids), size):
-                    piece = ids[start:start + size]
                     source.append(i)
                     out["start"].append(start)
-                    out["length"].append(len(piece))
-                    out["ids_crc32"].append(zlib.crc32(piece.tobytes()))
+                    out["length"].append(min(size, len(ids) - start))
+                    out["ids_crc32"].append(zlib.crc32(data[4 * start:4 * (start + size)]))
                     out["doc_tokens"].append(len(ids))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").take(pa.array(source, pa.int64()))]

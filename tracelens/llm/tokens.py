@@ -3,39 +3,48 @@
 from __future__ import annotations
 
 import base64
+import json
 from collections.abc import Callable
 from types import SimpleNamespace
 
-import numpy as np
-
 
 def vocabulary(json_path: str | None = None, ranks_path: str | None = None) -> SimpleNamespace:
-    """Where the vocabulary lies: the ``tokenizers`` file, the same vocabulary as ranks, its split pattern."""
+    """Where the vocabulary lies: the ``tokenizers`` file, the same vocabulary as ranks, its split
+    pattern and the strings of its special tokens."""
     import public_tokenizers
 
-    return SimpleNamespace(json=json_path or public_tokenizers.path("byte_bpe_50k.json"),
-                           ranks=ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"),
-                           pattern=public_tokenizers.PATTERN)
+    where = json_path or public_tokenizers.path("byte_bpe_50k.json")
+    with open(where, encoding="utf-8") as file:
+        special = [t["content"] for t in json.load(file).get("added_tokens", [])]
+    return SimpleNamespace(json=where, ranks=ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                           pattern=public_tokenizers.PATTERN, special=special)
 
 
-def encoder(where: SimpleNamespace) -> Callable[[str], np.ndarray]:
+def encoder(where: SimpleNamespace) -> Callable[[str], list[int]]:
     """A function from a text to its ids, as ``tokenizers`` gives them without added special tokens.
 
     The rank file holds the same vocabulary and merges, and its library encodes several
     times faster; a text that holds a special token's string is left to ``tokenizers``.
+    A worker process builds the encoding once and finds it again in the library's registry.
     """
     import tiktoken
-    from tokenizers import Tokenizer
-
-    whole = Tokenizer.from_file(where.json)
-    special = [t.content for t in whole.get_added_tokens_decoder().values()]
-    with open(where.ranks, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    fast = tiktoken.Encoding("ranks", pat_str=where.pattern, mergeable_ranks=ranks, special_tokens={})
-
-    def encode(text: str) -> np.ndarray:
-        if any(s in text for s in special):
-            return np.array(whole.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-        return np.array(fast.encode_ordinary(text), dtype=np.uint32)
+    from tiktoken.registry import ENCODINGS
+
+    name = f"{where.ranks}|{where.pattern}"
+    if name not in ENCODINGS:
+        with open(where.ranks, "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        ENCODINGS[name] = tiktoken.Encoding(name, pat_str=where.pattern, mergeable_ranks=ranks, special_tokens={})
+    fast = tiktoken.get_encoding(name)
+    whole = []
+
+    def encode(text: str) -> list[int]:
+        if any(s in text for s in where.special):
+            if not whole:
+                from tokenizers import Tokenizer
+
+                whole.append(Tokenizer.from_file(where.json))
+            return whole[0].encode(text, add_special_tokens=False).ids
+        return fast.encode_ordinary(text)
 
     return encode

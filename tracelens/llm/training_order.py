@@ -60,20 +60,22 @@ def _counts(where, stride):
 def _sequences(where, plan, stride, end_id, key):
     def run(batches):
         encode, part = tokens.encoder(where), TaskContext.get().partitionId()
+        kind, width = plan.value.kind, np.dtype(plan.value.kind).itemsize
         at = first = int(plan.value.first[part])
         for batch in batches:
             source, start, ids = [], [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
-                own = np.append(encode(text or ""), np.uint32(end_id)).astype("<u4")
+                own = [*encode(text or ""), end_id]
+                data = np.array(own, dtype=kind).tobytes()
                 for s in range(0, len(own), stride):
                     source.append(i)
                     start.append(s)
-                    ids.append(own[s:s + stride])
+                    ids.append(data[width * s:width * (s + stride)])
             slot = slots(np.arange(at, at + len(ids)), plan.value.total, key)
             at += len(ids)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").take(pa.array(source, pa.int64())), pa.array(start, pa.int64()), pa.array(slot),
-                 pa.array([x.astype(plan.value.kind).tobytes() for x in ids], pa.binary())],
+                 pa.array(ids, pa.binary())],
                 names=["id", "start", "slot", "ids"])
         if at - first != int(plan.value.count[part]):
             raise RuntimeError("the input gave other rows than when it was counted; read it from files")
@@ -82,6 +84,7 @@ def _sequences(where, plan, stride, end_id, key):
 
 def _shards(folder, stride, per_shard, kind, pad_id):
     width = np.dtype(kind).itemsize
+    filling = np.full(stride, pad_id, dtype=kind).tobytes()
 
     def run(batches):
         shard, records, rows = None, [], []
@@ -93,24 +96,22 @@ def _shards(folder, stride, per_shard, kind, pad_id):
             path = write_whole(folder, f"shard-{shard:06d}.bin", lambda out: [out.write(r) for r in records])
             slot, ident, start, length, crc = zip(*rows)
             return pa.RecordBatch.from_arrays(
-                [pa.concat_arrays(list(ident)), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
+                [pa.array(ident, id_type), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
                  pa.array(crc, pa.int64()), pa.array(slot, pa.int64()), pa.array([shard] * len(rows), pa.int64()),
                  pa.array([(s - first) * stride * width for s in slot], pa.int64()),
                  pa.array([path] * len(rows), pa.string())],
                 names=["id", "start", "length", "ids_crc32", "slot", "shard", "byte_offset", "file"])
 
         for batch in batches:
-            own = batch.column("id")
-            for i, (s, at, data) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("slot", "start", "ids")))):
+            id_type = batch.column("id").type
+            for s, own, at, data in zip(*(batch.column(c).to_pylist() for c in ("slot", "id", "start", "ids"))):
                 if s // per_shard != shard:
                     if rows:
                         yield finish()
                     shard, records, rows = s // per_shard, [], []
-                ids = np.frombuffer(data, dtype=kind)
-                full = np.full(stride, pad_id, dtype=kind)
-                full[:len(ids)] = ids
-                records.append(full.tobytes())
-                rows.append((s, own.slice(i, 1), at, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                records.append(data + filling[len(data):])
+                rows.append((s, own, at, len(data) // width,
+                             zlib.crc32(np.frombuffer(data, dtype=kind).astype("<u4").tobytes())))
         if rows:
             yield finish()
     return run
