@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import posixpath
 import uuid
-from collections.abc import Callable
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 
-def write_whole(folder: str, name: str, put: Callable) -> str:
-    """Write a file under a name of this attempt, then move it into place; return its path.
+@contextmanager
+def whole_file(folder: str, name: str) -> Iterator:
+    """A stream to write a file under a name of this attempt; at the end it is moved into place.
 
     A lost or repeated task leaves either no file or a whole one, and a repeat replaces it.
     ``folder`` is any location pyarrow's file systems know (a shared mount, HDFS, an object store).
@@ -19,6 +21,5 @@ def write_whole(folder: str, name: str, put: Callable) -> str:
     store.create_dir(root, recursive=True)
     attempt = posixpath.join(root, f".{name}.{uuid.uuid4().hex}")
     with store.open_output_stream(attempt, compression=None) as out:
-        put(out)
+        yield out
     store.move(attempt, posixpath.join(root, name))
-    return posixpath.join(folder, name)

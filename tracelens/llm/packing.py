@@ -84,7 +84,7 @@ def _pieces(where: SimpleNamespace, size: int, end_id: int):
             source, out = [], {"start": [], "length": [], "ids_crc32": [], "doc_tokens": []}
             for i, text in enumerate(batch.column("text").to_pylist()):
                 ids = [*encode(text or ""), end_id]
-                data = np.array(ids, dtype="<u4").tobytes()
+                data = tokens.pack_ids(ids, "<u4")
                 for start in range(0, len(ids), size):
                     source.append(i)
                     out["start"].append(start)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import base64
 import json
+import sys
+from array import array
 from collections.abc import Callable
 from types import SimpleNamespace
 
@@ -48,3 +50,11 @@ def encoder(where: SimpleNamespace) -> Callable[[str], list[int]]:
         return fast.encode_ordinary(text)
 
     return encode
+
+
+def pack_ids(ids: list[int], kind: str) -> bytes:
+    """The ids as little-endian unsigned numbers of ``kind`` (``<u2`` or ``<u4``)."""
+    out = array(next(c for c in "HIL" if array(c).itemsize == int(kind[2])), ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()

@@ -1,10 +1,13 @@
 """Training order on disk: a keyed permutation gives every sequence its slot in fixed-stride shards.
 
-Texts are tokenised and cut into sequences of at most ``stride`` ids.  Sequence i of N goes
-to slot P(i), where P is a Feistel network on the smallest even number of bits that holds N,
-walked along its cycle until the value is below N: a permutation that needs no table, that any
-task can evaluate, and that one key reproduces.  A shard holds a range of slots; its records all
-have the same size, so a reader finds slot s by arithmetic and resumes anywhere.
+Texts are tokenised, once, and cut into sequences of at most ``stride`` ids.  A sequence is
+known by its input partition and its number there.  A Feistel network on the smallest even
+number of bits that holds all such pairs, walked along its cycle until the value is one of them,
+permutes the pairs: no table is needed, any task can evaluate it, and one key reproduces it.
+Slots follow the permuted positions.  A shard holds a range of positions, so one shuffle brings
+each sequence to its shard, where sorting gives its record; the shards' counts, one number each,
+then give the global slots.  All records have the same size, so a reader finds any slot by
+arithmetic and resumes anywhere.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 import json
 import posixpath
 import zlib
+from contextlib import ExitStack
 from types import SimpleNamespace
 
 import numpy as np
@@ -21,16 +25,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracelens.llm import tokens
-from tracelens.llm.files import write_whole
-from tracelens.llm.store import columns_first
+from tracelens.llm.files import whole_file
+from tracelens.llm.store import columns_first, table
 from tracelens.llm.text import U, mix
 
 ROUNDS = 6
+LOCAL_BITS = 33  # sequences of one input partition
 
 
-def slots(index: np.ndarray, total: int, key: int) -> np.ndarray:
-    """The slot of each index below ``total``: a permutation of 0 .. total - 1."""
-    half = max(1, ((total - 1).bit_length() + 1) // 2)
+def positions(index: np.ndarray, domain: int, key: int) -> np.ndarray:
+    """The position of each index below ``domain``: a permutation of 0 .. ``domain`` - 1."""
+    half = max(1, ((domain - 1).bit_length() + 1) // 2)
     mask = U((1 << half) - 1)
     keys = mix(np.arange(1, ROUNDS + 1, dtype=np.uint64) * U(0x9E3779B97F4A7C15) + U(key & (2**64 - 1)))
 
@@ -41,120 +46,112 @@ def slots(index: np.ndarray, total: int, key: int) -> np.ndarray:
         return (left << U(half)) | right
 
     out = network(index.astype(np.uint64))
-    while len(far := np.flatnonzero(out >= U(total))):
+    while len(far := np.flatnonzero(out >= U(domain))):
         out[far] = network(out[far])
     return out.astype(np.int64)
 
 
-def _counts(where, stride):
-    def run(batches):
-        encode, n = tokens.encoder(where), 0
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                n += -(-(len(encode(text or "")) + 1) // stride)
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()),
-                                          pa.array([n], pa.int64())], names=["part", "n"])
-    return run
-
+def _sequences(where, stride, end_id, kind, key, domain, width):
+    size = np.dtype(kind).itemsize
 
-def _sequences(where, plan, stride, end_id, key):
     def run(batches):
-        encode, part = tokens.encoder(where), TaskContext.get().partitionId()
-        kind, width = plan.value.kind, np.dtype(plan.value.kind).itemsize
-        at = first = int(plan.value.first[part])
+        encode, part, at = tokens.encoder(where), TaskContext.get().partitionId(), 0
+        if (part + 1) << LOCAL_BITS > domain:
+            raise RuntimeError("the input has more partitions than it was planned with; read it from files")
         for batch in batches:
             source, start, ids = [], [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
                 own = [*encode(text or ""), end_id]
-                data = np.array(own, dtype=kind).tobytes()
-                for s in range(0, len(own), stride):
-                    source.append(i)
-                    start.append(s)
-                    ids.append(data[width * s:width * (s + stride)])
-            slot = slots(np.arange(at, at + len(ids)), plan.value.total, key)
+                data, cuts = tokens.pack_ids(own, kind), range(0, len(own), stride)
+                source += [i] * len(cuts)
+                start += cuts
+                ids += [data[size * s:size * (s + stride)] for s in cuts]
+            position = positions((part << LOCAL_BITS) + np.arange(at, at + len(ids)), domain, key)
             at += len(ids)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(pa.array(source, pa.int64())), pa.array(start, pa.int64()), pa.array(slot),
-                 pa.array(ids, pa.binary())],
-                names=["id", "start", "slot", "ids"])
-        if at - first != int(plan.value.count[part]):
-            raise RuntimeError("the input gave other rows than when it was counted; read it from files")
+                [batch.column("id").take(pa.array(source, pa.int64())), pa.array(start, pa.int64()),
+                 pa.array(position), pa.array((position // width).astype(np.int32)), pa.array(ids, pa.binary())],
+                names=["id", "start", "position", "shard", "ids"])
     return run
 
 
-def _shards(folder, stride, per_shard, kind, pad_id):
-    width = np.dtype(kind).itemsize
+def _shards(folder, stride, kind, pad_id):
+    size = np.dtype(kind).itemsize
     filling = np.full(stride, pad_id, dtype=kind).tobytes()
 
-    def run(batches):
-        shard, records, rows = None, [], []
-
-        def finish():
-            first = shard * per_shard
-            if [r[0] for r in rows] != list(range(first, first + len(rows))):
-                raise RuntimeError(f"shard {shard} lacks slots")
-            path = write_whole(folder, f"shard-{shard:06d}.bin", lambda out: [out.write(r) for r in records])
-            slot, ident, start, length, crc = zip(*rows)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(ident, id_type), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
-                 pa.array(crc, pa.int64()), pa.array(slot, pa.int64()), pa.array([shard] * len(rows), pa.int64()),
-                 pa.array([(s - first) * stride * width for s in slot], pa.int64()),
-                 pa.array([path] * len(rows), pa.string())],
-                names=["id", "start", "length", "ids_crc32", "slot", "shard", "byte_offset", "file"])
+    def rows(batch, lo, hi, record, out):
+        crc, length = [], []
+        for data in batch.column("ids").slice(lo, hi - lo).to_pylist():
+            out.write(data + filling[len(data):])
+            length.append(len(data) // size)
+            crc.append(zlib.crc32(np.frombuffer(data, dtype=kind).astype("<u4").tobytes()))
+        own = batch.slice(lo, hi - lo)
+        return pa.RecordBatch.from_arrays(
+            [own.column("id"), own.column("start"), pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
+             own.column("shard"), pa.array(np.arange(record, record + hi - lo))],
+            names=["id", "start", "length", "ids_crc32", "shard", "record"])
 
-        for batch in batches:
-            id_type = batch.column("id").type
-            for s, own, at, data in zip(*(batch.column(c).to_pylist() for c in ("slot", "id", "start", "ids"))):
-                if s // per_shard != shard:
-                    if rows:
-                        yield finish()
-                    shard, records, rows = s // per_shard, [], []
-                records.append(data + filling[len(data):])
-                rows.append((s, own, at, len(data) // width,
-                             zlib.crc32(np.frombuffer(data, dtype=kind).astype("<u4").tobytes())))
-        if rows:
-            yield finish()
+    def run(batches):
+        shard, record, file = None, 0, None
+        with ExitStack() as last:
+            for batch in batches:
+                shards = batch.column("shard").to_numpy()
+                cuts = [0, *(np.flatnonzero(shards[1:] != shards[:-1]) + 1).tolist(), len(shards)]
+                for lo, hi in zip(cuts[:-1], cuts[1:]):
+                    if lo == hi:
+                        continue
+                    if shards[lo] != shard:
+                        last.close()  # the shard before is whole
+                        shard, record = int(shards[lo]), 0
+                        file = last.enter_context(whole_file(folder, f"shard-{shard:06d}.bin"))
+                    yield rows(batch, lo, hi, record, file)
+                    record += hi - lo
     return run
 
 
 def materialise(spark: SparkSession, docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text",
-                stride: int = 256, per_shard: int = 32768, key: int = 20240229, end_id: int = 1, pad_id: int = 0,
+                stride: int = 256, shards: int | None = None, key: int = 20240229, end_id: int = 1, pad_id: int = 0,
                 kind: str = "<u2", where: SimpleNamespace | None = None) -> DataFrame:
-    """Write the shards below ``folder``; (id, start, length, ids_crc32, slot, shard, byte_offset, file) of each sequence.
+    """Write the shards below ``folder``; (id, start, length, ids_crc32, slot, shard, record, byte_offset) of each sequence.
 
     A row's ids and ``end_id`` are cut every ``stride`` ids; each piece is one sequence, filled up
-    with ``pad_id``.  Record r of shard k is slot k * ``per_shard`` + r.  ``folder`` also gets
-    ``order.json`` with what a reader needs.  The shards are written when the returned table is.
+    with ``pad_id``.  ``record`` is its place in its shard, ``slot`` its global one; slots run from 0
+    without gaps.  By default there are as many shards as input partitions, so they grow with the
+    input.  ``folder`` also gets ``order.json`` with what a reader needs.
 
     Null text: empty, so ``end_id`` alone.  Null and repeated ids are passed through; each row is
     a text of its own.  Other columns are ignored.  An empty table gives no rows and no shards.
 
-    ``docs`` must be read straight from files: it is read twice, first to count the sequences of
-    each input partition (one number a partition reaches the driver), then to place them, and a
-    partition that differs from its count ends the job.  Only placed ids are shuffled.
+    ``docs`` should be read straight from files: a partition that is computed again must give its
+    rows in the same order.  Only the ids are shuffled, once.
     """
     where = where or tokens.vocabulary()
     rows = columns_first(docs, id=id_col, text=text_col).withColumn("text", F.col("text").cast("string"))
-    counted = rows.select("id", "text").mapInArrow(_counts(where, stride), "part int, n long").collect()
-    count = np.zeros(max((r["part"] for r in counted), default=-1) + 1, dtype=np.int64)
-    for r in counted:
-        count[r["part"]] = r["n"]
-    total = int(count.sum())
+    parts = max(1, rows.rdd.getNumPartitions())
+    shards = shards or parts
+    domain = parts << LOCAL_BITS
+    width = -(-domain // shards)
     id_type = rows.schema["id"].dataType.simpleString()
-    schema = f"id {id_type}, start long, length long, ids_crc32 long, slot long, shard long, byte_offset long, file string"
-    if not total:
-        return spark.createDataFrame([], schema).withColumnRenamed("id", id_col)
-    plan = spark.sparkContext.broadcast(
-        SimpleNamespace(first=np.cumsum(count) - count, count=count, total=total, kind=kind))
-    facts = {"stride": stride, "per_shard": per_shard, "sequences": total, "kind": kind, "key": key,
-             "end_id": end_id, "pad_id": pad_id}
-    write_whole(folder, "order.json", lambda out: out.write(json.dumps(facts).encode()))
-    placed = rows.mapInArrow(_sequences(where, plan, stride, end_id, key),
-                             f"id {id_type}, start long, slot long, ids binary")
-    dealt = placed.repartitionById(-(-total // per_shard), (F.col("slot") / per_shard).cast("int")) \
-        .sortWithinPartitions("slot")
-    out = dealt.mapInArrow(_shards(folder, stride, per_shard, kind, pad_id), schema)
-    return out.withColumnRenamed("id", id_col) if id_col != "id" else out
+    placed = rows.mapInArrow(_sequences(where, stride, end_id, kind, key, domain, width),
+                             f"id {id_type}, start long, position long, shard int, ids binary")
+    written = placed.repartitionById(shards, "shard").sortWithinPartitions("position") \
+        .mapInArrow(_shards(folder, stride, kind, pad_id),
+                    f"id {id_type}, start long, length long, ids_crc32 long, shard int, record long")
+    # The records' index; writing it writes the shards.
+    index = table(spark, written, "training-order-index")
+    count = {r["shard"]: r["n"] for r in index.groupBy("shard").agg(F.count("*").alias("n")).collect()}
+    first, files = [], []
+    for shard in range(shards):
+        first.append(sum(files[-1][1:]) if files else 0)
+        files.append((shard, first[-1], count.get(shard, 0)))
+    facts = {"stride": stride, "kind": kind, "key": key, "end_id": end_id, "pad_id": pad_id,
+             "shards": [f for f in files if f[2]]}
+    with whole_file(folder, "order.json") as out:
+        out.write(json.dumps(facts).encode())
+    slot = F.element_at(F.lit(first), F.col("shard") + 1) + F.col("record")
+    return index.select(
+        F.col("id").alias(id_col), "start", "length", "ids_crc32", slot.cast("long").alias("slot"), "shard", "record",
+        (F.col("record") * (stride * np.dtype(kind).itemsize)).alias("byte_offset"))
 
 
 def read_slots(folder: str, first: int, n: int) -> np.ndarray:
@@ -164,13 +161,11 @@ def read_slots(folder: str, first: int, n: int) -> np.ndarray:
     store, root = FileSystem.from_uri(folder)
     with store.open_input_file(posixpath.join(root, "order.json")) as file:
         facts = SimpleNamespace(**json.loads(file.read()))
-    last = min(first + n, facts.sequences)
     width, parts = np.dtype(facts.kind).itemsize * facts.stride, []
-    while first < last:
-        shard, at = divmod(first, facts.per_shard)
-        some = min(last - first, facts.per_shard - at)
-        with store.open_input_file(posixpath.join(root, f"shard-{shard:06d}.bin")) as file:
-            file.seek(at * width)
-            parts.append(np.frombuffer(file.read(some * width), dtype=facts.kind).reshape(-1, facts.stride))
-        first += some
+    for shard, start, count in facts.shards:
+        lo, hi = max(first, start), min(first + n, start + count)
+        if lo < hi:
+            with store.open_input_file(posixpath.join(root, f"shard-{shard:06d}.bin")) as file:
+                file.seek((lo - start) * width)
+                parts.append(np.frombuffer(file.read((hi - lo) * width), dtype=facts.kind).reshape(-1, facts.stride))
     return np.concatenate(parts) if parts else np.zeros((0, facts.stride), dtype=facts.kind)

@@ -12,7 +12,6 @@ import base64
 import gzip
 import hashlib
 import html
-import io
 import json
 import re
 import uuid
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracelens.llm.dom import Page
-from tracelens.llm.files import write_whole
+from tracelens.llm.files import whole_file
 from tracelens.llm.store import columns_first
 
 RESPONSE = "record_id string, target_uri string, date string, payload_digest string, block binary"
@@ -167,27 +166,27 @@ def _write(folder: str, prefix: str):
     def run(batches):
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
-        body, index, at = io.BytesIO(), [], 0
-        for batch in batches:
-            for record, head, block in zip(*(batch.column(c).to_pylist() for c in ("record_id", "header", "block"))):
-                member = gzip.compress(head.encode() + block.encode("utf-8", "replace") + b"\r\n\r\n", mtime=0)
-                index.append((record, at, len(member)))
-                body.write(member)
-                at += len(member)
-        if index:
-            path = write_whole(folder, f"{prefix}-{part:06d}.warc.gz", lambda out: out.write(body.getbuffer()))
-            record, offset, length = zip(*index)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([path] * len(index)), pa.array(record), pa.array(offset, pa.int64()),
-                 pa.array(length, pa.int64())], names=["file", "record_id", "offset", "length"])
+        name, at = f"{prefix}-{TaskContext.get().partitionId():06d}.warc.gz", 0
+        with whole_file(folder, name) as out:
+            for batch in batches:
+                index = []
+                for record, head, block in zip(*(batch.column(c).to_pylist() for c in ("record_id", "header", "block"))):
+                    member = gzip.compress(head.encode() + block.encode("utf-8", "replace") + b"\r\n\r\n", mtime=0)
+                    index.append((record, at, len(member)))
+                    out.write(member)
+                    at += len(member)
+                record, offset, length = zip(*index) if index else ((), (), ())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f"{folder}/{name}"] * len(index), pa.string()), pa.array(record, pa.string()),
+                     pa.array(offset, pa.int64()), pa.array(length, pa.int64())],
+                    names=["file", "record_id", "offset", "length"])
     return run
 
 
 def write_warc(records: DataFrame, folder: str, prefix: str = "derived") -> DataFrame:
     """Write derived records as gzip members, one file a task; (file, record_id, offset, length) of each.
 
-    The files are written when the returned index is; a task holds its own compressed file.
+    The files are written when the returned index is computed.
     """
     return records.select("record_id", "header", "block").mapInArrow(
         _write(folder, prefix), "file string, record_id string, offset long, length long")
