@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tracelens.llm.store import table
@@ -24,24 +24,29 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
 
+def _written(spark: SparkSession, links: DataFrame, name: str) -> tuple[DataFrame, tuple]:
+    """The links as a written table, and a fingerprint of them that the write itself gathers."""
+    seen = Observation()
+    out = table(spark, links.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")), name)
+    return out, (seen.get["n"], seen.get["x"])
+
+
 def components(spark: SparkSession, edges: DataFrame, name: str) -> DataFrame:
     """(node, component) of every node of ``edges`` (a, b: long); component is the smallest node.
 
     Union-find as alternating large-star and small-star rounds: each round is a
     few joins on the links, written to the shared folder, so a lost executor
-    costs at most one round.  Rounds grow with the logarithm of the longest
+    costs at most one round; a round that leaves the links as they are is the last.
+    Rounds grow with the logarithm of the longest
     path.  A node with very many links is reduced map-side before it is
     shuffled.  Self-links and nulls are ignored; no links give no rows.
     """
-    links = table(spark, edges.where("a <> b").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
+    links, seen = _written(spark, edges.where("a <> b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), name)
     while True:
-        # Done when every node has one parent and no parent has a parent: all trees are stars.
-        parents = links.groupBy("a").agg(F.min("b").alias("m"), F.max("b").alias("x"))
-        several = parents.where("m <> x").select("a")
-        chained = parents.select("a").join(links.select(F.col("b").alias("a")), "a", "left_semi")
-        if several.unionByName(chained).isEmpty():
+        links, now = _written(spark, _small_star(_large_star(links)), name)
+        if now == seen:  # nothing moved: every link leads from a node to its root
             break
-        links = table(spark, _small_star(_large_star(links)), name)
+        seen = now
     stars = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
