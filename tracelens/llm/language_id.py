@@ -80,12 +80,12 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", s
     rows = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")) \
         .where("text is not null and lang is not null")
     counts = rows.mapInArrow(_count, "lang string, bucket int, n long") \
-        .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    langs = sorted(counts["lang"].unique())
+        .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    own = np.array(counts["lang"].to_pylist(), dtype=object)
+    langs = sorted(set(own))
     table = np.full((BUCKETS, len(langs)), smoothing)
     for k, lang in enumerate(langs):
-        own = counts[counts["lang"] == lang]
-        table[own["bucket"].to_numpy(), k] += own["n"].to_numpy()
+        table[counts["bucket"].to_numpy()[own == lang], k] += counts["n"].to_numpy()[own == lang]
     log_p = np.log(table / table.sum(axis=0)) if langs else table
     return SimpleNamespace(langs=langs, log_p=log_p.astype(np.float32))
 
