@@ -2,8 +2,9 @@
 
 Every block node is described by its subtree's density, its attribute tokens, its
 depth and its siblings.  Boosted trees (Spark ML) are fitted on weakly labelled nodes
-of a bounded sample of pages; each sampled page is used twice, once with its attribute
-tokens hidden, so that pages without telling names are handled too.  The trees' margins
+of a bounded sample of pages; each sampled page is also used with its attribute tokens
+hidden, so that pages without telling names are handled too, and with paragraphs repeated
+in parts named as comments, notices and the like.  The trees' margins
 are then decoded over each page: a node is outside, inside or cut out of main text, where
 inside follows outside and cut out follows inside down the tree, so no descendant
 contradicts its ancestors.
@@ -12,6 +13,7 @@ contradicts its ancestors.
 from __future__ import annotations
 
 import re
+import zlib
 from types import SimpleNamespace
 
 import numpy as np
@@ -22,11 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tracelens.llm.dom import Page
+from tracelens.llm.dom import AGAINST, Page
 from tracelens.llm.store import columns_first, table
 
 PUNCTUATION = re.compile(r"[.,;:!?]")
 TEXT_TAGS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6".split())
+PARAGRAPH = re.compile(r"<p\b[^>]*>([^<]*)</p>", re.I)
 PAGES_PER_PASS = 128
 MARGIN_LIMIT = 4.0  # of a node's log-odds, so that one node never outweighs a page
 SWITCH_COST = 0.5  # log-odds to enter main text or to cut a part out of it
@@ -107,21 +110,42 @@ def weak_labels(page: Page) -> np.ndarray:
     return label
 
 
+def with_asides(source: str) -> str:
+    """The page with every third paragraph repeated below it in a part whose class speaks against main text.
+
+    Stands for comments, notices and the like between or after paragraphs, whose text looks like
+    main text; the classes are taken in turn.
+    """
+    names, count = sorted(AGAINST), iter(range(len(source)))
+
+    def add(m):
+        n = next(count)
+        if n % 3:
+            return m[0]
+        word = names[(zlib.crc32(source.encode("utf-8", "replace")) + n) % len(names)]
+        return f'{m[0]}<div class="{word}"><p>{m[1]}</p></div>'
+
+    return PARAGRAPH.sub(add, source)
+
+
 def _labelled(batches):
     for batch in batches:
         for source in batch.column("html").to_pylist():
-            page = Page(source or "")
-            features, _ = node_features(page)
-            label = weak_labels(page)
-            some = np.flatnonzero((label >= 0) & (features[:, 0] > 0))
-            if not len(some):
-                continue
-            hidden = features[some].copy()
-            hidden[:, FIRST_HINT:] = 0
-            both = np.concatenate([features[some], hidden])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.tile(label[some], 2).astype(np.float64)), pa.array(list(both), pa.list_(pa.float64()))],
-                names=["label", "values"])
+            for text, also_hidden in ((source or "", True), (with_asides(source or ""), False)):
+                page = Page(text)
+                features, _ = node_features(page)
+                label = weak_labels(page)
+                some = np.flatnonzero((label >= 0) & (features[:, 0] > 0))
+                if not len(some):
+                    continue
+                rows, labels = features[some], label[some]
+                if also_hidden:
+                    hidden = rows.copy()
+                    hidden[:, FIRST_HINT:] = 0
+                    rows, labels = np.concatenate([rows, hidden]), np.tile(labels, 2)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(labels.astype(np.float64)), pa.array(list(rows), pa.list_(pa.float64()))],
+                    names=["label", "values"])
 
 
 def _tree_tables(text: str) -> list[list[tuple]]:

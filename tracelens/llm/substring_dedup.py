@@ -357,7 +357,7 @@ def distinct_texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFra
     return rows.select("id", "key"), texts
 
 
-def cut_repeats(texts: DataFrame, window: int = 35, gram: int = 5, group_rows: int = 20000) -> DataFrame:
+def cut_repeats(texts: DataFrame, window: int = 35, gram: int = 5, group_rows: int = 2000) -> DataFrame:
     """(key, n_words, n_removed, kept) of distinct texts (key, text, weight).
 
     One plan: the texts are shuffled once, by key, and that exchange is read by
@@ -395,7 +395,7 @@ def cut_repeats(texts: DataFrame, window: int = 35, gram: int = 5, group_rows: i
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   window: int = 35, gram: int = 5, group_rows: int = 20000) -> DataFrame:
+                   window: int = 35, gram: int = 5, group_rows: int = 2000) -> DataFrame:
     r"""Texts without repeated passages: (id, n_words, n_removed, kept) for every row of ``docs``.
 
     Words are ``[^\x20\x09-\x0D]+``, unchanged.  Every word inside a window of
