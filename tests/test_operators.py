@@ -134,15 +134,9 @@ def test_mean_rows_per_key(spark):
     c = spark.createDataFrame([(1, 0)] * 2 + [(1, 1)] * 4 + [(2, 0)] * 60, "job long, task long")
     assert rows(op.mean_rows_per_key(c, "job", "task")) == [(1, 3.0), (2, 60.0)]
     assert rows(op.mean_rows_per_key(c, "job", "task", below=50)) == [(1, 3.0)]
-    assert rows(op.two_level_mean(c, "job", "task", "m")) == [(1, 3.0), (2, 60.0)]
 
 
-def test_per_key_aggregates(spark):
-    df = spark.createDataFrame([(1, 2.0), (1, 4.0), (2, None)], "k long, v double")
-    assert rows(op.mean_per_key(df, "k", "v", "m")) == [(1, 3.0), (2, None)]
-    assert rows(op.min_per_key(df, "k", "v", "m")) == [(1, 2.0), (2, None)]
-    assert rows(op.max_per_key(df, "k", "v", "m")) == [(1, 4.0), (2, None)]
-    assert rows(op.sum_per_key(df, "k", "v", "m")) == [(1, 6.0), (2, None)]
+def test_correlation(spark):
     c = op.correlation(spark.createDataFrame([(1.0, 2.0), (2.0, 4.1), (3.0, 6.0)], "x double, y double"),
                        "x", "y")
     assert c.collect()[0][0] == pytest.approx(np.corrcoef([1, 2, 3], [2, 4.1, 6])[0, 1], abs=1e-6)
@@ -153,3 +147,23 @@ def test_correlation_of_constant_column_is_missing(spark):
     assert op.correlation(df, "x", "y").collect()[0][0] is None  # corr() would raise under ANSI
     one = spark.createDataFrame([(1.0, 2.0)], "x double, y double")
     assert op.correlation(one, "x", "y").collect()[0][0] is None
+
+
+def test_histogram_counts_every_value(spark):
+    nan, inf = float("nan"), float("inf")
+    cases = [([nan, 1.0, 2.0, 3.0], 1), ([1e308, -1e308, 0.0, 5.0], 0), ([inf, -inf, 4.0, 4.0, None], 2),
+             ([7.0], 0), ([nan, nan], 2), ([1.7e308, -1.7e308, None], 0)]
+    for values, not_finite in cases:
+        got = op.equal_width_histogram(spark.createDataFrame([(v,) for v in values], "x double"), "x", 10).collect()
+        assert sum(r.n_rows for r in got) == sum(v is not None for v in values), values
+        assert {r.bin: r.n_rows for r in got}.get(-1, 0) == not_finite
+        assert sorted(r.bin for r in got if r.bin >= 0) == list(range(10))
+
+
+def test_median_reads_counts_of_values(spark):
+    from conftest import plan_text
+
+    df = spark.createDataFrame([(v,) for v in (1, 1, 2, 5, 5, 5, None)], "n long")
+    out = op.exact_median(df, "n")
+    assert out.collect()[0][0] == 3.5
+    assert "percentile(n" in plan_text(out).replace("`", "") and "_n#" in plan_text(out)

@@ -5,20 +5,18 @@ from tracelens.functions.missing import (
     is_present,
     label_missing,
     missing_if_equal,
-    numeric,
 )
 from tracelens.functions.arith import (
     clamp,
-    difference,
     ratio,
     round_half_even,
+    round_even_sql,
     round_half_up,
     round_sql,
     scale_round,
 )
 
 __all__ = [
-    "NA", "as_missing", "clamp", "concat_key", "difference", "is_present",
-    "label_missing", "missing_if_equal", "numeric", "ratio", "round_half_even",
-    "round_half_up", "round_sql", "scale_round", "split_key",
+    "NA", "as_missing", "clamp", "concat_key", "is_present", "label_missing",
+    "missing_if_equal", "ratio", "round_even_sql", "round_half_even", "round_half_up", "round_sql", "scale_round", "split_key",
 ]

@@ -9,6 +9,10 @@ gives 1.01, a binary one 1.0).  Fixing 8 decimals first also absorbs the
 last-bit noise of sums taken in a different order on different
 partitionings, so the same data gives the same rounded value however it
 was split.  ``round_half_even`` mirrors Python's ``round``.
+
+No value is ever lost: NaN, the infinities and magnitudes of 1e29 and more
+(whole numbers far beyond a double's fraction digits) pass unchanged.  More
+than 8 digits cannot be kept by the rule and are refused.
 """
 
 from __future__ import annotations
@@ -22,6 +26,9 @@ PIN_TYPE = "decimal(38,8)"
 # which makes per-row rounding several times cheaper; |x| < 1e9 fits.
 FAST_PIN_TYPE = "decimal(18,8)"
 FAST_PIN_LIMIT = 1e9
+# Beyond this a double does not fit PIN_TYPE; it is a whole number anyway.
+PIN_LIMIT = 1e29
+PIN_DIGITS = 8
 
 
 def _col(c: Column | str) -> Column:
@@ -29,11 +36,15 @@ def _col(c: Column | str) -> Column:
 
 
 def _pinned(col: Column, digits: int, rounder) -> Column:
+    if digits > PIN_DIGITS:
+        raise ValueError(f"values are fixed at {PIN_DIGITS} decimals; cannot round to {digits}")
     c = _col(col)
     fast = rounder(c.cast(FAST_PIN_TYPE), digits).cast("double")
     wide = rounder(c.cast(PIN_TYPE), digits).cast("double")
-    # Same value either way; only the representation (and speed) differs.
-    return F.when(F.abs(c) < F.lit(FAST_PIN_LIMIT), fast).otherwise(wide)
+    # Same value either way; only the representation (and speed) differs.  NaN sorts above
+    # every number, so it fails both comparisons and passes unchanged.
+    return (F.when(F.abs(c) < F.lit(FAST_PIN_LIMIT), fast)
+            .when(F.abs(c) < F.lit(PIN_LIMIT), wide).otherwise(c.cast("double")))
 
 
 def round_half_up(col: Column | str, digits: int) -> Column:
@@ -48,7 +59,17 @@ def round_half_even(col: Column | str, digits: int) -> Column:
 
 def round_sql(expr: str, digits: int) -> str:
     """The same rounding rule as SQL text (for oracle queries)."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,8)), {digits}) AS DOUBLE)"
+    return _round_sql("round", expr, digits)
+
+
+def round_even_sql(expr: str, digits: int) -> str:
+    """``round_half_even`` as SQL text."""
+    return _round_sql("round_even", expr, digits)
+
+
+def _round_sql(function: str, expr: str, digits: int) -> str:
+    return (f"CASE WHEN abs({expr}) < 1e29 THEN CAST({function}(CAST({expr} AS DECIMAL(38,8)), {digits}) AS DOUBLE) "
+            f"ELSE CAST({expr} AS DOUBLE) END")
 
 
 def scale_round(col: Column | str, factor: float = 100.0, digits: int = 4) -> Column:
@@ -56,11 +77,6 @@ def scale_round(col: Column | str, factor: float = 100.0, digits: int = 4) -> Co
     return round_half_up(_col(col).cast("double") * F.lit(float(factor)), digits)
 
 
-def difference(a: Column | str, b: Column | str) -> Column:
-    """``a - b``."""
-    return _col(a) - _col(b)
-
-
 def ratio(num: Column | str, den: Column | str) -> Column:
     """``num / den`` as DOUBLE; null when the denominator is 0."""
     return _col(num).cast("double") / F.nullif(_col(den).cast("double"), F.lit(0.0))

@@ -2,7 +2,7 @@
 
 Analyses group and join on several key columns directly.  These helpers
 exist for inputs that carry a composite key as one text field
-(``"job, task"``) and for producing such a field for export.
+(``"job/task"``) and for producing such a field for export.
 """
 
 from __future__ import annotations
@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: separator of a composite key held in one text field.
-KEY_SEP = ", "
+KEY_SEP = "/"
 
 
 def concat_key(*cols: str, sep: str = KEY_SEP) -> Column:

@@ -1,9 +1,7 @@
-"""Missing values.
+"""Missing values.
 
 Data keep real nulls end to end.  ``'NA'`` is only a *label*: applied to a
-grouping key (so missing values form one group) or for display.  Numeric
-conversion of text uses ``try_cast`` so a malformed field becomes null
-instead of failing an ANSI-mode job.
+grouping key (so missing values form one group) or for display.
 """
 
 from __future__ import annotations
@@ -36,12 +34,6 @@ def missing_if_equal(col: Column | str, value) -> Column:
     return F.when(c == F.lit(value), F.lit(None)).otherwise(c)
 
 
-def numeric(col: Column | str, dtype: str = "double") -> Column:
-    """Text -> number; unparsable or empty text is null."""
-    c = _col(col)
-    return F.when(c.cast("string") == "", F.lit(None)).otherwise(c.try_cast(dtype))
-
-
 def is_present(col: Column | str) -> Column:
     """Not missing: the typed replacement of ``col != 'NA'``."""
     return _col(col).isNotNull()

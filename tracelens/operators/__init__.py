@@ -11,17 +11,12 @@ from tracelens.operators.counting import (
 from tracelens.operators.histogram import equal_width_histogram, integer_histogram
 from tracelens.operators.joins import join_on_keys, semi_join
 from tracelens.operators.ordering import bottom_k, sort_by, top_k
-from tracelens.operators.shares import rate_per_group, row_total, share_of_total, total_of
+from tracelens.operators.shares import rate_per_group, share_of_total, total_of
 from tracelens.operators.stats import (
     approx_median,
     correlation,
     exact_median,
-    max_per_key,
-    mean_per_key,
-    min_per_key,
-    sum_per_key,
     summary_stats,
-    two_level_mean,
 )
 from tracelens.operators.transitions import (
     first_event_time,
@@ -34,8 +29,7 @@ __all__ = [
     "approx_median", "bottom_k", "correlation", "count_present", "distinct_and_rows",
     "distinct_count", "distinct_per_key", "distinct_rows", "equal_width_histogram",
     "exact_median", "first_event_time", "frequency_of_counts", "integer_histogram",
-    "join_on_keys", "max_per_key", "mean_per_key", "mean_rows_per_key", "min_per_key",
-    "positive_delays", "rate_per_group", "row_total", "rows_per_key", "semi_join",
-    "share_of_total", "sort_by", "sum_per_key", "summary_stats", "top_k", "total_of",
-    "transition_delay", "two_level_mean", "value_counts",
+    "join_on_keys", "mean_rows_per_key", "positive_delays", "rate_per_group", "rows_per_key",
+    "semi_join", "share_of_total", "sort_by", "summary_stats", "top_k", "total_of",
+    "transition_delay", "value_counts",
 ]

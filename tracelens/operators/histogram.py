@@ -4,21 +4,29 @@
 distributed column: the value range comes from a one-row scalar subquery
 (min and max, partial-aggregated per task), every row is assigned its bin
 in the scan stage, and a partial + final aggregation counts rows per bin.
-At most ``bins`` rows leave the aggregation, so the table of all bin ids
-is joined to it by broadcast -- a size bound that holds at any data size.
+At most ``bins`` rows, and one for values that are not finite, leave the
+aggregation and are joined to the table of all bin ids.
 """
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracelens.functions.arith import round_half_up
 
 
+NOT_FINITE = -1  # the bin of NaN and the infinities, which have no place between edges
+
+
 def _edge(i: Column, lo: Column, hi: Column, step: Column, bins: int) -> Column:
-    # Edges as numpy.linspace builds them: i * step + lo, the last one exactly hi.
-    return F.when(i >= F.lit(bins), hi).otherwise(i.cast("double") * step + lo)
+    # Edges as numpy.linspace builds them: i * step + lo, the last one exactly hi.  A range wider
+    # than the largest double has no step; its edges are weighted means of the two ends.
+    part = i.cast("double") / F.lit(float(bins))
+    inner = F.when(step.isNull(), lo * (F.lit(1.0) - part) + hi * part).otherwise(i.cast("double") * step + lo)
+    return F.when(i >= F.lit(bins), hi).otherwise(inner)
 
 
 def equal_width_histogram(df: DataFrame, col: str, bins: int = 10, *,
@@ -29,15 +37,21 @@ def equal_width_histogram(df: DataFrame, col: str, bins: int = 10, *,
     A column with a single distinct value uses the range value +- 0.5, as
     numpy does; missing values are not counted.  With ``fill_empty`` every
     bin appears, empty ones with count 0.
+
+    The counts sum to the number of non-missing values: the range is that of
+    the finite ones, and NaN and infinite values, if any, are counted in a
+    row of their own, bin ``NOT_FINITE`` without edges.
     """
     if bins < 1:
         raise ValueError("bins must be positive")
     x = F.col(col).cast("double")
     present = df.where(x.isNotNull())
+    finite = F.abs(x) <= F.lit(sys.float_info.max)
     # One scalar subquery for the range, projected once per side as a struct
     # column; later expressions read its fields, so the subquery is not
     # copied into every expression that needs lo or hi.
-    rng = present.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    inside = F.when(finite, x)
+    rng = present.agg(F.struct(F.min(inside).alias("lo"), F.max(inside).alias("hi"))).scalar()
 
     def with_range(frame: DataFrame) -> DataFrame:
         frame = frame.withColumn("_r", rng)
@@ -47,16 +61,17 @@ def equal_width_histogram(df: DataFrame, col: str, bins: int = 10, *,
             F.when(lo0 == hi0, lo0 - F.lit(0.5)).otherwise(lo0).alias("_lo"),
             F.when(lo0 == hi0, hi0 + F.lit(0.5)).otherwise(hi0).alias("_hi"),
         )
-        return frame.withColumn("_step", (F.col("_hi") - F.col("_lo")) / F.lit(float(bins)))
+        span = F.col("_hi") - F.col("_lo")
+        return frame.withColumn("_step", F.when(span <= F.lit(sys.float_info.max), span / F.lit(float(bins))))
 
     los, his, steps = F.col("_lo"), F.col("_hi"), F.col("_step")
     staged = with_range(present.select(x.alias("_x")))
     xs = F.col("_x")
     # First guess from the scaled offset, then a one-step correction against
     # the actual edges (floating error near an edge can be off by one).
-    guess = F.least(F.floor((xs - los) / (his - los) * F.lit(float(bins))).cast("int"),
-                    F.lit(bins - 1))
-    staged = staged.withColumn("_i", guess)
+    offset = F.when(steps.isNull(), (xs / 2 - los / 2) / (his / 2 - los / 2)).otherwise((xs - los) / (his - los))
+    guess = F.least(F.floor(offset * F.lit(float(bins))).cast("int"), F.lit(bins - 1))
+    staged = staged.withColumn("_i", F.when(F.abs(xs) <= F.lit(sys.float_info.max), guess))
     i = F.col("_i")
     staged = staged.withColumn(
         "_i", F.when(xs < _edge(i, los, his, steps, bins), i - 1).otherwise(i))
@@ -65,19 +80,19 @@ def equal_width_histogram(df: DataFrame, col: str, bins: int = 10, *,
         "_i",
         F.when((xs >= _edge(i + 1, los, his, steps, bins)) & (i != F.lit(bins - 1)), i + 1)
         .otherwise(i))
-    counts = staged.groupBy(F.col("_i").alias("bin")).agg(F.count(F.lit(1)).alias(name))
+    counts = staged.groupBy(F.coalesce("_i", F.lit(NOT_FINITE)).alias("bin")).agg(F.count(F.lit(1)).alias(name))
 
     spark = df.sparkSession
-    ids = with_range(spark.range(bins).select(F.col("id").cast("int").alias("bin")))
+    ids = with_range(spark.range(NOT_FINITE, bins).select(F.col("id").cast("int").alias("bin")))
+    real = F.col("bin") >= 0
     edges = ids.select(
         "bin",
-        _edge(F.col("bin"), los, his, steps, bins).alias("bin_lo"),
-        _edge(F.col("bin") + 1, los, his, steps, bins).alias("bin_hi"),
+        F.when(real, _edge(F.col("bin"), los, his, steps, bins)).alias("bin_lo"),
+        F.when(real, _edge(F.col("bin") + 1, los, his, steps, bins)).alias("bin_hi"),
     )
-    how = "left" if fill_empty else "inner"
-    out = edges.join(F.broadcast(counts), on="bin", how=how)
-    return out.select("bin", "bin_lo", "bin_hi",
-                      F.coalesce(F.col(name), F.lit(0).cast("long")).alias(name))
+    out = edges.join(counts, on="bin", how="left" if fill_empty else "inner")
+    return out.where((F.col("bin") >= 0) | F.col(name).isNotNull()).select(
+        "bin", "bin_lo", "bin_hi", F.coalesce(F.col(name), F.lit(0).cast("long")).alias(name))
 
 
 def integer_histogram(df: DataFrame, col: str, *, bucket: str | None = None,

@@ -22,11 +22,6 @@ def total_of(df: DataFrame, col: str) -> Column:
     return df.agg(F.sum(F.col(col))).scalar()
 
 
-def row_total(df: DataFrame) -> Column:
-    """Scalar-subquery column holding the row count of ``df`` (A2)."""
-    return df.agg(F.count(F.lit(1))).scalar()
-
-
 def share_of_total(df: DataFrame, count_col: str, *, name: str = "share",
                    digits: int | None = 6, percent: bool = False) -> DataFrame:
     """Append ``count / sum(count)`` (or the percentage) to each row."""

@@ -1,57 +1,17 @@
-"""Per-key and global statistics."""
+"""Global statistics over per-key results."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracelens.functions.arith import clamp, round_half_up
 
 
-def _list(cols: str | Sequence[str]) -> list[str]:
-    return [cols] if isinstance(cols, str) else list(cols)
-
-
 def _maybe_round(col, digits: int | None):
     return col if digits is None else round_half_up(col, digits)
 
 
-def mean_per_key(df: DataFrame, keys: str | Sequence[str], value: str, name: str,
-                 digits: int | None = None) -> DataFrame:
-    """Mean of ``value`` per key (A6); missing values are ignored."""
-    return df.groupBy(*_list(keys)).agg(_maybe_round(F.avg(value), digits).alias(name))
-
-
-def min_per_key(df: DataFrame, keys: str | Sequence[str], value: str, name: str) -> DataFrame:
-    """Smallest ``value`` per key."""
-    return df.groupBy(*_list(keys)).agg(F.min(value).alias(name))
-
-
-def max_per_key(df: DataFrame, keys: str | Sequence[str], value: str, name: str,
-                digits: int | None = None) -> DataFrame:
-    """Largest ``value`` per key (A10)."""
-    return df.groupBy(*_list(keys)).agg(_maybe_round(F.max(value), digits).alias(name))
-
-
-def sum_per_key(df: DataFrame, keys: str | Sequence[str], value: str, name: str) -> DataFrame:
-    """Sum of ``value`` per key."""
-    return df.groupBy(*_list(keys)).agg(F.sum(value).alias(name))
-
-
-def two_level_mean(df: DataFrame, outer: str | Sequence[str], inner: str | Sequence[str],
-                   name: str = "avg_rows") -> DataFrame:
-    """Rows per (outer, inner), then the mean of those counts per outer.
-
-    The second aggregation groups by a prefix of the first one's keys; both
-    are partial + final hash aggregates, and nothing is collected per key.
-    """
-    outer, inner = _list(outer), _list(inner)
-    counts = df.groupBy(*outer, *inner).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.groupBy(*outer).agg(F.avg("_n").alias(name))
-
-
 def summary_stats(df: DataFrame, col: str, *, digits: int | None = 2,
                   prefix: str = "") -> DataFrame:
     """Mean, both standard deviations, min, max and the clamped band.
@@ -85,13 +45,14 @@ def summary_stats(df: DataFrame, col: str, *, digits: int | None = 2,
 def exact_median(df: DataFrame, col: str, name: str = "median") -> DataFrame:
     """Exact (interpolated) median of ``col`` as a one-row table.
 
-    Spark's percentile keeps a map of *distinct values to counts* as its
-    buffer, merged across partitions.  Over per-key counts the number of
-    distinct values is at most sqrt(2 * rows), so the buffer stays small
-    even for trillions of rows.  For continuous values with many distinct
-    values use ``approx_median``.
+    Rows are first counted per value, with map-side combination; the
+    percentile then reads (value, count) rows.  Over per-key counts there
+    are at most sqrt(2 * rows) values, so one task holds a small table even
+    for trillions of rows.  For continuous values with many distinct values
+    use ``approx_median``.
     """
-    return df.agg(F.median(F.col(col)).cast("double").alias(name))
+    sizes = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    return sizes.agg(F.percentile(F.col(col), 0.5, F.col("_n")).cast("double").alias(name))
 
 
 def approx_median(df: DataFrame, col: str, name: str = "median",

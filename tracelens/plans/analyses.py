@@ -249,16 +249,16 @@ def request_usage_corr(result: DataFrame, *, request_name: str = "request",
 
 def _peaks(usage: DataFrame, key: str, peak_col: str, factor: float, digits: int | None,
            rnd, name: str) -> DataFrame:
-    """Per key: the largest ``peak_col * factor`` (rounded per row and after)."""
-    value = F.col(peak_col).cast("double") * F.lit(float(factor))
-    if digits is not None:
-        value = rnd(value, digits)
-    peaks = (usage.where(is_present(peak_col))
-             .select(F.col(key), value.alias("_p"))
-             .groupBy(key).agg(F.max("_p").alias(name)))
-    if digits is not None:
-        peaks = peaks.withColumn(name, rnd(F.col(name), digits))
-    return peaks
+    """Per key: the largest ``peak_col * factor``, rounded.
+
+    Scaling by a positive factor and rounding keep the order of values, so the
+    largest raw value is scaled and rounded once per key, not once per row.
+    """
+    if factor <= 0:
+        raise ValueError("factor must be positive")
+    value = F.col("_p").cast("double") * F.lit(float(factor))
+    return (usage.where(is_present(peak_col)).groupBy(key).agg(F.max(peak_col).alias("_p"))
+            .select(key, (value if digits is None else rnd(value, digits)).alias(name)))
 
 
 def peak_vs_event(usage: DataFrame, events: DataFrame, *, key: str = "job_id",

@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracelens.functions.arith import round_even_sql as _even
 from tracelens.functions.arith import round_sql as R
 from tracelens.functions.missing import missing_if_equal
 from tracelens.operators.counting import count_present, distinct_rows, rows_per_key
@@ -412,10 +413,6 @@ WITH p AS (SELECT l_orderkey AS job_id, {R(f"max({R('CAST(l_discount AS DOUBLE)
 SELECT job_id, peak FROM p
 WHERE peak < 10.0 AND job_id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')"""
 
-def _even(expr: str, digits: int) -> str:
-    return f"CAST(round_even(CAST({expr} AS DECIMAL(38,8)), {digits}) AS DOUBLE)"
-
-
 _J7_INT = f"""
 WITH p AS (SELECT l_orderkey AS job_id,
                   {_even(f"max({_even('CAST(l_discount AS DOUBLE) * 100.0', 0)})", 0)} AS peak
