@@ -6,9 +6,11 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from tracelens.plans import analyses as A
+from tracelens.sources.readers import read_trace_table
 
 BIG = 3000000000
 
@@ -125,12 +127,55 @@ def test_jobs_runner_writes_every_result(spark, trace_dir):
     for name in sorted(JOBS):
         paths = run_job(spark, name, trace_dir, out)
         assert "report" in paths
-        report = "\n".join(r.value for r in spark.read.text(paths["report"]).collect())
-        assert report.startswith("total time = ")
+        report = spark.read.parquet(paths["report"]).where(F.col("job") == name)
+        assert {r.result for r in report.collect()} == set(paths) - {"report"}
     per_job = A.pair_result(spark.read.parquet(f"{out}/job6/per_job"), "cpu")
     assert rows(per_job, "job_id", "delta") == [(1, 10.0), (4, 15.0)]
     j8 = rows(spark.read.parquet(f"{out}/job8/delay_vs_constraints"))
     assert j8 == [(1, 13.0, 3.0)]
+    deltas = spark.read.parquet(f"{out}/job6/cpu_deltas")
+    assert rows(deltas, "job_id", "delta") == [(1, 10.0), (4, 15.0)]
+    me, te = (read_trace_table(spark, t, f"{trace_dir}/{t}") for t in ("machine_events", "task_events"))
+    for path, want in (("job1/cpus", A.value_distribution(me)), ("job1/cpus_share", A.value_share(me)),
+                       ("job1/machines_per_cpus", A.entities_per_value(me)),
+                       ("job4/evictions_by_priority", A.event_share(te)), ("job4/eviction_rate", A.event_rate(te))):
+        assert rows(spark.read.parquet(f"{out}/{path}"), *want.columns) == rows(want), path
+
+
+def test_infinite_and_nan_requests_agree_on_both_paths(spark):
+    nan, inf = float("nan"), float("inf")
+    req = spark.createDataFrame([(1, nan), (1, 0.5), (2, inf), (3, 1e31), (4, 0.25), (5, None)], "job_id long, cpu_request double")
+    use = spark.createDataFrame([(i, 0.1) for i in range(1, 6)], "job_id long, cpu_rate double")
+    single = A.request_vs_usage(req, use)
+    pairs = A.pair_result(A.request_vs_usage_pairs(req, use, [("cpu", "cpu_request", "cpu_rate")]), "cpu")
+    as_text = lambda df: sorted(str(tuple(r)) for r in df.collect())
+    assert as_text(single) == as_text(pairs) and single.count() == 4
+    assert "(1, nan, 10.0, nan)" in as_text(single) and "(2, inf, 10.0, inf)" in as_text(single)
+
+
+def test_micros_do_not_depend_on_the_session_zone(spark):
+    from tracelens.plans.bindings import micros
+
+    df = spark.sql("SELECT CAST(x AS timestamp_ntz) AS ts FROM VALUES ('2024-03-10 02:30:00'), "
+                   "('2024-03-10 03:30:00.000001'), ('1969-12-31 23:59:59.5') AS t(x)")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert sorted(r[0] for r in df.select(micros("ts")).collect()) == \
+                [-500_000, 1_710_037_800_000_000, 1_710_041_400_000_001]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_peaks_are_rounded_once_per_key(trace):
+    from conftest import plan_text
+
+    plan = plan_text(A.peak_vs_event(trace["task_usage"], trace["task_events"]))
+    scan = plan[plan.index("partial_max("):]
+    assert "decimal" not in scan.split("Exchange")[0]
+    with pytest.raises(ValueError):
+        A.peak_vs_event(trace["task_usage"], trace["task_events"], factor=-1.0)
 
 
 def test_ingest_then_parquet_jobs_match_csv_jobs(spark, trace_dir):

@@ -9,13 +9,17 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_sql_or_is_rows_only():
-    qs, sql = entry.queries(), entry.oracle_sql()
-    assert set(sql) <= set(qs)
-    assert set(qs) - set(sql) == {"seeded_sample"}
+    from tracelens.plans import catalog
+
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(catalog.QUERIES) <= set(entry.queries())
+    assert set(catalog.QUERIES) - set(catalog.ORACLE_SQL) == {"seeded_sample"}
 
 
 def test_catalogue_matches_sql(spark):
-    res = compare(spark, SF)
+    from tracelens.plans import catalog
+
+    res = compare(spark, SF, list(catalog.QUERIES))
     bad = {k: v for k, v in res.items() if not (v.startswith("ok") or v.startswith("rows-only"))}
     assert not bad, bad
 
@@ -28,4 +32,4 @@ def test_seeded_sample_is_repeatable(spark):
 def test_every_query_documents_its_operators():
     from tracelens.plans import catalog
 
-    assert set(catalog.OPERATORS) == set(entry.queries())
+    assert set(catalog.OPERATORS) == set(catalog.QUERIES)

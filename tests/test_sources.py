@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tracelens.session import local_path, shared_dir
-from tracelens.sources import readers, sinks
+from tracelens.session import ensure_checkpoint_dir, shared_dir
+from tracelens.sources import readers, schemas, sinks
 from tracelens.sources.schemas import TABLES, column_names, schema_of
 
 
@@ -96,10 +96,12 @@ def test_write_result_and_report(spark):
     sinks.write_result(df, path, fmt="csv")
     back = spark.read.schema(df.schema).csv(path)
     assert rows(back) == [(1, None), (2, "x")]
-    rpath = sinks.write_report(spark, shared_dir(spark, "reports"), "job_1", 1.5, "body")
-    text = "\n".join(r.value for r in spark.read.text(rpath).collect())
-    assert text.startswith("total time = 1.5\n----------------\nbody")
-    assert os.path.basename(rpath).endswith("_result.txt")
+    reports = shared_dir(spark, "reports")
+    for seconds in (1.5, 2.0):
+        sinks.write_report(spark, reports, "counts", seconds, {"first": "x\ny", "second": "z"})
+    back = spark.read.parquet(reports)
+    assert rows(back, "job", "seconds", "result", "line_no", "line") == sorted(
+        ("counts", s, r, i, t) for s in (1.5, 2.0) for r, i, t in (("first", 0, "x"), ("first", 1, "y"), ("second", 0, "z")))
 
 
 def test_checkpoint_cuts_lineage(spark):
@@ -109,11 +111,6 @@ def test_checkpoint_cuts_lineage(spark):
     assert sorted(r.x for r in cp.collect())[-1] == 198
 
 
-def test_local_path():
-    assert local_path("file:///tmp/x") == "/tmp/x"
-    assert local_path("/tmp/y") == "/tmp/y"
-
-
 def test_cache_table_keeps_results(spark):
     df = spark.range(50).withColumn("y", F.col("id") % 5)
     cached = readers.cache_table(df)
@@ -138,3 +135,34 @@ def test_hash_sample_width(spark):
     df = spark.range(20000).select((F.col("id") % 5000).alias("k"))
     kept = readers.hash_sample(df, "k", 0.01, width=3).select("k").distinct().count()
     assert 20 < kept < 90  # about 1 % of 5000 keys
+
+
+def test_hash_sample_widens_for_small_fractions(spark):
+    assert readers.hash_width(0.5) == 2 and readers.hash_width(0.001) > 2
+    kept = readers.hash_sample(spark.range(200_000).select(F.col("id").alias("k")), "k", 0.001).count()
+    assert 120 < kept < 280
+
+
+def test_checkpoint_folder_is_only_made_for_one_process(spark, monkeypatch):
+    class Context:
+        master = "local-cluster[2,1,1024]"
+
+        def getCheckpointDir(self):
+            return None
+
+    monkeypatch.setattr("tracelens.session._context", lambda s: Context())
+    monkeypatch.setattr("tracelens.session._configured_checkpoint_dir", lambda s: None)
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(spark)
+
+
+def test_ingest_files_follow_data_not_splits(spark, tmp_path):
+    """Many small inputs give few files per event code, and every row."""
+    src = spark.range(4000).select(*[
+        {"job_id": F.col("id"), "event_type": F.col("id") % 9}.get(c, F.lit(1)).cast("string").alias(c)
+        for c in schemas.column_names("task_events")])
+    src.repartition(24).write.csv(str(tmp_path / "csv"))
+    out = readers.ingest_trace_table(spark, "task_events", str(tmp_path / "csv"), str(tmp_path / "pq"))
+    files = [f for _, _, names in os.walk(out) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 2 * 9
+    assert readers.read_ingested_table(spark, "task_events", out).count() == 4000

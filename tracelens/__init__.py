@@ -8,7 +8,7 @@ operators/  reusable DataFrame -> DataFrame operators (counts, stats,
             shares, top-k, histograms, joins, first-transition delays)
 plans/      the eight analyses, their bindings to concrete tables and
             the query catalogue used by ``__spark_entry__``
-streaming/  the same operators over a stream of arriving part files
+llm/        operators on training text, on their own
 
 Every operator builds a lazy plan; nothing inside the library calls an
 action except the explicit sinks in ``sources.sinks``.

@@ -58,9 +58,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def micros(col: str) -> Column:
     """Microseconds since 1970 of a TIMESTAMP_NTZ column, independent of the
-    session time zone."""
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                            F.col(col))
+    session time zone: the day number and the time of day, neither of which
+    passes through an instant of some zone."""
+    c = F.col(col)
+    seconds = F.unix_date(c.cast("date")).cast("long") * 86_400 + F.hour(c) * 3_600 + F.minute(c) * 60
+    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
 
 
 def returnflags(spark: SparkSession, sf_dir: str) -> DataFrame:

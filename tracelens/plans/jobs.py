@@ -4,9 +4,8 @@
 
 ``<trace>/<table>/`` holds the header-less CSV part files of each table
 (any Hadoop file system URI).  Every result is written whole by the
-executors to ``<out>/<job>/<result>/`` (parquet by default); a short text
-report with the run time and the first rows of each result goes to
-``<out>/reports/<job>/<mm.dd>_result.txt``.
+executors to ``<out>/<job>/<result>/`` (parquet by default); each run appends
+its time and the first rows of each result to the table ``<out>/reports/``.
 
 Results that several others are derived from (the per-job tables of J2,
 J5, J6 and J7, J8's per-task delays and pairs) are written once and read back, so the
@@ -19,15 +18,19 @@ from __future__ import annotations
 import argparse
 import time
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelens.operators.counting import frequency_of_counts
-from tracelens.operators.ordering import top_k
+from tracelens.functions.missing import label_missing
+from tracelens.operators.counting import distinct_and_rows, frequency_of_counts
+from tracelens.operators.ordering import sort_by, top_k
+from tracelens.operators.shares import share_of_total
 from tracelens.operators.stats import exact_median, summary_stats
 from tracelens.operators.transitions import positive_delays
 from tracelens.plans import analyses as A
+from tracelens.session import build_session
 from tracelens.sources.readers import ingest_trace_table, read_ingested_table, read_trace_table
 from tracelens.sources.schemas import TABLES
 from tracelens.sources.sinks import render_table, write_report, write_result
@@ -35,17 +38,31 @@ from tracelens.sources.sinks import render_table, write_report, write_result
 Tables = Callable[[str], DataFrame]
 
 
-def _persisted(spark: SparkSession, df: DataFrame, path: str, fmt: str) -> DataFrame:
+class Written(NamedTuple):
+    """A result that is already in its place."""
+
+    df: DataFrame
+    path: str
+
+
+Results = dict[str, DataFrame | Written]
+
+
+def _persisted(spark: SparkSession, df: DataFrame, path: str, fmt: str) -> Written:
     """Write ``df`` to shared storage and read it back with its known schema."""
     write_result(df, path, fmt)
-    return spark.read.format(fmt).schema(df.schema).load(path)
+    return Written(spark.read.format(fmt).schema(df.schema).load(path), path)
 
 
-def job1(spark, t: Tables, out: str, fmt: str) -> dict[str, DataFrame]:
-    me = t("machine_events")
-    return {"cpus": A.value_distribution(me, "cpus"),
-            "cpus_share": A.value_share(me, "cpus"),
-            "machines_per_cpus": A.entities_per_value(me, "cpus", "machine_id")}
+def job1(spark, t: Tables, out: str, fmt: str) -> Results:
+    # One pass over machine_events: rows and distinct machines per value.
+    me = t("machine_events").withColumn("cpus", label_missing("cpus"))
+    per_value = _persisted(spark, distinct_and_rows(
+        me, "cpus", "machine_id", distinct_name="n_entities", rows_name="n_rows"), f"{out}/per_value", fmt)
+    rows = per_value.df.select("cpus", "n_rows")
+    return {"per_value": per_value, "cpus": rows,
+            "cpus_share": share_of_total(rows, "n_rows", name="pct", digits=2, percent=True),
+            "machines_per_cpus": per_value.df.select("cpus", "n_entities")}
 
 
 def job2(spark, t, out, fmt):
@@ -54,9 +71,10 @@ def job2(spark, t, out, fmt):
     per_job = _persisted(spark, t("task_events").groupBy("job_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("task_index").alias("n_tasks")),
         f"{out}/per_job", fmt)
-    return {"tasks_per_job": summary_stats(per_job, "n_rows", digits=2),
-            "distinct_tasks_per_job": summary_stats(per_job, "n_tasks", digits=2),
-            "median_tasks_per_job": exact_median(per_job, "n_rows", "median_rows")}
+    sizes = per_job.df
+    return {"per_job": per_job, "tasks_per_job": summary_stats(sizes, "n_rows", digits=2),
+            "distinct_tasks_per_job": summary_stats(sizes, "n_tasks", digits=2),
+            "median_tasks_per_job": exact_median(sizes, "n_rows", "median_rows")}
 
 
 def job3(spark, t, out, fmt):
@@ -64,8 +82,11 @@ def job3(spark, t, out, fmt):
 
 
 def job4(spark, t, out, fmt):
-    te = t("task_events")
-    return {"evictions_by_priority": A.event_share(te), "eviction_rate": A.event_rate(te)}
+    # Rows and evictions per priority in one pass; the shares of all evictions come from them.
+    rate = _persisted(spark, A.event_rate(t("task_events")), f"{out}/eviction_rate", fmt)
+    evicted = rate.df.where("n_events > 0").select("priority", "n_events")
+    return {"eviction_rate": rate, "evictions_by_priority": sort_by(
+        share_of_total(evicted, "n_events", name="prob", digits=6), "priority")}
 
 
 def job5(spark, t, out, fmt):
@@ -76,13 +97,14 @@ def job5(spark, t, out, fmt):
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct(m).alias("n_known"),
         F.max(F.when(m.isNull(), F.lit(1)).otherwise(F.lit(0))).alias("has_missing")),
         f"{out}/per_job", fmt)
-    with_missing = per_job.select("job_id", (F.col("n_known") + F.col("has_missing"))
+    sizes = per_job.df
+    with_missing = sizes.select("job_id", (F.col("n_known") + F.col("has_missing"))
                                   .alias("n_distinct"))
-    return {"machines_per_job_top": top_k(with_missing, "n_distinct", 10, tie_break="job_id"),
-            "rows_per_job_top": top_k(per_job.select("job_id", "n_rows"), "n_rows", 10,
+    return {"per_job": per_job, "machines_per_job_top": top_k(with_missing, "n_distinct", 10, tie_break="job_id"),
+            "rows_per_job_top": top_k(sizes.select("job_id", "n_rows"), "n_rows", 10,
                                       tie_break="job_id"),
             "machines_per_job_frequency": frequency_of_counts(
-                per_job.select(F.col("n_known").alias("n_distinct")), "n_distinct", "n_keys")}
+                sizes.select(F.col("n_known").alias("n_distinct")), "n_distinct", "n_keys")}
 
 
 def job6(spark, t, out, fmt):
@@ -92,11 +114,10 @@ def job6(spark, t, out, fmt):
         t("task_events"), t("task_usage"),
         [("cpu", "cpu_request", "cpu_rate"), ("mem", "memory_request", "canonical_memory_usage")]),
         f"{out}/per_job", fmt)
-    # per_job holds cpu_/mem_ request and usage per job; A.pair_result(per_job,
-    # kind) gives one kind with its delta, so no per-kind copy is written.
-    results = {}
+    results: Results = {"per_job": per_job}
     for kind in ["cpu", "mem"]:
-        pair = A.pair_result(per_job, kind)
+        pair = A.pair_result(per_job.df, kind)
+        results[f"{kind}_deltas"] = pair
         results[f"{kind}_most_over"] = A.most_over(pair)
         results[f"{kind}_most_under"] = A.most_under(pair)
         results[f"{kind}_delta_histogram"] = A.delta_histogram(pair)
@@ -109,19 +130,19 @@ def job7(spark, t, out, fmt):
     # evicted jobs' peaks and the correlation are both read from it.
     table = _persisted(spark, A.peak_table(t("task_usage"), t("task_events")),
                        f"{out}/per_job", fmt)
-    peaks = A.peaks_of(table)
-    return {"peaks": peaks, "peak_histogram": A.peak_histogram(peaks),
-            "peak_event_corr": A.peak_corr_of(table)}
+    peaks = A.peaks_of(table.df)
+    return {"per_job": table, "peaks": peaks, "peak_histogram": A.peak_histogram(peaks),
+            "peak_event_corr": A.peak_corr_of(table.df)}
 
 
 def job8(spark, t, out, fmt):
     # Delays per (job, task) computed once from task_events and persisted;
     # the per-job pairs and the positive delays are both read from them.
     delays = _persisted(spark, A.pending_delays(t("task_events")), f"{out}/delays", fmt)
-    res = _persisted(spark, A.delay_vs_constraints(delays, t("task_constraints")),
+    res = _persisted(spark, A.delay_vs_constraints(delays.df, t("task_constraints")),
                      f"{out}/delay_vs_constraints", fmt)
-    return {"corr": A.delay_constraints_corr(res),
-            "positive_delays": positive_delays(delays)}
+    return {"delay_vs_constraints": res, "delays": delays, "corr": A.delay_constraints_corr(res.df),
+            "positive_delays": positive_delays(delays.df)}
 
 
 JOBS = {"job1": job1, "job2": job2, "job3": job3, "job4": job4,
@@ -155,16 +176,14 @@ def run_job(spark: SparkSession, name: str, trace_root: str, out_root: str, *,
 
     t0 = time.time()
     results = JOBS[name](spark, tables, out, fmt)
-    paths, previews = {}, []
-    for key, df in results.items():
-        path = f"{out}/{key}"
-        write_result(df, path, fmt)
-        paths[key] = path
-        back = spark.read.format(fmt).schema(df.schema).load(path)
-        previews.append(f"{key}:\n{render_table(back, preview_rows)}")
-    seconds = round(time.time() - t0, 2)
-    paths["report"] = write_report(spark, f"{out_root.rstrip('/')}/reports", name, seconds,
-                                   "\n".join(previews))
+    paths, previews = {}, {}
+    for key, result in results.items():
+        if not isinstance(result, Written):
+            result = _persisted(spark, result, f"{out}/{key}", fmt)
+        paths[key] = result.path
+        previews[key] = render_table(result.df, preview_rows)
+    paths["report"] = write_report(spark, f"{out_root.rstrip('/')}/reports", name,
+                                   round(time.time() - t0, 2), previews)
     return paths
 
 
@@ -186,12 +205,7 @@ def main(argv: list[str] | None = None) -> None:
                         "size it so a partition of the largest shuffle is ~128 MB, "
                         "e.g. 20000 for a 100 TB trace.  Default: the session's setting")
     args = p.parse_args(argv)
-    builder = SparkSession.builder.appName(f"tracelens-{args.job}")
-    if args.shuffle_partitions:
-        builder = (builder.config("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
-                   .config("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-                           str(args.shuffle_partitions)))
-    spark = builder.getOrCreate()
+    spark = build_session(shuffle_partitions=args.shuffle_partitions, app_name=f"tracelens-{args.job}")
     if args.job == "ingest":
         tables = [t.strip() for t in args.tables.split(",")] if args.tables else None
         paths = ingest(spark, args.trace, args.out, tables)

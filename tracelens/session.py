@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,20 +21,26 @@ DEFAULT_CONF = {
 
 
 def build_session(
-    master: str = "local[*]",
-    shuffle_partitions: int = 8,
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
     app_name: str = "tracelens",
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
     """Create (or reuse) a session with the library defaults.
 
-    ``shuffle_partitions`` is the *initial* partition count; AQE coalesces
-    small partitions at run time, so on a cluster set it high (thousands)
-    and let AQE shrink it rather than risking spills with too few.
+    Without ``master`` the one of ``spark-submit`` (or spark-defaults) holds, and
+    without ``shuffle_partitions`` the cluster's setting: a value given here
+    would win over both.  ``shuffle_partitions`` is the *initial* partition
+    count; AQE coalesces small partitions at run time, so on a cluster set it
+    high (thousands) rather than risking spills with too few.
     """
-    builder = SparkSession.builder.master(master).appName(app_name)
+    builder = SparkSession.builder.appName(app_name)
+    if master is not None:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -41,7 +48,6 @@ def build_session(
     sc = _context(spark)
     if sc is not None:
         sc.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -66,8 +72,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     A cluster names a shared (distributed file system) folder in
     ``spark.checkpoint.dir``; it is read from the session and never
-    replaced.  Only when nothing is configured and the master is local
-    (tests) a folder of our own is created and registered; on a cluster
+    replaced.  Only when nothing is configured and everything runs in this
+    one process (``local[n]``, as in tests) a folder of our own is created and
+    registered, and removed at exit; on a cluster, ``local-cluster`` included,
     a missing setting is an error.
     """
     configured = _configured_checkpoint_dir(spark)
@@ -77,12 +84,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured
     master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-    if not str(master).startswith("local"):
+    if str(master) != "local" and not str(master).startswith("local["):
         # A folder on this machine is invisible to the other executors.
         raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder "
                            "(e.g. on HDFS or an object store) for checkpoints and "
                            "written intermediate tables")
     local = tempfile.mkdtemp(prefix="tracelens-ckpt-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     if sc is not None:
         sc.setCheckpointDir(local)
     else:
@@ -100,10 +108,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/tracelens/{name}-{uuid.uuid4().hex}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python-side helpers can use the path."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder, on whatever file system it is, when the session's JVM ends."""
+    sc = _context(spark)
+    if sc is not None:
+        folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(folder)

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tracelens.sources.schemas import schema_of, string_schema
 
@@ -28,15 +29,19 @@ def read_trace_table(
     sample: float | None = None,
     seed: int = 42,
     typed: bool = True,
+    schema: StructType | str | None = None,
 ) -> DataFrame:
     """Read a header-less CSV trace table with an explicit schema.
 
+    ``schema`` replaces the registry's for files laid out otherwise.
+
     Short rows are padded with nulls, extra trailing fields are dropped and
     quoted fields may contain commas (Spark's PERMISSIVE CSV parser).  With
     ``typed=False`` all columns are strings.  Sampling is skipped for a
     fraction of 1 or more, so filters still reach the scan.
     """
-    schema = schema_of(table) if typed else string_schema(table)
+    if schema is None:
+        schema = schema_of(table) if typed else string_schema(table)
     df = (
         spark.read.schema(schema)
         .option("header", "false")
@@ -55,15 +60,18 @@ def read_lines_table(
     sample: float | None = None,
     seed: int = 42,
     typed: bool = True,
+    schema: StructType | None = None,
 ) -> DataFrame:
     """Read trace files as text lines and split each line at every comma.
 
+    ``schema`` replaces the registry's for files laid out otherwise.
+
     This is the line-oriented reading of the trace: no quoting rules, an
     empty field is missing, a short row yields nulls for the absent fields
     and fields past the schema are ignored.  Values that do not parse as
     the column type become null (``try_cast``) instead of failing the job.
     """
-    schema = schema_of(table)
+    schema = schema or schema_of(table)
     raw = spark.read.text(path)
     parts = F.split(F.col("value"), ",", -1)
     cols = []
@@ -105,11 +113,15 @@ def ingest_trace_table(spark: SparkSession, table: str, src: str | list[str], ds
     every column.  After ingestion each analysis reads only the columns it
     needs from splittable, compressed column chunks, and tables listed in
     ``INGEST_PARTITIONS`` are laid out in one folder per event code, so an
-    event filter becomes partition pruning.  The conversion is a map-only
-    job: each input split is written by its own task, no shuffle.
+    event filter becomes partition pruning.  Rows of such a table are first
+    rebalanced by event code: AQE splits a frequent code and joins rare ones
+    by size, so the files of a code grow with its data and not with the number
+    of input splits.  Other tables are written by the scanning tasks.
     """
     df = read_trace_table(spark, table, src)
     parts = INGEST_PARTITIONS.get(table, []) if partition_by is None else partition_by
+    if parts:
+        df = df.hint("rebalance", *[F.col(c) for c in parts])
     writer = df.write.mode(mode).option("compression", compression)
     if parts:
         writer = writer.partitionBy(*parts)
@@ -141,6 +153,16 @@ def sample_rows(df: DataFrame, fraction: float | None, seed: int = 42) -> DataFr
     return df.sample(withReplacement=False, fraction=float(fraction), seed=seed)
 
 
+def hash_width(fraction: float) -> int:
+    """Hex digits (2 at least) whose buckets come within a hundredth of ``fraction``."""
+    if not 0 < fraction <= 1:
+        raise ValueError(f"fraction must be in (0, 1], got {fraction}")
+    width = 2
+    while width < 16 and abs(round(fraction * 16 ** width) / 16 ** width - fraction) > fraction / 100:
+        width += 1
+    return width
+
+
 def hash_bucket_prefix(fraction: float, width: int = 2) -> str:
     """``width`` hex digits: keys whose md5 starts below this are kept."""
     if not 0 < fraction <= 1:
@@ -152,22 +174,24 @@ def hash_bucket_prefix(fraction: float, width: int = 2) -> str:
     return format(buckets, f"0{width}x")
 
 
-def hash_sample_condition(key: Column | str, fraction: float, width: int = 2) -> Column:
+def hash_sample_condition(key: Column | str, fraction: float, width: int | None = None) -> Column:
     """Keep a key when the first ``width`` hex digits of md5(key) fall below the bound.
 
     All rows of a key are kept or dropped together, the choice is the same
     in every engine that has md5, and the condition is a plain filter
     evaluated inside the scan stage (no shuffle).  The kept share is
-    ``fraction`` rounded to a multiple of ``16 ** -width``.
+    ``fraction`` rounded to a multiple of ``16 ** -width``; by default as many
+    digits as bring it within a hundredth of the fraction.
     """
     if fraction >= 1:
         return F.lit(True)
+    width = width or hash_width(fraction)
     key = F.col(key) if isinstance(key, str) else key
     return (F.substring(F.md5(key.cast("string")), 1, width)
             < F.lit(hash_bucket_prefix(fraction, width)))
 
 
-def hash_sample(df: DataFrame, key: str, fraction: float, width: int = 2) -> DataFrame:
+def hash_sample(df: DataFrame, key: str, fraction: float, width: int | None = None) -> DataFrame:
     return df.where(hash_sample_condition(key, fraction, width))
 
 

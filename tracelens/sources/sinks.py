@@ -13,8 +13,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelens.session import shared_dir
-
 
 def head_rows(df: DataFrame, n: int = 20) -> DataFrame:
     """First ``n`` rows (S6, O4): a ``limit`` the caller may collect."""
@@ -63,25 +61,19 @@ def write_lines(df: DataFrame, path: str, column: str = "line") -> str:
     return path
 
 
-def report_text(title_seconds: float, body: str) -> str:
-    """Report layout: timing line, a dash rule of the same width, then the body."""
-    first = f"total time = {title_seconds}"
-    return f"{first}\n{'-' * len(first)}\n{body}\n\n"
-
+def write_report(spark: SparkSession, path: str, job: str, seconds: float,
+                 previews: dict[str, str], fmt: str = "parquet") -> str:
+    """Append one run of a job to the report table at ``path`` (S9); returns the path.
 
-def write_report(spark: SparkSession, root: str, name: str, seconds: float, body: str,
-                 when: datetime | None = None) -> str:
-    """Write a dated text report ``{root}/{name}/{mm.dd}_result.txt``.
-
-    The body is a bounded preview (``render_table``), so one small text
-    file is written through Spark's writer to any file system.
+    One row per preview line: job, finished (time stamp), seconds of the run, result,
+    line number and line.  The previews are bounded (``render_table``).
     """
-    stamp = (when or datetime.now()).strftime("%m.%d")
-    path = f"{root.rstrip('/')}/{name}/{stamp}_result.txt"
-    lines = report_text(seconds, body).split("\n")
-    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1) \
-        .write.mode("overwrite").text(path)
-    return path
+    finished = datetime.now()
+    rows = [(job, finished, float(seconds), result, i, line)
+            for result, text in previews.items() for i, line in enumerate(text.splitlines())]
+    table = spark.createDataFrame(
+        rows, "job string, finished timestamp_ntz, seconds double, result string, line_no int, line string")
+    return write_result(table.coalesce(1), path, fmt, mode="append")
 
 
 def checkpoint_table(df: DataFrame, spark: SparkSession | None = None,
@@ -96,13 +88,3 @@ def checkpoint_table(df: DataFrame, spark: SparkSession | None = None,
 
     ensure_checkpoint_dir(spark or df.sparkSession)
     return df.checkpoint(eager=eager)
-
-
-def round_trip_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder on shared storage for a written-then-read table."""
-    return shared_dir(spark, name)
-
-
-def as_text(col: Column | str) -> Column:
-    col = F.col(col) if isinstance(col, str) else col
-    return col.cast("string")
