@@ -83,17 +83,35 @@ class SuffixArray:
         order = np.lexsort(columns[::-1])
         self.place, self.columns, self.reach = place[order], columns[:, order], reach[order]
 
-    def find(self, words: np.ndarray) -> tuple[int, int]:
-        """The run of suffixes that start with ``words``, by bisection one word at a time."""
-        lo, hi = 0, len(self.place)
-        for j, w in enumerate(words):
-            part = self.columns[j, lo:hi]
-            lo, hi = lo + int(np.searchsorted(part, w, "left")), lo + int(np.searchsorted(part, w, "right"))
-            if lo == hi:
+    def find(self, ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each window ``ids[start:start + length]`` the run of suffixes that start with it.
+
+        All windows are bisected together, one word after the other; a run that is empty
+        drops out.
+        """
+        lo = np.zeros(len(starts), dtype=np.int64)
+        hi = np.full(len(starts), len(self.place), dtype=np.int64)
+        open_ = np.arange(len(starts))
+        for j, column in enumerate(self.columns):
+            open_ = open_[(lengths[open_] > j) & (lo[open_] < hi[open_])]
+            if not len(open_):
                 break
+            word = ids[starts[open_] + j]
+            a, b = lo[open_], hi[open_]
+            lo[open_], hi[open_] = _bisect(column, a, b, word, False), _bisect(column, a, b, word, True)
         return lo, hi
 
 
+def _bisect(column: np.ndarray, lo: np.ndarray, hi: np.ndarray, word: np.ndarray, after: bool) -> np.ndarray:
+    """Per query, the first place in ``column[lo:hi]`` not below ``word`` (``after``: above it)."""
+    while (wide := lo < hi).any():
+        middle = (lo + hi) // 2
+        found = column[np.minimum(middle, len(column) - 1)]
+        right = wide & ((found <= word) if after else (found < word))
+        lo, hi = np.where(right, middle + 1, lo), np.where(wide & ~right, middle, hi)
+    return lo
+
+
 def _numbers(h: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
     """Each word's number in the sorted vocabulary, or -1."""
     if not len(vocabulary) or not len(h):
@@ -122,16 +140,11 @@ def shard_matches(column: pa.Array, test: SimpleNamespace) -> Iterator[tuple]:
         ids = _numbers(tx.hash_words(buf, starts, ends), test.vocabulary)
         doc = np.repeat(np.arange(hi - lo), np.diff(first))
         array = SuffixArray(ids, doc, first, least, depth)
-        places, windows = [], []
-        if len(array.place):
-            for w in range(len(test.starts)):
-                a, b = array.find(test.ids[test.starts[w]:test.starts[w] + test.lengths[w]])
-                if b > a:
-                    places.append(array.place[a:b])
-                    windows.append(np.full(b - a, w))
-        none = np.zeros(0, dtype=np.int64)
-        yield (lo, hi, first, ids, np.concatenate(places) if places else none,
-               np.concatenate(windows) if windows else none)
+        a, b = array.find(test.ids, test.starts, test.lengths)
+        n = b - a
+        windows = np.repeat(np.arange(len(n)), n)
+        nth = np.arange(len(windows)) - np.repeat(np.cumsum(n) - n, n)
+        yield lo, hi, first, ids, array.place[a[windows] + nth], windows
 
 
 def _hits(test):

@@ -14,8 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelens.llm.store import columns_first, table
-from tracelens.session import shared_dir
+from tracelens.llm.store import columns_first, scratch_dir, table
 
 # State on disk; many stores share a disk, so none reserves space ahead.
 _STATE = {
@@ -100,14 +99,14 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id
     ignored.  An empty table gives no rows.  ``keep_locator`` names the file of the row that
     stays (empty where the rows do not come straight from files).
     """
-    folder = shared_dir(spark, "exact-arrivals")
+    folder = scratch_dir(spark, "exact-arrivals")
     slim = arrivals(docs, id_col, text_col)
     slim.write.parquet(folder)
     records = spark.read.schema(slim.schema).parquet(folder)
     if records.isEmpty():
         state = _batch_best(records, "digest")
     else:
-        state = keep_state(spark, folder, slim.schema, shared_dir(spark, "exact-state"))
+        state = keep_state(spark, folder, slim.schema, scratch_dir(spark, "exact-state"))
     clashes = digest_clashes(spark, docs, text_col)
     joined = records.join(state, "digest")
     if not clashes.isEmpty():

@@ -4,16 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracelens.session import shared_dir
+from tracelens.session import remove_at_exit, shared_dir
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder below ``spark.checkpoint.dir`` that goes when the session ends."""
+    path = shared_dir(spark, name)
+    remove_at_exit(spark, path)
+    return path
 
 
 def table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage and survives lost executors; the known schema is given to
-    the reader, so no file is opened to infer it.
+    the reader, so no file is opened to infer it.  The files go when the session ends.
     """
-    path = shared_dir(spark, name)
+    path = scratch_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
