@@ -83,6 +83,32 @@ def test_near_duplicates_against_brute_force(spark, edge):
     assert kept.columns == table(spark, edge).columns
 
 
+def test_near_duplicates_of_large_groups_against_brute_force(spark):
+    """Groups above a block, members that miss their pivot, bridges between groups and an id with two texts."""
+    r = random.Random(11)
+    rows, base = [], words(150, 20)
+    for i in range(60):
+        own = base[:]
+        for _ in range(r.choice([0, 1, 2, 3, 5, 8])):
+            own[r.randrange(150)] = f"x{r.randrange(10**6)}"
+        rows.append((i, " ".join(own)))
+    other = base[:75] + words(75, 21)
+    for i in range(60, 90):
+        own = other[:]
+        own[r.randrange(150)] = f"x{r.randrange(10**6)}"
+        own[r.randrange(150)] = f"x{r.randrange(10**6)}"
+        rows.append((i, " ".join(own)))
+    bridge = [(90 + j, " ".join(base[:75 + 5 * j] + other[75 + 5 * j:])) for j in range(15)]
+    for some, block in ((rows, 16), (rows + bridge, 3)):
+        got = minhash_dedup.near_duplicates(spark, table(spark, r.sample(some, len(some))), block=block).collect()
+        assert {g["doc_id"]: (g["n_shingles"], g["component_id"]) for g in got} == brute.near_groups(some)
+    # Id 0 has two texts; id 2 is near the second one only.
+    first, second = words(100, 22), words(100, 23)
+    twice = [(0, " ".join(first)), (0, " ".join(second)), (1, " ".join(first[:-1])), (2, " ".join(second[:-1]))]
+    got = minhash_dedup.near_duplicates(spark, table(spark, twice)).collect()
+    assert {g["component_id"] for g in got} == {0}
+
+
 def test_superminhash_estimates_similarity():
     """The share of equal slots is an unbiased, low-variance estimate; equal sets agree in every slot."""
     r = np.random.default_rng(3)

@@ -6,13 +6,17 @@
    All shingles of a text advance rank by rank, so a text stops as soon as every
    slot has a value: later ranks are larger than anything in the signature.
 2. Texts with equal shingle sets are one class from here on.
-3. Classes that agree on a whole band meet in a bucket.  A bucket links its
-   classes to its smallest one, so it costs as many rows as it has members.
-   Connected buckets form clusters of candidates.
-4. In a cluster every pair is verified on the full shingle sets.  A cluster is
-   dealt into blocks, each pair of blocks is one group of bounded size, and a
-   group returns a spanning forest of its links instead of all pairs.
-5. Union-find over the links gives the groups.
+3. Classes that agree on a whole band meet in a bucket.  Every member of a bucket
+   is verified on the full shingle sets against the bucket's pivot, its smallest
+   class; a pair that meets in several buckets is verified once.  The links found
+   are joined to provisional groups.
+4. What a bucket leaves open are pairs of members that are not yet in one group.
+   Such a bucket is dealt into blocks, a large provisional group into blocks of
+   its own; each pair of blocks, but those of one large group, is one task group
+   of bounded size, which returns a spanning forest of its links instead of all
+   pairs.  A group of copies that are near their pivot thus costs one comparison
+   per class and bucket, whatever its size.
+5. Union-find over the links of both steps gives the groups.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracelens.llm import text as tx
@@ -177,7 +181,7 @@ def _verify(k: int, percent: int):
                 names=["a", "b"]) if found else None
 
         for batch in batches:
-            keys = list(zip(batch.column("cluster").to_pylist(), batch.column("part").to_pylist()))
+            keys = list(zip(batch.column("band").to_pylist(), batch.column("part").to_pylist()))
             own = batch.column("id").to_pylist()
             for lo, hi, gram, offsets in shingle_sets(batch.column("text"), k):
                 for i in range(lo, hi):
@@ -192,6 +196,83 @@ def _verify(k: int, percent: int):
     return run
 
 
+def _against_pivot(k: int, percent: int):
+    """Links of the members of each (hub, part) to the pivot, whose rows come first; only its sets are held.
+
+    A pivot has several sets only if its id is repeated with different texts.
+    """
+    def run(batches):
+        key, pivots = None, {}
+        for batch in batches:
+            keys = list(zip(batch.column("hub").to_pylist(), batch.column("part").to_pylist()))
+            own = batch.column("id").to_pylist()
+            a, b = [], []
+            for lo, hi, gram, offsets in shingle_sets(batch.column("text"), k):
+                for i in range(lo, hi):
+                    found = gram[offsets[i - lo]:offsets[i - lo + 1]]
+                    if keys[i] != key:
+                        key, pivots = keys[i], {}
+                    if own[i] == key[0]:
+                        pivots[found.tobytes()] = found.copy()
+                        continue
+                    for pivot in pivots.values():
+                        both = len(np.intersect1d(pivot, found, assume_unique=True))
+                        if both and 100 * both >= percent * (len(pivot) + len(found) - both):
+                            a.append(own[i])
+                            b.append(key[0])
+                            break
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    return run
+
+
+def _pivot_pairs(near: DataFrame, block: int) -> DataFrame:
+    """(id, hub, part): the classes ``a`` of each pivot ``b``, dealt into parts of about ``block``, the pivot in each."""
+    star = near.select("a", F.col("b").alias("hub"))
+    hubs = star.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("parts"))
+    members = star.join(hubs, "hub").select(
+        F.col("a").alias("id"), "hub", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"))
+    return members.unionByName(hubs.select(
+        F.col("hub").alias("id"), "hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")))
+
+
+def _open_pairs(mates: DataFrame, joined: DataFrame, block: int) -> DataFrame:
+    """(id, band, part): the classes of buckets with open pairs, in pairs of blocks; part names the two.
+
+    ``mates``: (band, a) of the members of each bucket but its pivot, ``joined``: (node, component)
+    of provisional groups.  A group of more than ``block`` members has blocks of its own, which
+    are not paired with each other; smaller groups share the bucket's first blocks.  A bucket of
+    one group has nothing open; of buckets with the same members one is enough.
+    """
+    member = mates.select("band", F.col("a").alias("node")) \
+        .join(joined.withColumnRenamed("component", "group"), "node", "left") \
+        .select("node", "band", F.coalesce("group", "node").alias("group"))
+    n_blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
+    is_large = F.col("n") > block
+    groups = member.groupBy("band", "group").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"))
+    whole = groups.groupBy("band").agg(
+        F.ceil(F.sum(F.when(is_large, 0).otherwise(F.col("n"))) / F.lit(block)).cast("int").alias("shared"),
+        F.sum(F.when(is_large, n_blocks).otherwise(0)).cast("int").alias("owned"),
+        F.count("*").alias("groups"), F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y")) \
+        .where("groups > 1").groupBy("n", "x", "y", "shared", "owned").agg(F.min("band").alias("band")) \
+        .select("band", "shared", "owned")
+    earlier = Window.partitionBy("band").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    large = groups.where(is_large).select("band", "group", n_blocks.alias("blocks")) \
+        .withColumn("before", F.coalesce(F.sum("blocks").over(earlier), F.lit(0)).cast("int"))
+
+    def numbers(lo, hi):
+        return F.when(lo < hi, F.sequence(lo, hi - 1)).otherwise(F.array().cast("array<int>"))
+
+    zero, total, first = F.lit(0), F.col("shared") + F.col("owned"), F.col("shared") + F.col("before")
+    dealt = member.join(whole, "band").join(large, ["band", "group"], "left").select(
+        F.col("node").alias("id"), "band",
+        (F.coalesce(first, zero) + F.pmod(F.xxhash64("node"), F.coalesce("blocks", "shared"))).cast("int").alias("own"),
+        F.explode(F.when(F.col("blocks").isNull(), numbers(zero, total))
+                  .otherwise(F.concat(numbers(zero, first), numbers(first + F.col("blocks"), total)))).alias("other"))
+    return dealt.select("id", "band", F.concat_ws("-", F.least("own", "other"), F.greatest("own", "other")).alias("part"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     k: int = 5, percent: int = 75, bands: int = 40, rows: int = 5, block: int = 512,
                     seed: int = 20240229) -> DataFrame:
@@ -201,15 +282,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     sets of ``k``-word shingles (A-Z lower-cased, words split at ASCII white space);
     links are confirmed on full sets (64-bit shingle hashes).  A pair at exactly the
     threshold shares no band with probability (1 - s**rows)**bands, 2e-5 for the
-    defaults, and is then still found if a third text connects their buckets.
+    defaults, and is then still in one group if other texts link them.
 
     Null or empty text, or one without words: an empty set, linked with nothing,
     its own component.  Null id: never linked; component_id null and kept true.
     Repeated rows of one id: the same component for each.  Other columns are
     ignored.  An empty table gives no rows.
 
-    A hot bucket costs one row per member, a hot cluster is cut into blocks of
-    about ``block`` classes; a task holds the sets of two blocks.
+    A hot bucket costs one row and one comparison per member, what it leaves open is cut into
+    blocks of about ``block`` classes; a task holds the sets of two blocks.
     """
     rows_in = columns_first(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
     sketch = table(spark, rows_in.mapInArrow(
@@ -223,22 +304,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     buckets = table(spark, reps.select("rep", F.explode("bands").alias("band")), "minhash-bands")
     hubs = buckets.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")) \
         .where("hub <> top").drop("top")
-    near = buckets.join(hubs, "band").where("rep <> hub") \
-        .select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
-    clusters = table(spark, components(spark, near, "minhash-candidates"), "minhash-clusters")
-
-    parts = clusters.groupBy("component").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
-    member = clusters.join(parts, "component").withColumn(
-        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    paired = member.select(
-        F.col("node").alias("id"), F.col("component").alias("cluster"), "own",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")) \
-        .select("id", "cluster", F.concat_ws("-", F.least("own", "other"), F.greatest("own", "other")).alias("part"))
-    # The same join at every size: texts are dealt by id rather than the ids copied to all tasks.
-    texts = rows_in.where("id is not null and text is not null").hint("merge").join(paired, "id")
-    dealt = texts.repartition("cluster", "part").sortWithinPartitions("cluster", "part", "id")
+    mates = table(spark, buckets.join(hubs, "band").where("rep <> hub")
+                  .select("band", F.col("rep").alias("a"), F.col("hub").alias("b")), "minhash-mates")
+
+    # The same joins at every size: texts are dealt by id rather than the ids copied to all tasks.
+    texts = rows_in.where("id is not null and text is not null").hint("merge")
+    beside = texts.join(_pivot_pairs(mates.select("a", "b").distinct(), block), "id") \
+        .repartition("hub", "part").sortWithinPartitions("hub", "part", F.col("id") != F.col("hub"), "id")
+    stars = table(spark, beside.mapInArrow(_against_pivot(k, percent), "a long, b long"), "minhash-stars")
+    joined = table(spark, components(spark, stars, "minhash-star-links"), "minhash-joined")
+    dealt = texts.join(_open_pairs(mates, joined, block), "id") \
+        .repartition("band", "part").sortWithinPartitions("band", "part", "id")
     links = table(spark, dealt.mapInArrow(_verify(k, percent), "a long, b long"), "minhash-links")
-    groups = components(spark, links, "minhash-components")
+    groups = components(spark, links.unionByName(stars), "minhash-components")
 
     of_class = class_of.join(groups, class_of["rep"] == groups["node"], "left") \
         .select("digest", F.coalesce("component", "rep").alias("component"))
