@@ -16,7 +16,7 @@
    of bounded size, which returns a spanning forest of its links instead of all
    pairs.  A group of copies that are near their pivot thus costs one comparison
    per class and bucket, whatever its size.
-5. Union-find over the links of both steps gives the groups.
+5. Union-find over the links between provisional groups gives the groups.
 """
 
 from __future__ import annotations
@@ -316,13 +316,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     dealt = texts.join(_open_pairs(mates, joined, block), "id") \
         .repartition("band", "part").sortWithinPartitions("band", "part", "id")
     links = table(spark, dealt.mapInArrow(_verify(k, percent), "a long, b long"), "minhash-links")
-    groups = components(spark, links.unionByName(stars), "minhash-components")
-
-    of_class = class_of.join(groups, class_of["rep"] == groups["node"], "left") \
-        .select("digest", F.coalesce("component", "rep").alias("component"))
-    joined = sketch.select("id", "n", "digest").join(of_class, "digest", "left")
+    # From here a provisional group counts as its smallest class, so its own links are not followed again.
+    between = links
+    for end in ("a", "b"):
+        between = between.join(joined.select(F.col("node").alias(end), F.col("component").alias("to")), end, "left") \
+            .withColumn(end, F.coalesce("to", end)).drop("to")
+    groups = components(spark, between.where("a <> b").distinct(), "minhash-components")
+
+    of_class = class_of.join(joined, class_of["rep"] == joined["node"], "left") \
+        .select("digest", F.coalesce("component", "rep").alias("first")) \
+        .join(groups, F.col("first") == groups["node"], "left") \
+        .select("digest", F.coalesce("component", "first").alias("component"))
+    found = sketch.select("id", "n", "digest").join(of_class, "digest", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return joined.select(
+    return found.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
