@@ -109,6 +109,25 @@ def test_near_duplicates_of_large_groups_against_brute_force(spark):
     assert {g["component_id"] for g in got} == {0}
 
 
+def test_near_duplicates_of_repeated_rows_against_brute_force(spark):
+    """Pairs that meet only in buckets of a smaller id near neither, in a table where every row comes twice."""
+    r, rows = random.Random(12), []
+    for family in range(10):
+        base = words(120, 100 + family)
+        for i, changes in enumerate([3] * 20 + [1, 2]):
+            own = base[:]
+            for at in r.sample(range(5, 115, 10), changes):
+                own[at] = f"x{r.randrange(10**6)}"
+            rows.append((100 * family + i, " ".join(own)))
+    want = brute.near_groups(rows)
+    assert sum(i != root for i, (_, root) in want.items()) >= 10
+    for some in (rows, rows * 2):
+        got = minhash_dedup.near_duplicates(spark, table(spark, r.sample(some, len(some))), block=16).collect()
+        assert len(got) == len(some)
+        assert {(g["doc_id"], g["n_shingles"], g["component_id"]) for g in got} == \
+            {(i, n, root) for i, (n, root) in want.items()}
+
+
 def test_superminhash_estimates_similarity():
     """The share of equal slots is an unbiased, low-variance estimate; equal sets agree in every slot."""
     r = np.random.default_rng(3)

@@ -170,7 +170,7 @@ def linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 def _verify(k: int, percent: int):
     def run(batches):
-        key, ids, sets = None, [], []
+        key, ids, sets, seen = None, [], [], set()  # seen: sets of the last id, whose rows follow each other
 
         def links():
             if len(ids) < 2:
@@ -189,8 +189,14 @@ def _verify(k: int, percent: int):
                         if (out := links()) is not None:
                             yield out
                         key, ids, sets = keys[i], [], []
+                    found = gram[offsets[i - lo]:offsets[i - lo + 1]]
+                    if not ids or ids[-1] != own[i]:
+                        seen = set()
+                    elif found.tobytes() in seen:
+                        continue  # a repeated row
+                    seen.add(found.tobytes())
                     ids.append(own[i])
-                    sets.append(gram[offsets[i - lo]:offsets[i - lo + 1]].copy())
+                    sets.append(found.copy())
         if (out := links()) is not None:
             yield out
     return run
@@ -239,7 +245,7 @@ def _pivot_pairs(near: DataFrame, block: int) -> DataFrame:
 def _open_pairs(mates: DataFrame, joined: DataFrame, block: int) -> DataFrame:
     """(id, band, part): the classes of buckets with open pairs, in pairs of blocks; part names the two.
 
-    ``mates``: (band, a) of the members of each bucket but its pivot, ``joined``: (node, component)
+    ``mates``: (band, a) of the members of each bucket but its pivot, each once, ``joined``: (node, component)
     of provisional groups.  A group of more than ``block`` members has blocks of its own, which
     are not paired with each other; smaller groups share the bucket's first blocks.  A bucket of
     one group has nothing open; of buckets with the same members one is enough.
@@ -296,16 +302,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     sketch = table(spark, rows_in.mapInArrow(
         _sketches(k, bands, rows, seed), "id long, n long, digest binary, bands array<long>"), "minhash")
     # All of a class share the bands, so any member's do; the smallest id stands for the class.
-    class_of = sketch.where("id is not null and digest is not null") \
-        .groupBy("digest").agg(F.min("id").alias("rep"))
-    # Every row with the representative's id and digest carries the same bands.
-    reps = (sketch.where("id is not null and digest is not null").select("digest", "id", "bands")
-            .join(class_of, "digest").where("id = rep").select("rep", "bands"))
+    classes = sketch.where("id is not null and digest is not null") \
+        .groupBy("digest").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"))
+    class_of, reps = classes.select("digest", "rep"), classes.select("rep", "bands")
     buckets = table(spark, reps.select("rep", F.explode("bands").alias("band")), "minhash-bands")
     hubs = buckets.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")) \
         .where("hub <> top").drop("top")
+    # An id with several texts stands for several classes, and may meet a bucket through each: it counts once.
     mates = table(spark, buckets.join(hubs, "band").where("rep <> hub")
-                  .select("band", F.col("rep").alias("a"), F.col("hub").alias("b")), "minhash-mates")
+                  .select("band", F.col("rep").alias("a"), F.col("hub").alias("b")).distinct(), "minhash-mates")
 
     # The same joins at every size: texts are dealt by id rather than the ids copied to all tasks.
     texts = rows_in.where("id is not null and text is not null").hint("merge")
