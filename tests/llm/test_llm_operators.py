@@ -280,6 +280,16 @@ def test_encoding_equals_tokenizers(spark):
     assert all(encode(t) == whole.encode(t, add_special_tokens=False).ids for t in texts)
 
 
+def test_encoding_of_very_long_white_space():
+    from tokenizers import Tokenizer
+
+    where = tokens.vocabulary()
+    whole, encode = Tokenizer.from_file(where.json), tokens.encoder(where)
+    for t in (" " * 1_200_000, "\n" * 1_200_000, "a" + "\u3000" * 1_200_000 + "b", "a" + " " * 99_999 + "b",
+              "a\n" + "\t " * 50_000 + "b"):
+        assert encode(t) == whole.encode(t, add_special_tokens=False).ids
+
+
 def test_training_order(spark, edge):
     for total in (1, 2, 3, 64, 1000, 4097):
         p = training_order.positions(np.arange(total), total, 7)

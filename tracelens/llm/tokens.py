@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 import sys
 from array import array
 from collections.abc import Callable
 from types import SimpleNamespace
 
+# The rank file's library fails near 1,000,000 white-space characters in a row; Python's white space includes its own.
+LONG_SPACE = 100_000
+_LONG_SPACE = re.compile(rf"(?<!\s)\s{{{LONG_SPACE}}}")
+
 
 def vocabulary(json_path: str | None = None, ranks_path: str | None = None) -> SimpleNamespace:
     """Where the vocabulary lies: the ``tokenizers`` file, the same vocabulary as ranks, its split
@@ -26,7 +31,8 @@ def encoder(where: SimpleNamespace) -> Callable[[str], list[int]]:
     """A function from a text to its ids, as ``tokenizers`` gives them without added special tokens.
 
     The rank file holds the same vocabulary and merges, and its library encodes several
-    times faster; a text that holds a special token's string is left to ``tokenizers``.
+    times faster; a text that holds a special token's string, or ``LONG_SPACE`` white-space
+    characters in a row, is left to ``tokenizers``.
     A worker process builds the encoding once and finds it again in the library's registry.
     """
     import tiktoken
@@ -41,7 +47,7 @@ def encoder(where: SimpleNamespace) -> Callable[[str], list[int]]:
     whole = []
 
     def encode(text: str) -> list[int]:
-        if any(s in text for s in where.special):
+        if any(s in text for s in where.special) or len(text) >= LONG_SPACE and _LONG_SPACE.search(text):
             if not whole:
                 from tokenizers import Tokenizer
 
