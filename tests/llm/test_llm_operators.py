@@ -364,6 +364,24 @@ def test_extraction(spark):
         spark, spark.createDataFrame([], "page_id long, html string"), empty).count() == 0
 
 
+def test_extraction_of_pages_without_head_end_or_blocks(spark):
+    """A head ends at the first thing that it cannot hold; text at top level is judged like any other."""
+    model = html_extract.train(spark, spark.read.parquet(f"{SF}/pages.parquet"))
+    say = "The river rose in the night, and by the morning the whole lower town stood under water."
+    rows = [(1, f"<html><head><title>T</title><meta x><script>s</script><h1>Flood</h1><p>{say}</p>", f"Flood {say}"),
+            (2, f"<head><title>T</title>\n{say}", say), (3, f"<head><head><title>T</title><p>{say}", say), (4, say, say),
+            (5, f"{say}<br>{say} <b>More</b> of it", f"{say} {say} More of it"), (6, "plain < text", "plain < text"),
+            (7, f'{say}<div class="nav"><a href="x">Home</a></div>{say}', f"{say} {say}"),
+            (8, f"<title>T</title><head><noscript>no</noscript></head><p>{say}", say)]
+    pages = table(spark, [r[:2] for r in rows], "page_id long, html string")
+    got = html_extract.extract(spark, pages, model).collect()
+    assert {r["page"]["page_id"]: r["text"] for r in got} == {i: text for i, _, text in rows}
+    whole = {i: text for i, _, text in rows} | {7: f"{say} Home {say}"}
+    responses = warc_derive.responses_of_pages(pages.withColumn("url", F.lit("http://a/")))
+    for r in warc_derive.derive(responses, "key").where("warc_type = 'conversion'").collect():
+        assert r["block"] == whole[r["key"]]
+
+
 def test_extraction_of_the_given_pages(spark):
     import html
     import re

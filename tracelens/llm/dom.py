@@ -13,6 +13,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 HIDDEN = frozenset("""script style template noscript head title textarea select option button iframe svg object
     canvas audio video datalist""".split())
 RAW = frozenset("script style textarea title iframe".split())
+# Start tags that may stand in a head, or are ignored there; any other ends it, as text does.
+IN_HEAD = frozenset("html head title base basefont bgsound link meta noframes noscript script style template".split())
 CLOSES_P = frozenset("""address article aside blockquote center details dialog dir div dl fieldset figcaption figure
     footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul""".split())
 # Start tags that end an open element of these kinds, searched up to a boundary.
@@ -50,6 +52,7 @@ class Page:
     """Block nodes in page order (a parent before its children) and the text pieces.
 
     ``parent``, ``tag``, ``against``, ``favour`` by node; node 0 is the page itself.
+    Text outside every block element is a ``p`` of its own, up to the next block at top level.
     ``pieces``: (node, text, inside a link) in page order; breaks between blocks are pieces of one space.
     """
 
@@ -59,14 +62,22 @@ class Page:
         self.pieces: list[tuple[int, str, bool]] = []
         stack = [("#page", 0)]
         hidden: list[str] = []  # open hidden elements
+        loose = 0  # node of the text at top level, since the last block there
         link, at, size = False, 0, len(source)
 
         while at < size:
             m = TOKEN.search(source, at)
             upto = m.start() if m else size
+            if hidden == ["head"] and source[at:upto].strip():
+                hidden.clear()
             if upto > at and not hidden:
-                text = source[at:upto]
-                self.pieces.append((stack[-1][1], html.unescape(text) if "&" in text else text, link))
+                text, node = source[at:upto], stack[-1][1]
+                text = html.unescape(text) if "&" in text else text
+                if node == 0 and text.strip():
+                    if not loose:
+                        loose = self._add(0, "p", False, False)
+                    node = loose
+                self.pieces.append((node, text, link))
             if not m:
                 break
             at = m.end()
@@ -89,7 +100,11 @@ class Page:
                             self.pieces.append((stack[-1][1], " ", False))
                         break
                 continue
+            if hidden == ["head"] and tag not in IN_HEAD:
+                hidden.clear()
             if tag in HIDDEN:
+                if tag == "head" and hidden:
+                    continue
                 if tag in RAW:
                     end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>", re.I).search(source, at)
                     at = end.end() if end else size
@@ -130,12 +145,18 @@ class Page:
                             break
                 link = False
                 self.pieces.append((stack[-1][1], " ", False))
-            self.parent.append(stack[-1][1])
-            self.tag.append(tag)
-            self.against.append(against)
-            self.favour.append(favour)
+                if stack[-1][1] == 0:
+                    loose = 0
+            node = self._add(stack[-1][1], tag, against, favour)
             if not attributes.endswith("/") or tag in CLOSES_P or tag in INLINE:
-                stack.append((tag, len(self.tag) - 1))
+                stack.append((tag, node))
+
+    def _add(self, parent: int, tag: str, against: bool, favour: bool) -> int:
+        self.parent.append(parent)
+        self.tag.append(tag)
+        self.against.append(against)
+        self.favour.append(favour)
+        return len(self.tag) - 1
 
     def text(self, kept) -> str:
         """The text of the kept nodes in page order, white space as single spaces."""

@@ -254,7 +254,9 @@ def extract(spark: SparkSession, pages: DataFrame, model: SimpleNamespace, html_
 
     Null or empty source, or a page without main text: empty text.  Each row is handled alone,
     repeated ones alike.  Broken markup is read leniently: unclosed elements end with their
-    parent, stray end tags are ignored.  An empty table gives no rows.
+    parent, stray end tags are ignored, a head ends where something stands that no head may hold.
+    Text outside every block element is a paragraph, judged like the others.  An empty table
+    gives no rows.
     """
     rows = pages.select(F.struct(*[pages[c] for c in keep or pages.columns]).alias("page"),
                         pages[html_col].cast("string").alias("html"))
