@@ -458,6 +458,17 @@ def test_warc_derivatives(spark, tmp_path):
         [(1, "metadata", False), (2, "metadata", True)]
 
 
+def test_warc_repeated_headers_and_upper_case_content_type(spark):
+    block = (b"HTTP/1.1 200 OK\r\nSet-Cookie: a=1\r\nContent-Type: Text/HTML; Charset=UTF-8\r\nset-cookie: b=2\r\n"
+             b"Server: s\r\n\r\n<title>T</title><p>text <a href='/x'>link</a>")
+    other = spark.createDataFrame([(1, "<urn:x>", "u", "d", None, bytearray(block))], "key long, " + warc_derive.RESPONSE)
+    got = {r["warc_type"]: r["block"] for r in warc_derive.derive(other, "key").collect()}
+    meta = json.loads(got["metadata"])["Envelope"]["Payload-Metadata"]["HTTP-Response-Metadata"]
+    assert meta["Headers"] == {"set-cookie": ["a=1", "b=2"], "content-type": "Text/HTML; Charset=UTF-8", "server": "s"}
+    assert meta["HTML-Metadata"] == {"Title": "T", "Links": [{"path": "a@/href", "url": "/x"}]}
+    assert got["conversion"] == "text link"
+
+
 def test_empty_tables(spark):
     docs, pages = table(spark, []), table(spark, [], "page_id long, url string, html string")
     bench = spark.createDataFrame([], "item_id string, text string")

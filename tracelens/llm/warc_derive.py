@@ -53,14 +53,16 @@ def header(fields: list[tuple[str, str]]) -> str:
     return "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields if v) + "\r\n"
 
 
-def split_http(block: bytes) -> tuple[str, dict[str, str], bytes]:
-    """Status line, headers (lower-case names, the last of repeated ones) and payload of an HTTP response."""
+def split_http(block: bytes) -> tuple[str, dict[str, list[str]], bytes]:
+    """Status line, headers (lower-case names, all values of each in their order) and payload of an HTTP response."""
     head, mark, payload = block.partition(b"\r\n\r\n")
     if not mark or not head.startswith(b"HTTP/"):
         return "", {}, block
     status, *lines = head.decode("iso-8859-1").split("\r\n")
-    pairs = (line.partition(":") for line in lines)
-    return status, {k.strip().lower(): v.strip() for k, _, v in pairs}, payload
+    fields: dict[str, list[str]] = {}
+    for k, _, v in (line.partition(":") for line in lines):
+        fields.setdefault(k.strip().lower(), []).append(v.strip())
+    return status, fields, payload
 
 
 def decode(payload: bytes, content_type: str) -> str:
@@ -72,10 +74,13 @@ def decode(payload: bytes, content_type: str) -> str:
 
 
 def derive_one(record_id: str, target: str | None, date: str | None, digest: str | None, block: bytes) -> list[tuple]:
-    """The rows (see DERIVED) of one response."""
+    """The rows (see DERIVED) of one response.
+
+    In the metadata a repeated HTTP header has the list of its values; its last Content-Type counts.
+    """
     status, fields, payload = split_http(block or b"")
     own = sha1_digest(payload)
-    kind = fields.get("content-type", "")
+    kind = fields.get("content-type", [""])[-1].lower()
     is_html = "html" in kind
     is_text = is_html or kind.startswith("text/")
     source = decode(payload, kind) if is_text else ""
@@ -87,7 +92,8 @@ def derive_one(record_id: str, target: str | None, date: str | None, digest: str
         "WARC-Header-Metadata": {"WARC-Type": "response", "WARC-Record-ID": record_id, "WARC-Target-URI": uri,
                                  "WARC-Date": date, "WARC-Payload-Digest": digest or own},
         "Payload-Metadata": {"HTTP-Response-Metadata": {
-            "Response-Message": status, "Headers": fields, "Entity-Length": len(payload), "Entity-Digest": own,
+            "Response-Message": status, "Headers": {k: v if len(v) > 1 else v[0] for k, v in fields.items()},
+            "Entity-Length": len(payload), "Entity-Digest": own,
             "HTML-Metadata": {"Title": " ".join(html.unescape(title[1]).split()) if title else "", "Links": links}}}}}
     blocks = [("metadata", "application/json", json.dumps(meta, ensure_ascii=False))]
     if is_html:
