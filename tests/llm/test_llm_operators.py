@@ -228,6 +228,16 @@ def test_language_id_held_out_accuracy_and_edges(spark):
     assert {r["lang_pred"] for r in language_id.identify(spark, docs, blank).collect()} == {"und"}
 
 
+def test_rows_with_letters_stay_without_usable_labels(spark):
+    texts = ["the thing of", None, "", "12 ...", "日本 語", "☃ ✓", "x", "𐐀"]
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 == 2][:len(texts)]
+    for lang in (None, "en"):  # no labels; labels on held-out rows only
+        docs = table(spark, [(i, t, lang) for i, t in zip(held, texts)], "doc_id long, text string, lang string")
+        kept = language_id.drop_unknown(spark, docs)
+        assert kept.columns == docs.columns
+        assert sorted(r["doc_id"] for r in kept.collect()) == [held[j] for j in (0, 4, 6, 7)]
+
+
 def test_language_mixture_finds_both_languages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang in ('en', 'de')")
     model = language_id.train(docs)

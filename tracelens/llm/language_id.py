@@ -203,6 +203,12 @@ def train_on_kept_in(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def drop_unknown(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs``, with their columns, whose text has a language."""
-    found = identify(spark, docs, train_on_kept_in(docs, id_col, text_col, lang_col), text_col)
+    """The rows of ``docs``, with their columns, whose text has a language.
+
+    Without a usable label no language can be told: every text with a letter stays.
+    """
+    model = train_on_kept_in(docs, id_col, text_col, lang_col)
+    if not model.langs:
+        return docs.where(F.col(text_col).cast("string").rlike(r"\p{L}"))
+    found = identify(spark, docs, model, text_col)
     return found.where(F.col("lang_pred") != UNKNOWN).select("doc.*")
