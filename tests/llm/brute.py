@@ -77,3 +77,77 @@ def contamination(texts: list[str | None], items: list[tuple], window: int = 13)
                     found |= runs[r]
         out.append((len(w), len(hit), sorted(found), bool(hit) and 20 * len(hit) >= len(w)))
     return out
+
+
+def runs(words: list, min_length: int = 6, min_exponent: int = 4) -> list[tuple[int, int, int]]:
+    """(start, length, period) of every maximal run, by start, then period."""
+    found: dict[tuple[int, int], int] = {}
+    n = len(words)
+    for p in range(1, n // 2 + 1):
+        i = 0
+        while i + p < n:
+            if words[i] != words[i + p]:
+                i += 1
+                continue
+            j = i
+            while j + p < n and words[j] == words[j + p]:
+                j += 1
+            if j + p - i >= max(min_length, min_exponent * p):
+                found.setdefault((i, j + p - i), p)
+            i = j
+    return sorted(((s, n, p) for (s, n), p in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def collapsed(words: list[str], found: list[tuple[int, int, int]]) -> str:
+    gone = {i for s, n, p in found for i in range(s + p, s + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def simhash(text: str | None, k: int = 3) -> int:
+    import xxhash
+
+    w = SPACE_WORD.findall((text or "").translate(LOWER))
+    h = [xxhash.xxh64_intdigest(" ".join(w[i:i + k]).encode(), 42) for i in range(max(1, len(w) - k + 1))] if w else []
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def groups_by(values: dict, near) -> dict:
+    """Key -> smallest key of its group, keys being linked where ``near`` holds for their values."""
+    parent = {i: i for i in values}
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    keys = sorted(values)
+    for n, a in enumerate(keys):
+        for b in keys[n + 1:]:
+            if near(values[a], values[b]):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {i: find(i) for i in keys}
+
+
+def one_edit(a: str, b: str) -> bool:
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def variants(counts: dict[str, int], ratio: int = 10) -> set[tuple]:
+    """(word, n, n_near, form, form_n, root) of every word."""
+    form, near = {}, {}
+    for w in counts:
+        others = [o for o in counts if one_edit(w, o)]
+        near[w] = len(others)
+        best = min(others, key=lambda o: (-counts[o], o), default=None)
+        form[w] = best if best is not None and counts[best] >= ratio * counts[w] else None
+    out = set()
+    for w in counts:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.add((w, counts[w], near[w], form[w], counts.get(form[w]), root))
+    return out
