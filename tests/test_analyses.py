@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tracelens.plans import analyses as A
+from tracelens.sources.published import read_published
 from tracelens.sources.readers import read_trace_table
 
 BIG = 3000000000
@@ -129,17 +130,17 @@ def test_jobs_runner_writes_every_result(spark, trace_dir):
         assert "report" in paths
         report = spark.read.parquet(paths["report"]).where(F.col("job") == name)
         assert {r.result for r in report.collect()} == set(paths) - {"report"}
-    per_job = A.pair_result(spark.read.parquet(f"{out}/job6/per_job"), "cpu")
+    per_job = A.pair_result(read_published(spark, f"{out}/job6/per_job"), "cpu")
     assert rows(per_job, "job_id", "delta") == [(1, 10.0), (4, 15.0)]
-    j8 = rows(spark.read.parquet(f"{out}/job8/delay_vs_constraints"))
+    j8 = rows(read_published(spark, f"{out}/job8/delay_vs_constraints"))
     assert j8 == [(1, 13.0, 3.0)]
-    deltas = spark.read.parquet(f"{out}/job6/cpu_deltas")
+    deltas = read_published(spark, f"{out}/job6/cpu_deltas")
     assert rows(deltas, "job_id", "delta") == [(1, 10.0), (4, 15.0)]
     me, te = (read_trace_table(spark, t, f"{trace_dir}/{t}") for t in ("machine_events", "task_events"))
     for path, want in (("job1/cpus", A.value_distribution(me)), ("job1/cpus_share", A.value_share(me)),
                        ("job1/machines_per_cpus", A.entities_per_value(me)),
                        ("job4/evictions_by_priority", A.event_share(te)), ("job4/eviction_rate", A.event_rate(te))):
-        assert rows(spark.read.parquet(f"{out}/{path}"), *want.columns) == rows(want), path
+        assert rows(read_published(spark, f"{out}/{path}"), *want.columns) == rows(want), path
 
 
 def test_infinite_and_nan_requests_agree_on_both_paths(spark):
@@ -288,7 +289,7 @@ def test_jobs_cli(spark, trace_dir, capsys):
           "--shuffle-partitions", "8"])
     printed = capsys.readouterr().out
     assert "evictions_by_priority\t" in printed and "report\t" in printed
-    got = rows(spark.read.parquet(f"{out}/job4/evictions_by_priority"), "priority", "n_events")
+    got = rows(read_published(spark, f"{out}/job4/evictions_by_priority"), "priority", "n_events")
     assert got == [(0, 1), (1, 2), (9, 1)]
 
 

@@ -13,7 +13,7 @@ def test_every_query_has_sql_or_is_rows_only():
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(catalog.QUERIES) <= set(entry.queries())
-    assert set(catalog.QUERIES) - set(catalog.ORACLE_SQL) == {"seeded_sample"}
+    assert set(catalog.QUERIES) == set(catalog.ORACLE_SQL)
 
 
 def test_catalogue_matches_sql(spark):

@@ -102,3 +102,64 @@ def integer_histogram(df: DataFrame, col: str, *, bucket: str | None = None,
     key = round_half_up(F.col(col), 0).cast("long")
     return (df.where(F.col(col).isNotNull())
             .groupBy(key.alias(bucket)).agg(F.count(F.lit(1)).alias(name)))
+
+
+def scatter_grid(df: DataFrame, x: str, y: str, *, max_cells: int = 1024, depth: int = 8) -> DataFrame:
+    """A scatter plot of any size as cells, at most ``max_cells`` of them (V6): (level, cx, cy, x_lo, x_hi, y_lo, y_hi, n_rows).
+
+    The bounding square is halved both ways where points are dense: a cell with more rows than
+    ``3 * depth * rows / (max_cells - 1)`` is replaced by its non-empty quarters, down to ``depth``
+    halvings.  Fewer than (max_cells - 1) / 3 cells can be that full, so the bound holds for any
+    data.  Level 0 is the whole square; ``cx``, ``cy`` count cells of a level from the low end, and a
+    cell holds its low edges; the last ones hold the high edges too.
+
+    Pairs with a null are left out.  Pairs with a value that is not finite, if any, are counted in one more
+    row, level ``NOT_FINITE`` without place.  The counts sum to the pairs.  Two passes over
+    the pairs (range, finest cells); all else works on at most 4**depth rows.
+    """
+    if max_cells < 2 or not 0 <= depth <= 12:
+        raise ValueError("need max_cells >= 2 and 0 <= depth <= 12")
+    xs, ys = F.col(x).cast("double"), F.col(y).cast("double")
+    pairs = df.where(xs.isNotNull() & ys.isNotNull()).select(xs.alias("_x"), ys.alias("_y"))
+    finite = (F.abs("_x") <= F.lit(sys.float_info.max)) & (F.abs("_y") <= F.lit(sys.float_info.max))
+    ranges = pairs.where(finite).agg(F.struct(
+        F.min("_x").alias("x0"), F.max("_x").alias("x1"), F.min("_y").alias("y0"), F.max("_y").alias("y1"),
+        F.count(F.lit(1)).alias("n"))).scalar()
+
+    def place(value: str, lo: str, hi: str) -> Column:
+        low, high = F.col(f"_r.{lo}"), F.col(f"_r.{hi}")
+        # Halves keep the difference of two large values finite.
+        part = (F.col(value) / 2 - low / 2) / (high / 2 - low / 2)
+        return F.when(high > low, F.least(F.floor(part * F.lit(float(1 << depth))), F.lit((1 << depth) - 1))) \
+            .otherwise(F.lit(0)).cast("int")
+
+    # Numbers of the finest cells; one row more for pairs without a place.
+    cells = pairs.withColumn("_r", F.when(finite, ranges)).select(
+        place("_x", "x0", "x1").alias("ix"), place("_y", "y0", "y1").alias("iy"), finite.alias("real")) \
+        .groupBy("real", "ix", "iy").agg(F.count(F.lit(1)).alias("n"))
+    levels = cells.withColumn("level", F.explode(F.when(F.col("real"), F.sequence(F.lit(0), F.lit(depth)))
+                                                 .otherwise(F.array(F.lit(NOT_FINITE)))))
+    shift = F.pow(F.lit(2), F.lit(depth) - F.col("level"))
+
+    def up(c: str, by: Column) -> Column:
+        return F.floor(F.col(c) / by).cast("int")
+
+    pyramid = levels.select("level", F.when(F.col("real"), up("ix", shift)).alias("cx"),
+                            F.when(F.col("real"), up("iy", shift)).alias("cy"), "n") \
+        .groupBy("level", "cx", "cy").agg(F.sum("n").alias("n"))
+    most = F.ceil(F.lit(3.0 * depth) * F.col("_r.n") / F.lit(max_cells - 1))
+    full = pyramid.withColumn("_r", ranges).where((F.col("n") > most) & (F.col("level") >= 0) & (F.col("level") < depth))
+    parents = full.select((F.col("level") + 1).alias("level"), F.col("cx").alias("px"), F.col("cy").alias("py"))
+    two = F.lit(2)
+    reached = pyramid.withColumn("px", up("cx", two)).withColumn("py", up("cy", two)) \
+        .join(parents, ["level", "px", "py"], "left_semi").drop("px", "py") \
+        .unionByName(pyramid.where("level <= 0"))
+    leaves = reached.join(full.select("level", "cx", "cy"), ["level", "cx", "cy"], "left_anti").withColumn("_r", ranges)
+
+    def edge(c: str, lo: str, hi: str, at: int) -> Column:
+        part = (F.col(c) + at) / F.pow(F.lit(2.0), F.col("level"))
+        return F.col(f"_r.{lo}") * (F.lit(1.0) - part) + F.col(f"_r.{hi}") * part
+
+    return leaves.select("level", "cx", "cy", edge("cx", "x0", "x1", 0).alias("x_lo"), edge("cx", "x0", "x1", 1).alias("x_hi"),
+                         edge("cy", "y0", "y1", 0).alias("y_lo"), edge("cy", "y0", "y1", 1).alias("y_hi"),
+                         F.col("n").alias("n_rows"))

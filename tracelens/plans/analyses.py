@@ -28,8 +28,10 @@ from tracelens.operators.counting import (
 from tracelens.operators.histogram import equal_width_histogram, integer_histogram
 from tracelens.operators.joins import join_on_keys, semi_join
 from tracelens.operators.ordering import bottom_k, sort_by, top_k
+from tracelens.operators.ranks import rank_correlation
 from tracelens.operators.shares import rate_per_group, share_of_total
 from tracelens.operators.stats import correlation, exact_median, summary_stats
+from tracelens.operators.timeline import as_of_join, pending_periods
 from tracelens.operators.transitions import mean_rows_per_key, positive_delays, transition_delay
 from tracelens.sources.schemas import EVICT, LEAVE_PENDING, SUBMIT
 
@@ -398,3 +400,75 @@ def delay_constraints_corr(result: DataFrame, *, delay_name: str = "avg_delay",
                            digits: int = 6) -> DataFrame:
     """Correlation of mean constraints and mean pending delay over jobs."""
     return correlation(result, constraints_name, delay_name, "corr", digits)
+
+
+def pending_intervals(events: DataFrame, *, job: str = "job_id", task: str = "task_index",
+                      event_col: str = "event_type", time_col: str = "time",
+                      submit: Sequence = (SUBMIT,), leave: Sequence = LEAVE_PENDING,
+                      time_scale: float = 1.0) -> DataFrame:
+    """J8 in event order: every PENDING period of every (job, task), resubmissions included.
+
+    Unlike ``pending_delays``, which takes the first submit and the first leave whichever
+    comes first, a period starts at a submit and ends at the next leave, so no delay is negative.
+    """
+    return pending_periods(events, [job, task], event_col, submit, leave, time_col, time_scale=time_scale)
+
+
+def waiting_per_job(periods: DataFrame, *, job: str = "job_id", task: str = "task_index") -> DataFrame:
+    """Per job, from ``pending_intervals``: tasks that waited, periods, resubmitted periods, total and longest wait.
+
+    Waits are in the time unit of the events.
+    """
+    wait = F.col("end") - F.col("start")
+    return periods.groupBy(job, task).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(wait).alias("_sum"), F.max(wait).alias("_max")).groupBy(job).agg(
+        F.count(F.lit(1)).alias("n_tasks"), F.sum("_n").alias("n_periods"), F.sum(F.col("_n") - 1).alias("n_again"),
+        F.sum("_sum").alias("total_wait"), F.max("_max").alias("longest_wait"))
+
+
+# ---------------------------------------------------------------- J7 in time
+
+
+def usage_at_event(usage: DataFrame, events: DataFrame, *, key: str | Sequence[str] = ("job_id", "task_index"),
+                   start_col: str = "start_time", end_col: str = "end_time", peak_col: str = "maximum_cpu_rate",
+                   event_col: str = "event_type", event_value=EVICT, time_col: str = "time") -> DataFrame:
+    """J7 in time: each event with the last usage window of its key that had begun, and whether it was still open.
+
+    Returns key, ``time_col``, ``start_col``, ``end_col``, ``peak_col`` and ``inside`` (the event is before the
+    window's end); all but the first two are null, and ``inside`` false, for an event before any window.
+    """
+    hits = events.where(F.col(event_col) == F.lit(event_value))
+    found = as_of_join(hits, usage.where(is_present(peak_col)), key, time_col, start_col, [peak_col, end_col],
+                       state_time_name=start_col)
+    inside = F.coalesce(F.col(time_col) < F.col(end_col), F.lit(False))
+    keys = [key] if isinstance(key, str) else list(key)
+    return found.select(*keys, time_col, start_col, end_col, peak_col, inside.alias("inside"))
+
+
+def event_peaks(usage: DataFrame, events: DataFrame, *, job: str = "job_id", key: str | Sequence[str] = ("job_id", "task_index"),
+                peak_col: str = "maximum_cpu_rate", **roles) -> DataFrame:
+    """J7 in time, per job with events: events, those inside a usage window, the highest peak of those windows
+    (``event_peak``) and of all windows (``peak``).
+
+    ``peak_vs_event`` asks only whether a job was ever evicted; here the peak is that of the eviction's time.
+    """
+    at = usage_at_event(usage, events, key=key, peak_col=peak_col, **roles).groupBy(job).agg(
+        F.count(F.lit(1)).alias("n_events"), F.count_if("inside").alias("n_inside"),
+        F.max(F.when(F.col("inside"), F.col(peak_col))).alias("event_peak"))
+    peaks = usage.where(is_present(peak_col)).groupBy(job).agg(F.max(peak_col).alias("peak"))
+    return join_on_keys(at, peaks, job, how="left")
+
+
+# ---------------------------------------------------------------- X2 by rank
+
+
+def request_usage_rank_corr(result: DataFrame, *, request_name: str = "request", usage_name: str = "usage",
+                            digits: int = 6) -> DataFrame:
+    """Rank correlation (Spearman, ties averaged) of mean request and mean usage over keys."""
+    return rank_correlation(result, request_name, usage_name, "rank_corr", digits)
+
+
+def delay_constraints_rank_corr(result: DataFrame, *, delay_name: str = "avg_delay",
+                                constraints_name: str = "avg_constraints", digits: int = 6) -> DataFrame:
+    """Rank correlation of mean constraints and mean pending delay over jobs."""
+    return rank_correlation(result, constraints_name, delay_name, "rank_corr", digits)

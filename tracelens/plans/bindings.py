@@ -32,6 +32,8 @@ LEAVE_EVENTS = ("click", "purchase", "error")   # J8 end events
 TASKS_PER_USER = 4                 # J8 task = event_id % 4
 MAX_CONSTRAINTS = 4                # J8 keep jobs with mean constraints below
 PEAK_BELOW = 10                    # J7 keep peaks below
+USAGE_EVENTS = ("view", "purchase")  # J7 in time: events read as usage windows
+USAGE_WINDOW = 6 * 3_600 * 1_000_000  # J7 in time: length of a usage window, microseconds
 MICROS = 1_000_000                 # J8 delays in seconds
 
 
@@ -152,3 +154,16 @@ def task_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(F.col("o_custkey").alias("job_id"),
                     F.col("o_orderpriority").alias("task_index"))
+
+
+def usage_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J7 in time, usage side: a window of fixed length from each viewing or purchase, peak = value, job = user_id."""
+    e = table(spark, sf_dir, "events").where(F.col("event_type").isin(list(USAGE_EVENTS)))
+    return e.select(F.col("user_id").alias("job_id"), micros("ts").alias("start_time"),
+                    (micros("ts") + F.lit(USAGE_WINDOW)).alias("end_time"), F.col("value").alias("maximum_cpu_rate"))
+
+
+def user_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J7 in time, event side: job = user_id, time = ts in microseconds."""
+    e = table(spark, sf_dir, "events")
+    return e.select(F.col("user_id").alias("job_id"), "event_type", micros("ts").alias("time"))

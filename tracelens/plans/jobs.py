@@ -4,8 +4,10 @@
 
 ``<trace>/<table>/`` holds the header-less CSV part files of each table
 (any Hadoop file system URI).  Every result is written whole by the
-executors to ``<out>/<job>/<result>/`` (parquet by default); each run appends
-its time and the first rows of each result to the table ``<out>/reports/``.
+executors and then published at ``<out>/<job>/<result>/`` (parquet by default;
+``sources.published.read_published`` reads it, also while the next run is
+writing); each run appends its time and the first rows of each result to the
+table ``<out>/reports/``.
 
 Results that several others are derived from (the per-job tables of J2,
 J5, J6 and J7, J8's per-task delays and pairs) are written once and read back, so the
@@ -25,15 +27,17 @@ from pyspark.sql import functions as F
 
 from tracelens.functions.missing import label_missing
 from tracelens.operators.counting import distinct_and_rows, frequency_of_counts
+from tracelens.operators.histogram import scatter_grid
 from tracelens.operators.ordering import sort_by, top_k
 from tracelens.operators.shares import share_of_total
 from tracelens.operators.stats import exact_median, summary_stats
 from tracelens.operators.transitions import positive_delays
 from tracelens.plans import analyses as A
 from tracelens.session import build_session
+from tracelens.sources.published import publish, published_version, read_published
 from tracelens.sources.readers import ingest_trace_table, read_ingested_table, read_trace_table
 from tracelens.sources.schemas import TABLES
-from tracelens.sources.sinks import render_table, write_report, write_result
+from tracelens.sources.sinks import render_table, write_report
 
 Tables = Callable[[str], DataFrame]
 
@@ -49,9 +53,9 @@ Results = dict[str, DataFrame | Written]
 
 
 def _persisted(spark: SparkSession, df: DataFrame, path: str, fmt: str) -> Written:
-    """Write ``df`` to shared storage and read it back with its known schema."""
-    write_result(df, path, fmt)
-    return Written(spark.read.format(fmt).schema(df.schema).load(path), path)
+    """Publish ``df`` at ``path`` and read it back; the path returned is that of this version's files."""
+    found = published_version(spark, path, publish(df, path, fmt))
+    return Written(read_published(spark, path, found["number"]), f"{path}/versions/{found['version']}")
 
 
 def job1(spark, t: Tables, out: str, fmt: str) -> Results:
@@ -122,6 +126,7 @@ def job6(spark, t, out, fmt):
         results[f"{kind}_most_under"] = A.most_under(pair)
         results[f"{kind}_delta_histogram"] = A.delta_histogram(pair)
         results[f"{kind}_corr"] = A.request_usage_corr(pair)
+        results[f"{kind}_rank_corr"] = A.request_usage_rank_corr(pair)
     return results
 
 
@@ -131,18 +136,23 @@ def job7(spark, t, out, fmt):
     table = _persisted(spark, A.peak_table(t("task_usage"), t("task_events")),
                        f"{out}/per_job", fmt)
     peaks = A.peaks_of(table.df)
-    return {"per_job": table, "peaks": peaks, "peak_histogram": A.peak_histogram(peaks),
+    at_event = _persisted(spark, A.event_peaks(t("task_usage"), t("task_events")), f"{out}/event_peaks", fmt)
+    return {"event_peaks": at_event, "per_job": table, "peaks": peaks, "peak_histogram": A.peak_histogram(peaks),
             "peak_event_corr": A.peak_corr_of(table.df)}
 
 
 def job8(spark, t, out, fmt):
     # Delays per (job, task) computed once from task_events and persisted;
     # the per-job pairs and the positive delays are both read from them.
+    periods = _persisted(spark, A.pending_intervals(t("task_events")), f"{out}/periods", fmt)
     delays = _persisted(spark, A.pending_delays(t("task_events")), f"{out}/delays", fmt)
     res = _persisted(spark, A.delay_vs_constraints(delays.df, t("task_constraints")),
                      f"{out}/delay_vs_constraints", fmt)
     return {"delay_vs_constraints": res, "delays": delays, "corr": A.delay_constraints_corr(res.df),
-            "positive_delays": positive_delays(delays.df)}
+            "positive_delays": positive_delays(delays.df), "periods": periods,
+            "waiting_per_job": A.waiting_per_job(periods.df),
+            "rank_corr": A.delay_constraints_rank_corr(res.df),
+            "scatter": scatter_grid(res.df, "avg_constraints", "avg_delay")}
 
 
 JOBS = {"job1": job1, "job2": job2, "job3": job3, "job4": job4,

@@ -3,7 +3,8 @@
 * ``read_trace_table``  header-less CSV with the registry schema (S1, S3)
 * ``read_lines_table``  the same files as raw text lines, split naively (S2)
 * ``read_parquet_table`` a parquet table below a root folder
-* ``sample_rows``        seeded Bernoulli sample (S4, S4b)
+* ``sample_rows``        seeded Bernoulli sample (S4, S4b); ``operators.ranks.exact_sample``
+                         for one of exact size that does not depend on the layout
 * ``hash_sample``        deterministic key sample, reproducible across engines
 
 A path may be a file, a folder of part files or a glob on any Hadoop file
@@ -14,6 +15,9 @@ parallel without listing it on the driver beyond Spark's own file index.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -195,6 +199,16 @@ def hash_sample(df: DataFrame, key: str, fraction: float, width: int | None = No
     return df.where(hash_sample_condition(key, fraction, width))
 
 
+@contextmanager
+def cached(df: DataFrame) -> Iterator[DataFrame]:
+    """``cache_table`` for the length of a block: the blocks are given back at its end."""
+    kept = cache_table(df)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def cache_table(df: DataFrame) -> DataFrame:
     """Keep a table that several results are drawn from.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -43,6 +43,44 @@ def render_table(df: DataFrame, n: int = 20, truncate: int = 20) -> str:
     return "\n".join(lines)
 
 
+def text_lines(df: DataFrame, n: int, order_by: str | list[str], truncate: int = 20) -> DataFrame:
+    """(line_no, line): the first ``n`` rows by ``order_by`` as a fixed-width text table, as data.
+
+    Widths are one aggregate of those rows, the lines are formatted by the executors, and
+    nothing reaches the driver.  ``n`` is a preview's size: its rows are numbered in one task.
+    """
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    head = df.orderBy(*order).limit(n)
+
+    def cell(c: str) -> Column:
+        text = F.coalesce(F.col(c).cast("string"), F.lit("null"))
+        if not truncate:
+            return text
+        return F.when(F.length(text) > truncate, F.concat(F.substring(text, 1, max(truncate - 3, 0)), F.lit("..."))) \
+            .otherwise(text)
+
+    cells = head.select(F.row_number().over(Window.orderBy(*order)).alias("_n"),
+                        *[cell(c).alias(f"c{i}") for i, c in enumerate(df.columns)])
+    widths = cells.agg(F.struct(F.count(F.lit(1)).alias("n"), *[
+        F.greatest(F.lit(len(c)), F.coalesce(F.max(F.length(f"c{i}")), F.lit(0))).cast("int").alias(f"w{i}")
+        for i, c in enumerate(df.columns)])).scalar()
+    frame = df.sparkSession.range(1).withColumn("_w", widths)
+    bar = F.concat(F.lit("+"), *[F.concat(F.repeat(F.lit("-"), F.col(f"_w.w{i}")), F.lit("+")) for i in range(len(df.columns))])
+
+    def row(values: list[Column]) -> Column:
+        return F.concat(F.lit("|"), *[F.concat(F.lpad(v, F.col(f"_w.w{i}"), F.lit(" ")), F.lit("|"))
+                                      for i, v in enumerate(values)])
+
+    fixed = frame.select(F.explode(F.array(
+        F.struct(F.lit(0).alias("line_no"), bar.alias("line")),
+        F.struct(F.lit(1).alias("line_no"), row([F.lit(c) for c in df.columns]).alias("line")),
+        F.struct(F.lit(2).alias("line_no"), bar.alias("line")),
+        F.struct((F.col("_w.n") + 3).cast("int").alias("line_no"), bar.alias("line")))).alias("l")).select("l.line_no", "l.line")
+    body = cells.withColumn("_w", widths).select(
+        (F.col("_n") + 2).alias("line_no"), row([F.col(f"c{i}") for i in range(len(df.columns))]).alias("line"))
+    return fixed.unionByName(body)
+
+
 def write_result(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                  partition_by: list[str] | None = None) -> str:
     """Write a whole result from the executors (S9); returns the path."""
