@@ -402,7 +402,7 @@ def test_extraction_of_the_given_pages(spark):
         article = re.search(r"<article>(.*?)</article>", pages[r["page_id"]], re.S)[1]
         plain = re.sub(r"<[^>]+>", "", re.sub(r"</?(p|h1|br|ul|li|div)[^>]*>", " ", article))
         right += r["text"] == " ".join(html.unescape(plain).split()) and r["n_chars"] == len(r["text"])
-    assert right >= 0.98 * len(pages)
+    assert right == len(pages)
 
 
 def test_decoding_never_contradicts_ancestors():

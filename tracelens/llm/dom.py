@@ -31,8 +31,10 @@ AGAINST = frozenset("""ad ads advert adverts advertisement advertising banner sp
 IN_FAVOUR = frozenset("""article articlebody content main post entry story text body-text maincontent main-content
     post-content entry-content article-body prose""".split())
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>"""
-                   r"""|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+_REST = re.compile(r"""(?:"[^"]*"|'[^']*'|[^>"'])*+>""")
+_SPECIAL = re.compile(r"""[>"']""")
+_LONG_NUMBER = re.compile(r"&#[0-9]{8,};?")
 NAMES = re.compile(r"""(?:^|\s)(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PIECES = re.compile(r"[^a-z0-9-]+")
 
@@ -48,6 +50,100 @@ def hints(tag: str, attributes: str) -> tuple[bool, bool]:
     return not words.isdisjoint(AGAINST), not words.isdisjoint(IN_FAVOUR)
 
 
+def unescape(text: str) -> str:
+    """Character references decoded; numbers beyond all code points, of any length, are U+FFFD."""
+    return html.unescape(_LONG_NUMBER.sub("\ufffd", text)) if "&" in text else text
+
+
+class Tags:
+    """The tags of a source, found from left to right in time that grows with its length, whatever it holds.
+
+    A tag ends at the first ``>`` outside quotes, or, where quotes do not close, at the first one.
+    What starts like a tag or declaration but has no ``>`` is text.  A comment that is not closed
+    reaches to the end.
+    """
+
+    def __init__(self, source: str):
+        self.source = source
+        self.last_end = source.rfind(">")
+        self.dead: set[int] = set()  # quotes from which on, read as opening ones, no tag ends
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """(start, end, closing, name, attributes) of the first tag from ``at`` on; no name: a comment or declaration."""
+        source = self.source
+        while (start := source.find("<", at)) >= 0:
+            if source.startswith("<!--", start):
+                end = source.find("-->", start + 4)
+                return start, len(source) if end < 0 else end + 3, False, "", ""
+            if start > self.last_end:
+                at = start + 1
+                if (start := source.find("<!--", at)) < 0:
+                    return None
+                at = start
+                continue
+            if source.startswith(("<!", "<?"), start):
+                return start, source.index(">", start) + 1, False, "", ""
+            closing = source.startswith("/", start + 1)
+            name = _NAME.match(source, start + 1 + closing)
+            if name:
+                end = self._end(name.end())
+                return start, end + 1, closing, name[0].lower(), source[name.end():end]
+            at = start + 1
+        return None
+
+    def _end(self, at: int) -> int:
+        """The ``>`` of a tag whose name ends at ``at``."""
+        source = self.source
+        if not self.dead and (m := _REST.match(source, at)):
+            return m.end() - 1
+        passed, here = [], at
+        while m := _SPECIAL.search(source, here):
+            if m[0] == ">":
+                return m.start()
+            if m.start() in self.dead:
+                break
+            passed.append(m.start())
+            here = source.find(m[0], m.end()) + 1
+            if not here:
+                break
+        self.dead.update(passed)
+        return source.index(">", at)
+
+
+def raw_end(source: str, tag: str, at: int) -> tuple[int, int]:
+    """Where the raw text of a script, style, title and the like that starts at ``at`` ends, and its end tag."""
+    m = re.compile(f"</{re.escape(tag)}(?=[\\s/>])", re.I).search(source, at)
+    end = source.find(">", m.end()) if m else -1
+    return (len(source), len(source)) if end < 0 else (m.start(), end + 1)
+
+
+class _Stack:
+    """Open elements, with the places of each name, so that the nearest one is found without a search."""
+
+    def __init__(self):
+        self.items: list[tuple[str, int]] = []
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, tag: str, node: int) -> None:
+        self.places.setdefault(tag, []).append(len(self.items))
+        if tag not in INLINE:
+            self.blocks.append(len(self.items))
+        self.items.append((tag, node))
+
+    def nearest(self, *tags: str) -> int:
+        """Place of the innermost open element with one of these names, or -1."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def cut(self, at: int) -> None:
+        """Close the element at this place and all inside it."""
+        while len(self.items) > at:
+            tag, _ = self.items.pop()
+            self.places[tag].pop()
+            if tag not in INLINE:
+                self.blocks.pop()
+
+
 class Page:
     """Block nodes in page order (a parent before its children) and the text pieces.
 
@@ -60,66 +156,65 @@ class Page:
         self.parent, self.tag = [-1], ["#page"]
         self.against, self.favour = [False], [False]
         self.pieces: list[tuple[int, str, bool]] = []
-        stack = [("#page", 0)]
-        hidden: list[str] = []  # open hidden elements
-        loose = 0  # node of the text at top level, since the last block there
+        stack, hidden = _Stack(), _Stack()  # hidden: open hidden elements
+        tags, loose = Tags(source), 0  # loose: node of the text at top level, since the last block there
         link, at, size = False, 0, len(source)
 
+        def top() -> int:
+            return stack.items[-1][1] if stack.items else 0
+
+        def in_head() -> bool:
+            return len(hidden.items) == 1 and hidden.items[0][0] == "head"
+
         while at < size:
-            m = TOKEN.search(source, at)
-            upto = m.start() if m else size
-            if hidden == ["head"] and source[at:upto].strip():
-                hidden.clear()
-            if upto > at and not hidden:
-                text, node = source[at:upto], stack[-1][1]
-                text = html.unescape(text) if "&" in text else text
+            found = tags.next(at)
+            upto = found[0] if found else size
+            if in_head() and source[at:upto].strip():
+                hidden.cut(0)
+            if upto > at and not hidden.items:
+                text, node = unescape(source[at:upto]), top()
                 if node == 0 and text.strip():
                     if not loose:
                         loose = self._add(0, "p", False, False)
                     node = loose
                 self.pieces.append((node, text, link))
-            if not m:
+            if not found:
                 break
-            at = m.end()
-            name = m[2] or m[5]
-            if not name:
+            _, at, closing, tag, attributes = found
+            if not tag:
                 continue
-            tag, attributes = name.lower(), m[3] or m[6] or ""
-            if m[1] or m[4]:
-                if hidden:
-                    if tag in hidden:
-                        del hidden[len(hidden) - 1 - hidden[::-1].index(tag):]
+            if closing:
+                if hidden.items:
+                    if (place := hidden.nearest(tag)) >= 0:
+                        hidden.cut(place)
                     continue
                 if tag == "a":
                     link = False
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == tag:
-                        del stack[i:]
-                        if tag not in INLINE:
-                            link = False
-                            self.pieces.append((stack[-1][1], " ", False))
-                        break
+                if (place := stack.nearest(tag)) >= 0:
+                    stack.cut(place)
+                    if tag not in INLINE:
+                        link = False
+                        self.pieces.append((top(), " ", False))
                 continue
-            if hidden == ["head"] and tag not in IN_HEAD:
-                hidden.clear()
+            if in_head() and tag not in IN_HEAD:
+                hidden.cut(0)
             if tag in HIDDEN:
-                if tag == "head" and hidden:
+                if tag == "head" and hidden.items:
                     continue
                 if tag in RAW:
-                    end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>", re.I).search(source, at)
-                    at = end.end() if end else size
+                    at = raw_end(source, tag, at)[1]
                 elif not attributes.endswith("/") or tag not in ("svg", "object"):
                     if tag != "option":
-                        hidden.append(tag)
+                        hidden.push(tag, 0)
                 continue
-            if hidden:
+            if hidden.items:
                 if tag == "body":
-                    hidden.clear()
+                    hidden.cut(0)
                 else:
                     continue
             if tag in VOID:
                 if tag in ("br", "hr"):
-                    self.pieces.append((stack[-1][1], " ", False))
+                    self.pieces.append((top(), " ", False))
                 continue
             against, favour = hints(tag, attributes)
             if tag in INLINE:
@@ -129,27 +224,19 @@ class Page:
                     continue
             else:
                 if tag in CLOSES_P:
-                    for i in range(len(stack) - 1, 0, -1):
-                        if stack[i][0] == "p":
-                            del stack[i:]
-                            break
-                        if stack[i][0] not in INLINE:
-                            break
+                    if stack.blocks and stack.items[stack.blocks[-1]][0] == "p":
+                        stack.cut(stack.blocks[-1])
                 elif tag in ENDS:
                     ended, bound = ENDS[tag]
-                    for i in range(len(stack) - 1, 0, -1):
-                        if stack[i][0] in ended:
-                            del stack[i:]
-                            break
-                        if stack[i][0] in bound:
-                            break
+                    if (place := stack.nearest(*ended)) > stack.nearest(*bound):
+                        stack.cut(place)
                 link = False
-                self.pieces.append((stack[-1][1], " ", False))
-                if stack[-1][1] == 0:
+                self.pieces.append((top(), " ", False))
+                if top() == 0:
                     loose = 0
-            node = self._add(stack[-1][1], tag, against, favour)
+            node = self._add(top(), tag, against, favour)
             if not attributes.endswith("/") or tag in CLOSES_P or tag in INLINE:
-                stack.append((tag, node))
+                stack.push(tag, node)
 
     def _add(self, parent: int, tag: str, against: bool, favour: bool) -> int:
         self.parent.append(parent)

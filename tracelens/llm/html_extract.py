@@ -29,7 +29,7 @@ from tracelens.llm.store import columns_first, table
 
 PUNCTUATION = re.compile(r"[.,;:!?]")
 TEXT_TAGS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6".split())
-PARAGRAPH = re.compile(r"<p\b[^>]*>([^<]*)</p>", re.I)
+PARAGRAPH = re.compile(r"<p\b[^<>]*>([^<]*)</p>", re.I)
 PAGES_PER_PASS = 128
 MARGIN_LIMIT = 4.0  # of a node's log-odds, so that one node never outweighs a page
 SWITCH_COST = 0.5  # log-odds to enter main text or to cut a part out of it

@@ -11,16 +11,16 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
-import html
 import json
 import re
 import uuid
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelens.llm.dom import Page
+from tracelens.llm.dom import RAW, Page, Tags, raw_end, unescape
 from tracelens.llm.files import whole_file
 from tracelens.llm.store import columns_first
 
@@ -28,9 +28,9 @@ RESPONSE = "record_id string, target_uri string, date string, payload_digest str
 DERIVED = ("warc_type string, record_id string, refers_to string, target_uri string, date string, "
            "source_digest string, digest_ok boolean, block_digest string, content_type string, "
            "content_length long, header string, block string")
-_LINK = re.compile(r"""<(a|img|link|script|iframe|area|form|source)\b[^>]*?\b(href|src|action)\s*=\s*"""
-                   r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_TITLE = re.compile(r"<title[^>]*>(.*?)</title", re.I | re.S)
+_LINKING = frozenset("a img link script iframe area form source".split())
+_ATTRIBUTE = re.compile(r"""([^\s=>"'/]++)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_TARGETS = frozenset("href src action".split())
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
 
@@ -49,8 +49,76 @@ def _uri(text: str | None) -> str:
     return _CONTROL.sub(lambda m: f"%{ord(m[0]):02X}", text or "")
 
 
+def links_and_title(source: str) -> tuple[list[dict], str]:
+    """The first target of each linking tag, and the text of the first title, from one pass over the tags.
+
+    Comments and the content of scripts, styles and the like hold no tags.
+    """
+    tags, at, links, title = Tags(source), 0, [], None
+    while found := tags.next(at):
+        _, at, closing, tag, attributes = found
+        if closing or not tag:
+            continue
+        if tag in _LINKING:
+            for m in _ATTRIBUTE.finditer(attributes):
+                if m[1].lower() in _TARGETS and m.lastindex > 1:
+                    links.append({"path": f"{tag}@/{m[1].lower()}", "url": unescape(m[m.lastindex])})
+                    break
+        if tag in RAW:
+            end, after = raw_end(source, tag, at)
+            if tag == "title" and title is None:
+                title = " ".join(unescape(source[at:end]).split())
+            at = after
+    return links, title or ""
+
+
 def header(fields: list[tuple[str, str]]) -> str:
-    return "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields if v) + "\r\n"
+    """A record's header; fields without a value are left out, control characters and spaces in values encoded."""
+    return "WARC/1.1\r\n" + "".join(f"{k}: {v if k in _SPACED else _uri(v)}\r\n" for k, v in fields if v) + "\r\n"
+
+
+_SPACED = ("Content-Type",)  # of this module's making; its value has a space
+
+
+def dechunked(payload: bytes) -> bytes:
+    """The payload of a chunked transfer; as it is where it does not read as one."""
+    parts, at = [], 0
+    while True:
+        end = payload.find(b"\r\n", at, at + 1024)
+        size = payload[at:end].split(b";")[0].strip() if end >= 0 else b""
+        if not size or size.strip(b"0123456789abcdefABCDEF"):
+            return payload
+        n = int(size, 16)
+        if n == 0:
+            return b"".join(parts)
+        if end + 2 + n > len(payload):
+            return payload
+        parts.append(payload[end + 2:end + 2 + n])
+        at = end + 2 + n + (2 if payload.startswith(b"\r\n", end + 2 + n) else 0)
+
+
+def decompressed(payload: bytes, codings: list[str]) -> bytes:
+    """The content behind gzip and deflate codings, last one first; as it is behind others or where it does not read."""
+    for coding in reversed([c.strip().lower() for v in codings for c in v.split(",") if c.strip()]):
+        if coding == "identity":
+            continue
+        if coding not in ("gzip", "x-gzip", "deflate"):
+            return payload
+        for bits in ((31,) if "gzip" in coding else (15, -15)):  # deflate comes with and without a zlib header
+            out, rest = [], payload
+            try:
+                while rest:  # gzip members may follow each other
+                    d = zlib.decompressobj(bits)
+                    out.append(d.decompress(rest) + d.flush())
+                    rest = d.unused_data if bits == 31 and d.eof else b""
+            except zlib.error:
+                if not out:
+                    continue
+            payload = b"".join(out)
+            break
+        else:
+            return payload
+    return payload
 
 
 def split_http(block: bytes) -> tuple[str, dict[str, list[str]], bytes]:
@@ -77,24 +145,27 @@ def derive_one(record_id: str, target: str | None, date: str | None, digest: str
     """The rows (see DERIVED) of one response.
 
     In the metadata a repeated HTTP header has the list of its values; its last Content-Type counts.
+    A chunked transfer is undone before the payload is digested; a digest of the chunks fits too.
+    The text is that behind gzip and deflate content codings.
     """
-    status, fields, payload = split_http(block or b"")
-    own = sha1_digest(payload)
+    status, fields, stored = split_http(block or b"")
+    chunked = any("chunked" in v.lower() for v in fields.get("transfer-encoding", []))
+    payload = dechunked(stored) if chunked else stored
+    own, record_id = sha1_digest(payload), record_id or ""
+    fits = digest is None or digest == own or chunked and digest == sha1_digest(stored)
     kind = fields.get("content-type", [""])[-1].lower()
     is_html = "html" in kind
     is_text = is_html or kind.startswith("text/")
-    source = decode(payload, kind) if is_text else ""
+    source = decode(decompressed(payload, fields.get("content-encoding", [])), kind) if is_text else ""
     uri, date = _uri(target), date or ""
-    title = _TITLE.search(source) if is_html else None
-    links = [{"path": f"{m[1].lower()}@/{m[2].lower()}", "url": html.unescape(m[3] or m[4] or m[5] or "")}
-             for m in _LINK.finditer(source)] if is_html else []
+    links, title = links_and_title(source) if is_html else ([], "")
     meta = {"Envelope": {
         "WARC-Header-Metadata": {"WARC-Type": "response", "WARC-Record-ID": record_id, "WARC-Target-URI": uri,
                                  "WARC-Date": date, "WARC-Payload-Digest": digest or own},
         "Payload-Metadata": {"HTTP-Response-Metadata": {
             "Response-Message": status, "Headers": {k: v if len(v) > 1 else v[0] for k, v in fields.items()},
             "Entity-Length": len(payload), "Entity-Digest": own,
-            "HTML-Metadata": {"Title": " ".join(html.unescape(title[1]).split()) if title else "", "Links": links}}}}}
+            "HTML-Metadata": {"Title": title, "Links": links}}}}}
     blocks = [("metadata", "application/json", json.dumps(meta, ensure_ascii=False))]
     if is_html:
         page = Page(source)
@@ -110,7 +181,7 @@ def derive_one(record_id: str, target: str | None, date: str | None, digest: str
             ("WARC-Refers-To-Target-URI", uri), ("WARC-Refers-To-Date", date), ("WARC-Target-URI", uri),
             ("WARC-Date", date), ("WARC-Source-Payload-Digest", digest or own), ("WARC-Block-Digest", block_digest),
             ("Content-Type", content_type), ("Content-Length", str(len(data)))])
-        out.append((warc_type, own_id, record_id, uri, date, digest or own, digest is None or digest == own,
+        out.append((warc_type, own_id, record_id, uri, date, digest or own, fits,
                     block_digest, content_type, len(data), head, text))
     return out
 
@@ -135,7 +206,9 @@ def derive(responses: DataFrame, key_col: str) -> DataFrame:
     """Metadata and conversion records (key, then DERIVED) of response records (key and RESPONSE).
 
     ``digest_ok``: the source's payload digest fits its payload.  Null target or date: the header
-    is left out.  Null digest: the payload's own.  Null block: an empty one.  A response that is not
+    is left out.  Null digest: the payload's own.  Null block: an empty one.  Null identifier: an empty
+    one, without Refers-To header.  Chunked, gzip and deflate bodies are undone (``derive_one``); a body that does
+    not read as its coding says is taken as it is.  A response that is not
     text (by its HTTP content type) gives a metadata record only.  Repeated responses give repeated
     records with equal identifiers; null keys are passed through; other columns are ignored.  An
     empty table gives no rows.
