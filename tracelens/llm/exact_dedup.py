@@ -88,17 +88,8 @@ def digest_clashes(spark: SparkSession, docs: DataFrame, text_col: str = "text")
                  "exact-clashes")
 
 
-def exact_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    r"""(id, keep_id, group_size, kept, text_sha256, keep_locator) of every row of ``docs``.
-
-    Texts are equal when they are identical without the characters of ``[\x20\x09-\x0D]``.
-    Of equal texts the row with most code points stays, then the one with the smallest id.
-
-    Null text: empty, equal to other empty texts.  Null id: takes part, loses every tie to
-    an id.  Repeated rows (same id and text): exactly one of them stays.  Other columns are
-    ignored.  An empty table gives no rows.  ``keep_locator`` names the file of the row that
-    stays (empty where the rows do not come straight from files).
-    """
+def _decisions(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The record of every row (digest, n, id, locator, row) with its group (group_size, best)."""
     folder = scratch_dir(spark, "exact-arrivals")
     slim = arrivals(docs, id_col, text_col)
     slim.write.parquet(folder)
@@ -118,23 +109,43 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id
         normal = table(spark, normal, "exact-clash-rows")
         apart = normal.join(_batch_best(normal, "digest", "normal"), ["digest", "normal"]).drop("normal")
         joined = joined.join(clashes, "digest", "left_anti").unionByName(apart)
-    return joined.select(
+    return joined
+
+
+def exact_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    r"""(id, keep_id, group_size, kept, text_sha256, keep_locator) of every row of ``docs``.
+
+    Texts are equal when they are identical without the characters of ``[\x20\x09-\x0D]``.
+    Of equal texts the row with most code points stays, then the one with the smallest id.
+
+    Null text: empty, equal to other empty texts.  Null id: takes part, loses every tie to
+    an id.  Repeated rows (same id and text): exactly one of them stays.  Other columns are
+    ignored.  An empty table gives no rows.  ``keep_locator`` names the file of the row that
+    stays (empty where the rows do not come straight from files).
+    """
+    return _decisions(spark, docs, id_col, text_col).select(
         F.col("id").alias(id_col), F.col("best.id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("best.row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"),
         F.col("best.locator").alias("keep_locator"))
 
 
 def keep_first_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: one of each group of equal texts.  Columns are those of ``docs``.
+    """The rows of ``docs`` that stay: one of each group of equal texts.  Columns are those of ``docs``, of any names.
 
-    Rows are told apart by id and digest; of repeated rows, equal in both, one stays.
+    The row that stays is known by id, digest and code points, which decide it; of rows that
+    agree in all three, whatever their other columns hold, one stays.
     """
-    found = table(spark, exact_duplicates(spark, docs, id_col, text_col), "exact-decisions")
-    keep = found.where("kept").select(F.col(id_col).alias("__id"), F.unhex("text_sha256").alias("__digest"))
-    digest = _digest(_normal(text_col))
-    kept = docs.withColumn("__own", digest)
-    kept = kept.join(keep, kept[id_col].eqNullSafe(keep["__id"]) & (kept["__own"] == keep["__digest"]), "left_semi")
-    repeated = found.groupBy(id_col, "text_sha256").agg(F.count("*").alias("n")).where("n > 1")
+    found = table(spark, _decisions(spark, docs, id_col, text_col).select(
+        "id", "digest", "n", (F.col("row") == F.col("best.row")).alias("kept")), "exact-decisions")
+    # The caller's columns travel as one struct, so that no name can meet those used here.
+    text = docs[text_col].cast("string")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"), docs[id_col].alias("id"), text.alias("text"))
+    rows = rows.select("whole", "id", _digest(_normal("text")).alias("digest"),
+                       F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("n"))
+    keep = found.where("kept").select(F.col("id").alias("keep"), F.col("digest").alias("d"), F.col("n").alias("size"))
+    kept = rows.join(keep, rows["id"].eqNullSafe(keep["keep"]) & (F.col("digest") == F.col("d")) & (F.col("n") == F.col("size")),
+                     "left_semi")
+    repeated = found.groupBy("id", "digest", "n").agg(F.count("*").alias("rows")).where("rows > 1")
     if not repeated.isEmpty():
-        kept = kept.dropDuplicates([id_col, "__own"])
-    return kept.drop("__own")
+        kept = kept.dropDuplicates(["id", "digest", "n"])
+    return kept.select("whole.*")

@@ -291,7 +291,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     defaults, and is then still in one group if other texts link them.
 
     Null or empty text, or one without words: an empty set, linked with nothing,
-    its own component.  Null id: never linked; component_id null and kept true.
+    its own component.  Ids are whole numbers (cast to long; text that is none is an error).
+    Null id: never linked; component_id null and kept true.
     Repeated rows of one id: the same component for each.  Other columns are
     ignored.  An empty table gives no rows.
 
