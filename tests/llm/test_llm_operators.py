@@ -58,8 +58,8 @@ def edge():
 
 
 def test_repeats_against_brute_force(spark, edge):
-    for window, gram, group_rows in ((35, 5, 2000), (35, 5, 0), (12, 3, 2), (5, 5, 10)):
-        got = substring_dedup.remove_repeats(table(spark, edge), window=window, gram=gram, group_rows=group_rows)
+    for window, gram, group_bytes in ((35, 5, 1 << 20), (35, 5, 0), (35, 5, 1000), (12, 3, 400), (5, 5, 1000)):
+        got = substring_dedup.remove_repeats(table(spark, edge), window=window, gram=gram, group_bytes=group_bytes)
         want = [(i, *w) for (i, _), w in zip(edge, brute.repeats([t for _, t in edge], window))]
         key = lambda r: (r[0] is None, r[0] or 0, r[1:])
         assert sorted((tuple(r) for r in got.collect()), key=key) == sorted(want, key=key)
@@ -67,6 +67,37 @@ def test_repeats_against_brute_force(spark, edge):
         substring_dedup.cut_repeats(table(spark, edge), window=100, gram=5)
 
 
+def test_repeats_of_a_passage_that_thousands_of_texts_share(spark, monkeypatch):
+    """Its prefixes are lengthened; no group holds more than its bytes allow, and no windows are joined to counts."""
+    passage, other = words(60, 70), words(50, 71)
+    texts = []
+    for i in range(5000):
+        own = words(25, 1000 + i)
+        texts.append(" ".join(own[:12] + passage + own[12:] + (other[:20 + i % 30] if i % 3 == 0 else [])))
+    texts += texts[:50]
+    got = substring_dedup.remove_repeats(table(spark, list(enumerate(texts))), group_bytes=100_000)
+    want = brute.repeats(texts, 35)
+    assert {tuple(r) for r in got.collect()} == {(i, *w) for i, w in enumerate(want)}
+    assert all(gone >= 60 for _, gone, _ in want)
+
+
+def test_repeats_with_very_long_words(spark):
+    """A stretch is as large as the number of its words, not as their letters."""
+    long = [c * (1 << 20) for c in "xyz"]
+    shared = words(10, 72) + long + words(30, 73)
+    texts = [" ".join(words(5, 74 + i) + shared + words(5, 84 + i)) for i in range(3)] + ["q" * (2 << 20)]
+    got = substring_dedup.remove_repeats(table(spark, list(enumerate(texts))))
+    assert {tuple(r) for r in got.collect()} == {(i, *w) for i, w in enumerate(brute.repeats(texts, 35))}
+
+
+def test_anchor_of_a_window_is_the_leftmost_smallest():
+    r = np.random.default_rng(5)
+    for width in (1, 2, 3, 7, 31):
+        h = r.integers(0, 6, 200).astype(np.uint64)
+        want = [i + int(np.argmin(h[i:i + width])) for i in range(len(h) - width + 1)]
+        assert substring_dedup.least_in_window(h, width).tolist() == want
+
+
 def test_near_duplicates_against_brute_force(spark, edge):
     got = minhash_dedup.near_duplicates(spark, table(spark, edge), block=2).collect()
     want = brute.near_groups([(i, t) for i, t in edge if i is not None])

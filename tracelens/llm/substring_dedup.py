@@ -10,12 +10,15 @@ the windows it belongs to form a stretch of words.
 
 *Variable-length prefixes.*  Stretches are split by the words at their anchor.
 A prefix of ``gram`` words that occurs once is dropped (no window through it can
-repeat).  A prefix with at most ``group_rows`` stretches is one group; groups are
-handled in chunks of bounded size.  A more frequent prefix is lengthened to the
-whole window, where a group is a single tree node and plain counting with
-map-side combination decides it.
-
-*Subtrees.*  In a chunk, all suffixes are ranked by their first ``gram`` words,
+repeat).  A prefix whose stretches fit into ``group_bytes`` is one group; groups are
+handled in chunks of bounded size.  Of a more frequent prefix, equal stretches of
+all texts are first collapsed to one; what is left is taken window by window, and each
+window's prefix is lengthened, to 2, 4, ... times ``gram`` words, until its group
+fits.  At the whole window a group is a single tree node, repeated by definition if it
+has two starts.
+
+*Subtrees.*  A stretch travels as the 64-bit hashes of its words, so its size does
+not depend on theirs.  In a chunk, all suffixes are ranked by their first ``gram`` words,
 then twice as many, and so on up to the window (prefix doubling).  Equal ranks
 at a depth are one internal node of the suffix tree; a node at window depth with
 two or more starts is a repeat, and all its windows are marked.
@@ -27,29 +30,32 @@ copies of any size costs one text per input task.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracelens.llm import text as tx
 from tracelens.llm.store import columns_first
 
 U = np.uint64
-CHUNK_BYTES = 3 << 20  # text of stretches that one subtree pass holds
-PLACE_BITS = 27  # words of one block of text
+CHUNK_BYTES = 3 << 20  # word hashes of stretches that one subtree pass holds, and those of one group at most
+SALTS = 64  # parts of a node at window depth that are judged by themselves first
 
 
 def least_in_window(h: np.ndarray, width: int) -> np.ndarray:
-    """Smallest value of each run of ``width`` values."""
-    out, have = h, 1
+    """Place of the smallest value of each run of ``width`` values, the leftmost of equal ones."""
+    value, place, have = h, np.arange(len(h)), 1
     while have < width:
         step = min(have, width - have)
-        out = np.minimum(out[:-step], out[step:])
+        right = value[step:] < value[:-step]
+        value = np.where(right, value[step:], value[:-step])
+        place = np.where(right, place[step:], place[:-step])
         have += step
-    return out
+    return place
 
 
 class Anchors:
@@ -57,11 +63,11 @@ class Anchors:
 
     ``place``: word of the anchor; ``lo``..``hi``: first and last window start that
     has this anchor; ``key``: the anchor's hash; ``content``: hash of the stretch
-    and the anchor's place in it; ``doc``: the text.
+    and the anchor's place in it; ``doc``: the text; ``words``: hashes of all words of the block.
     """
 
     def __init__(self, buf, starts, ends, first, window: int, gram: int):
-        h = tx.hash_words(buf, starts, ends)
+        self.words = h = tx.hash_words(buf, starts, ends)
         none = np.zeros(0, dtype=np.int64)
         self.place = self.lo = self.hi = self.doc = none
         self.key = self.content = none.astype(np.uint64)
@@ -71,11 +77,8 @@ class Anchors:
         inside = np.flatnonzero(tx.inside_mask(first, window))
         if not len(inside):
             return
-        # Smallest hash of a window, the leftmost of equal ones: its place fills the low bits.
         doc_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        low = U((1 << PLACE_BITS) - 1)
-        owner = (least_in_window((grams & ~low) | np.arange(len(grams), dtype=np.uint64),
-                                 window - gram + 1)[inside] & low).astype(np.int64)
+        owner = least_in_window(grams, window - gram + 1)[inside]
         new = np.ones(len(inside), dtype=bool)
         new[1:] = (owner[1:] != owner[:-1]) | (inside[1:] != inside[:-1] + 1) \
             | (doc_of[inside[1:]] != doc_of[inside[:-1]])
@@ -111,7 +114,7 @@ def _blocks(column) -> Iterator[tuple]:
 
 
 def _prefixes(window: int, gram: int):
-    """Rows (prefix, text, stretches, starts): the anchors of each text, equal stretches counted once."""
+    """Rows (prefix, text, bytes, starts): the anchors of each text, equal stretches counted once in bytes."""
     def run(batches):
         for batch in batches:
             weight = batch.column("weight").to_numpy()
@@ -128,18 +131,18 @@ def _prefixes(window: int, gram: int):
                 other[1:] |= content[1:] != content[:-1]
                 at = np.flatnonzero(new)
                 count = np.diff(np.append(at, len(key)))
-                distinct = np.add.reduceat(other.astype(np.int64), at)
+                size = np.add.reduceat(np.where(other, 8 * (a.hi - a.lo + window)[order], 0), at)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key[at].view(np.int64)), text_key.take(pa.array(lo + doc[at])),
-                     pa.array(distinct.astype(np.int32)), pa.array(count * weight[lo + doc[at]])],
-                    names=["prefix", "key", "stretches", "starts"])
+                     pa.array(size), pa.array(count * weight[lo + doc[at]])],
+                    names=["prefix", "key", "bytes", "starts"])
     return run
 
 
-def _stretches(window: int, gram: int, whole_windows: bool):
+def _stretches(window: int, gram: int):
     """Rows of the stretches of each text whose prefix is among ``chosen``, equal ones counted once.
 
-    With ``whole_windows`` a stretch gives one row per window instead.
+    ``content`` tells different stretches of all texts apart.
     """
     def run(batches):
         for batch in batches:
@@ -148,7 +151,7 @@ def _stretches(window: int, gram: int, whole_windows: bool):
             chosen = batch.column("chosen").to_pylist()
             for lo, hi, buf, starts, ends, first in _blocks(batch.column("text")):
                 a = Anchors(buf, starts, ends, first, window, gram)
-                data = buf.tobytes()
+                data = a.words.tobytes()
                 bounds = np.searchsorted(a.doc, np.arange(hi - lo + 1))
                 picked, times, keys = [], [], []
                 for doc in range(hi - lo):
@@ -160,20 +163,32 @@ def _stretches(window: int, gram: int, whole_windows: bool):
                     keys += [text_key[lo + doc]] * len(one)
                 at, n = np.concatenate(picked), np.concatenate(times)
                 begin, end = a.lo[at], a.hi[at]
-                prefix, doc = a.key[at].view(np.int64), a.doc[at]
-                if whole_windows:
-                    size = end - begin + 1
-                    which = np.repeat(np.arange(len(at)), size)
-                    begin = begin[which] + np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
-                    end, n, prefix, doc = begin, n[which], prefix[which], doc[which]
-                    keys = [keys[i] for i in which.tolist()]
+                both = np.stack([a.key[at], a.content[at]], axis=1).tobytes()
                 # The place counts from the text's own first word.
-                text = [data[s:e] for s, e in zip(starts[begin].tolist(), ends[end + window - 1].tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(prefix, pa.int64()), pa.array(keys, pa.binary()),
-                     pa.array((begin - first[doc]).astype(np.int32)), pa.array((end - begin + 1).astype(np.int32)),
-                     pa.array(n, pa.int64()), pa.array(text, pa.binary())],
-                    names=["prefix", "key", "place", "windows", "starts", "text"])
+                    [pa.array(a.key[at].view(np.int64)), pa.array([both[i:i + 16] for i in range(0, len(both), 16)], pa.binary()),
+                     pa.array(keys, pa.binary()), pa.array((begin - first[a.doc[at]]).astype(np.int32)),
+                     pa.array((end - begin + 1).astype(np.int32)), pa.array(n, pa.int64()),
+                     pa.array([data[8 * s:8 * (e + window)] for s, e in zip(begin.tolist(), end.tolist())], pa.binary())],
+                    names=["prefix", "content", "key", "place", "windows", "starts", "words"])
+    return run
+
+
+def _windows(window: int):
+    """Rows (key, place, windows, starts, words) of the single windows of stretches; the key is their content."""
+    def run(batches):
+        for batch in batches:
+            content, starts, words, place = batch.column("content"), batch.column("starts"), [], []
+            source = []
+            for i, data in enumerate(batch.column("words").to_pylist()):
+                n = len(data) // 8 - window + 1
+                words += [data[8 * at:8 * (at + window)] for at in range(n)]
+                place += range(n)
+                source += [i] * n
+            source = pa.array(source, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [content.take(source), pa.array(place, pa.int32()), pa.array(np.ones(len(place), dtype=np.int32)),
+                 starts.take(source), pa.array(words, pa.binary())], names=["key", "place", "windows", "starts", "words"])
     return run
 
 
@@ -204,22 +219,20 @@ def _ranks(h, ok, gram, window):
     return rank
 
 
-def mark_chunk(texts: list[bytes], windows: np.ndarray, starts: np.ndarray, window: int, gram: int) -> list[int]:
+def mark_chunk(words: list[bytes], windows: np.ndarray, starts: np.ndarray, window: int, gram: int) -> list[int]:
     """Of each stretch, the repeated windows as bits (bit i: the window that starts at its word i).
 
-    ``starts`` is how often a stretch occurs in all; equal stretches may be given several times.
+    ``words``: the hashes of its words; ``starts``: how often it occurs in all.  Equal stretches may be given several times.
     """
     distinct: dict[bytes, int] = {}
-    of = np.array([distinct.setdefault(t, len(distinct)) for t in texts], dtype=np.int64)
+    of = np.array([distinct.setdefault(t, len(distinct)) for t in words], dtype=np.int64)
     n = len(distinct)
     total = np.bincount(of, weights=starts, minlength=n)
     n_windows = np.zeros(n, dtype=np.int64)
     n_windows[of] = windows
-    offsets = np.zeros(n + 1, dtype=np.int64)
-    np.cumsum([len(t) for t in distinct], out=offsets[1:])
-    buf = np.frombuffer(b"".join(distinct), dtype=np.uint8)
-    s, e, first = tx.words(buf, offsets, tx.space_words())
-    h = tx.hash_words(buf, s, e)
+    first = np.zeros(n + 1, dtype=np.int64)
+    np.cumsum([len(t) // 8 for t in distinct], out=first[1:])
+    h = np.frombuffer(b"".join(distinct), dtype=np.uint64)
     owner = np.repeat(np.arange(n), np.diff(first))
     at = np.arange(len(h)) - first[:-1][owner]
     ok = at < n_windows[owner]
@@ -237,13 +250,13 @@ def mark_chunk(texts: list[bytes], windows: np.ndarray, starts: np.ndarray, wind
 def _subtrees(window: int, gram: int):
     """Marks of the stretches; input sorted by prefix, whole prefixes at a time."""
     def run(batches):
-        held: dict[str, list] = {"key": [], "place": [], "windows": [], "starts": [], "text": [], "prefix": []}
+        held: dict[str, list] = {"key": [], "place": [], "windows": [], "starts": [], "words": [], "prefix": []}
         size = 0
 
         def marks():
             # An anchor's other sides differ between occurrences, so stretches of one prefix
             # are compared window by window, in one pass for all prefixes of the chunk.
-            bits = mark_chunk(held["text"], np.array(held["windows"]), np.array(held["starts"], dtype=np.float64),
+            bits = mark_chunk(held["words"], np.array(held["windows"]), np.array(held["starts"], dtype=np.float64),
                               window, gram)
             keep = [b != 0 for b in bits]
             batch = pa.RecordBatch.from_arrays(
@@ -256,7 +269,7 @@ def _subtrees(window: int, gram: int):
 
         for batch in batches:
             rows = {c: batch.column(c).to_pylist() for c in held}
-            prefix, texts = rows["prefix"], rows["text"]
+            prefix, words = rows["prefix"], rows["words"]
             lo = 0
             for i in range(len(prefix)):
                 before = prefix[i - 1] if i else (held["prefix"][-1] if held["prefix"] else None)
@@ -265,10 +278,10 @@ def _subtrees(window: int, gram: int):
                         held[c] += rows[c][lo:i]
                     lo, size = i, 0
                     yield marks()
-                size += len(texts[i])
+                size += len(words[i])
             for c in held:
                 held[c] += rows[c][lo:]
-        if held["text"]:
+        if held["words"]:
             yield marks()
     return run
 
@@ -357,7 +370,51 @@ def distinct_texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFra
     return rows.select("id", "key"), texts
 
 
-def cut_repeats(texts: DataFrame, window: int = 35, gram: int = 5, group_rows: int = 2000) -> DataFrame:
+MARKS = "key binary, place int, bits long"
+
+
+def _in_subtrees(groups: DataFrame, window: int, gram: int) -> DataFrame:
+    """MARKS of stretches (prefix, key, place, windows, starts, words) whose prefixes are groups that fit."""
+    return groups.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(_subtrees(window, gram), MARKS)
+
+
+def _at_window_depth(rows: DataFrame) -> DataFrame:
+    """MARKS of single windows: whatever starts twice is a repeated node.
+
+    A node's rows are dealt into ``SALTS`` parts.  Two starts in one part settle all its rows; a part
+    with a single one is judged beside one row for each of the node's other parts.
+    """
+    node = rows.withColumn("node", F.unhex(F.md5("words"))).drop("words")
+    dealt = node.withColumn("n", F.sum("starts").over(
+        Window.partitionBy("node", F.pmod(F.xxhash64("key", "place"), F.lit(SALTS)))))
+    settled = dealt.where("n > 1")
+    alone = dealt.where("n = 1").select("node", "key", "place", "n")
+    beside = settled.groupBy("node").agg(F.lit(None).cast("binary").alias("key"), F.lit(None).cast("int").alias("place"),
+                                         F.min("n").alias("n"))
+    found = alone.unionByName(beside).withColumn("all", F.sum("n").over(Window.partitionBy("node"))) \
+        .where("all > 1 and key is not null")
+    one = F.lit(1).cast("long").alias("bits")
+    return settled.select("key", "place", one).unionByName(found.select("key", "place", one))
+
+
+def _lengthened(contents: DataFrame, window: int, gram: int, group_bytes: int) -> DataFrame:
+    """(content, bits) of the repeated windows of distinct stretches (content, starts, words) of frequent prefixes."""
+    rest = contents.mapInArrow(_windows(window), "key binary, place int, windows int, starts long, words binary")
+    marks, depth = [], 2 * gram
+    while depth < window:
+        grouped = rest.withColumn("prefix", F.xxhash64(F.substring("words", 1, 8 * depth)))
+        sizes = grouped.groupBy("prefix").agg(F.sum("starts").alias("n"), F.sum(F.octet_length("words")).alias("bytes")) \
+            .where("n > 1").select("prefix", (F.col("bytes") > group_bytes).alias("is_long"))
+        grouped = grouped.hint("merge").join(sizes, "prefix")
+        marks.append(_in_subtrees(grouped.where("not is_long").drop("is_long"), window, gram))
+        rest = grouped.where("is_long").drop("is_long", "prefix")
+        depth *= 2
+    marks.append(_at_window_depth(rest))
+    return reduce(DataFrame.unionByName, marks).groupBy(F.col("key").alias("content")) \
+        .agg(F.bit_or(F.expr("shiftleft(bits, place)")).alias("bits"))
+
+
+def cut_repeats(texts: DataFrame, window: int = 35, gram: int = 5, group_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(key, n_words, n_removed, kept) of distinct texts (key, text, weight).
 
     One plan: the texts are shuffled once, by key, and that exchange is read by
@@ -367,10 +424,10 @@ def cut_repeats(texts: DataFrame, window: int = 35, gram: int = 5, group_rows: i
         raise ValueError("need 0 < gram <= window and window - gram <= 62")
     texts = texts.select("key", "text", "weight")
     prefixes = texts.mapInArrow(
-        _prefixes(window, gram), "prefix long, key binary, stretches int, starts long")
-    # A prefix that starts at least twice; long: too many stretches for one group.
-    frequent = prefixes.groupBy("prefix").agg(F.sum("starts").alias("n"), F.sum("stretches").alias("rows")) \
-        .where("n >= 2").select("prefix", (F.col("rows") > group_rows).alias("is_long"))
+        _prefixes(window, gram), "prefix long, key binary, bytes long, starts long")
+    # A prefix that starts at least twice; long: its stretches do not fit into one group.
+    frequent = prefixes.groupBy("prefix").agg(F.sum("starts").alias("n"), F.sum("bytes").alias("bytes")) \
+        .where("n >= 2").select("prefix", (F.col("bytes") > group_bytes).alias("is_long"))
     chosen = prefixes.select("prefix", "key").hint("merge").join(frequent, "prefix") \
         .groupBy("key").agg(F.collect_list(F.when(~F.col("is_long"), F.col("prefix"))).alias("short"),
                             F.collect_list(F.when(F.col("is_long"), F.col("prefix"))).alias("long"))
@@ -378,16 +435,15 @@ def cut_repeats(texts: DataFrame, window: int = 35, gram: int = 5, group_rows: i
     def stretches(kind: str) -> DataFrame:
         some = chosen.where(F.size(kind) > 0).select("key", F.col(kind).alias("chosen"))
         return texts.hint("merge").join(some, "key").select("key", "text", "weight", "chosen").mapInArrow(
-            _stretches(window, gram, kind == "long"),
-            "prefix long, key binary, place int, windows int, starts long, text binary")
-
-    at_short = stretches("short").repartition("prefix").sortWithinPartitions("prefix") \
-        .mapInArrow(_subtrees(window, gram), "key binary, place int, bits long")
-    one_space = F.regexp_replace(F.col("text").cast("string"), r"[\x20\x09-\x0D]+", " ")
-    at_long = stretches("long").select(
-        F.unhex(F.sha2(one_space.cast("binary"), 256)).alias("node"), "key", "place", "starts")
-    nodes = at_long.groupBy("node").agg(F.sum("starts").alias("n")).where("n >= 2")
-    at_long = at_long.join(nodes, "node").select("key", "place", F.lit(1).cast("long").alias("bits"))
+            _stretches(window, gram),
+            "prefix long, content binary, key binary, place int, windows int, starts long, words binary")
+
+    at_short = _in_subtrees(stretches("short").drop("content"), window, gram)
+    # Equal stretches of all texts are one before their windows are looked at, and share its marks.
+    long = stretches("long")
+    contents = long.groupBy("content").agg(F.sum("starts").alias("starts"), F.min("words").alias("words"))
+    at_long = long.select("content", "key", "place").hint("merge") \
+        .join(_lengthened(contents, window, gram, group_bytes), "content").select("key", "place", "bits")
     marks = at_short.unionByName(at_long).groupBy("key") \
         .agg(F.collect_list(F.struct("place", "bits")).alias("marks"))
     return texts.hint("merge").join(marks, "key", "left").select("key", "text", "weight", "marks") \
@@ -395,7 +451,7 @@ def cut_repeats(texts: DataFrame, window: int = 35, gram: int = 5, group_rows: i
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   window: int = 35, gram: int = 5, group_rows: int = 2000) -> DataFrame:
+                   window: int = 35, gram: int = 5, group_bytes: int = CHUNK_BYTES) -> DataFrame:
     r"""Texts without repeated passages: (id, n_words, n_removed, kept) for every row of ``docs``.
 
     Words are ``[^\x20\x09-\x0D]+``, unchanged.  Every word inside a window of
@@ -409,8 +465,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ignored.  An empty table gives no rows.  Windows are told apart by 64-bit hashes
     of their words, texts by 128 bits of their SHA-256.
 
-    ``window`` - ``gram`` must be below 63 (window marks are bits of one long).
+    ``window`` - ``gram`` must be below 63 (window marks are bits of one long).  A text is
+    held whole in its task, at about 30 times its bytes (as measured at 10 MB): a text of some 50 MB is the most that
+    a task of 1.5 GB takes.
     """
     rows, texts = distinct_texts(docs, id_col, text_col)
-    cut = cut_repeats(texts, window, gram, group_rows)
+    cut = cut_repeats(texts, window, gram, group_bytes)
     return rows.join(cut, "key").select(F.col("id").alias(id_col), "n_words", "n_removed", "kept")
