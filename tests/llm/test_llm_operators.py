@@ -241,6 +241,59 @@ def test_contamination_against_brute_force(spark, edge):
     assert none.where("contaminated or n_hit > 0").count() == 0
 
 
+def test_windows_that_items_share_are_one_class():
+    """A template of 100,000 items in 2,000 places: memory and output follow the results, not the pairs of windows."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    template = words(13, 90)
+    n, places = 100_000, 2000
+    test = decontaminate.index_items([(f"i{k}", " ".join(template + [f"own{k}"])) for k in range(n)], 13)
+    assert len(test.starts) == n + 1 and len(test.window_start) == 2 * n
+    one = " ".join(template)
+    text = ("x " + one + " ") * places
+    batch = decontaminate.pa.RecordBatch.from_arrays(
+        [decontaminate.pa.array([0, 0, 0]), decontaminate.pa.array([1, 2, 3]), decontaminate.pa.array([text, "none", one])],
+        names=["row", "doc", "text"])
+    tracemalloc.start()
+    got = [r for out in decontaminate._hits(SimpleNamespace(value=test))(iter([batch])) for r in
+           zip(out.column("doc").to_pylist(), [len(x) // 2 for x in out.column("ranges").to_pylist()],
+               out.column("items").value_lengths().to_pylist())]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == [(1, places, n), (2, 0, 0), (3, 1, n)] and peak < 500e6
+
+
+def test_longest_matches_against_brute_force(spark):
+    r = random.Random(21)
+    letters = "abc"
+    items = [(f"i{k}", " ".join(r.choice(letters) for _ in range(r.randrange(0, 14)))) for k in range(12)]
+    items += [("i1", "a b c a b c a b"), ("i12", items[3][1])]
+    docs = [(d, " ".join(r.choice(letters) for _ in range(r.randrange(0, 40)))) for d in range(25)] + [(None, "a b c a b c a b"), (30, None)]
+    want = set()
+    for d, text in docs:
+        t = (text or "").split()
+        for name, item in items:
+            w = item.split()
+            n = min(4, len(w))
+            for p in range(len(t)):
+                for q in range(len(w)):
+                    size = 0
+                    while p + size < len(t) and q + size < len(w) and t[p + size] == w[q + size]:
+                        size += 1
+                    if size >= n and not (p and q and t[p - 1] == w[q - 1]):
+                        want.add((d, name, q, p, size))
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    for block_bytes in (1 << 20, 10):
+        got = decontaminate.longest_matches(spark, table(spark, docs), bench, window=4, block_bytes=block_bytes).collect()
+        assert {tuple(x) for x in got} == want
+    # A match of many thousand words is one row, found without walking back from each of its windows.
+    long = words(30_000, 91)
+    got = decontaminate.longest_matches(
+        spark, table(spark, [(1, " ".join(["x"] + long))]), spark.createDataFrame([("l", " ".join(long))], "item_id string, text string"))
+    assert [tuple(x) for x in got.collect()] == [(1, "l", 0, 1, 30_000)]
+
+
 def test_language_id_held_out_accuracy_and_edges(spark):
     found = queries.op8_mixture_language_id(spark, SF).join(
         spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out")

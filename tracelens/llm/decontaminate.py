@@ -4,7 +4,7 @@ A shard is a block of texts inside a task.  Its suffix array holds the word
 suffixes that can match a test suffix at all (those whose first words all occur
 in the test set), sorted by their words.  Every test suffix is searched in it by
 bisection; the run of equal prefixes gives all places of a match, which is then
-extended to its longest verbatim length.
+joined with its neighbours to the longest verbatim match.
 
 The test items are a stated set that is handled in blocks of bounded size, each
 sent to the tasks whole; the texts are read in place and never shuffled for it.
@@ -25,6 +25,10 @@ from tracelens.llm import text as tx
 from tracelens.llm.store import columns_first, table
 
 
+KNOWN_LISTS = 64  # lists of item names that a task keeps
+LISTED = 1 << 18  # names, or windows of matches, that are put out at once
+
+
 def match_words() -> np.ndarray:
     r"""Byte table of ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]`` (digits, a-z, all non-ASCII)."""
     out = np.zeros(256, dtype=bool)
@@ -35,30 +39,45 @@ def match_words() -> np.ndarray:
 
 
 def index_items(items: list[tuple[str, str]], window: int) -> SimpleNamespace:
-    """The words of a block of test items as numbers, and their windows.
+    """The words of a block of test items as numbers, and the classes of their equal windows.
 
-    ``ids``: all items' words, one after the other, each item ended by -1;
-    ``starts``: where a window starts in ``ids``; ``lengths``: its words; ``item``: its item.
+    ``ids``: all items' words, one after the other, each item ended by -1; ``starts``: where a window of the
+    class starts in ``ids``; ``lengths``: its words.  ``cut``: where a class begins in ``window_start`` and
+    ``window_item`` (its windows in ``ids`` and their items); ``item_first``: an item's first place in ``ids``;
+    ``names``: sorted item names, ``name_of``: each item's place among them.
     """
     per_item, lower = [], tx.lower_ascii()
     for lo, hi, buf, offsets in tx.blocks(pa.array([t for _, t in items], pa.string())):
         s, e, first = tx.words(lower[buf], offsets, match_words())
         h = tx.hash_words(lower[buf], s, e)
         per_item += [h[first[d]:first[d + 1]] for d in range(hi - lo)]
-    vocabulary = np.unique(np.concatenate(per_item)) if per_item else np.zeros(0, dtype=np.uint64)
-    ids, starts, lengths, item, at = [], [], [], [], 0
-    for k, h in enumerate(per_item):
-        if len(h):
-            ids.append(np.append(np.searchsorted(vocabulary, h), -1))
-            n = min(window, len(h))
-            starts += range(at, at + len(h) - n + 1)
-            lengths += [n] * (len(h) - n + 1)
-            item += [k] * (len(h) - n + 1)
-            at += len(h) + 1
-    as_array = lambda x: np.array(x, dtype=np.int64)
-    return SimpleNamespace(names=[i for i, _ in items], vocabulary=vocabulary,
-                           ids=np.concatenate(ids) if ids else as_array([]),
-                           starts=as_array(starts), lengths=as_array(lengths), item=as_array(item))
+    sizes = np.array([len(h) for h in per_item], dtype=np.int64)
+    every = np.concatenate(per_item) if per_item else np.zeros(0, dtype=np.uint64)
+    vocabulary = np.unique(every)
+    item_first = np.cumsum(sizes + 1) - sizes - 1
+    ids = np.full(int((sizes + 1).sum()), -1, dtype=np.int64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    ids[np.arange(len(every)) + owner] = np.searchsorted(vocabulary, every)
+    # A window starts where an item has that many words left; a shorter item is one window.
+    length = np.minimum(window, sizes)
+    many = np.where(sizes > 0, sizes - length + 1, 0)
+    item = np.repeat(np.arange(len(sizes)), many)
+    starts = item_first[item] + np.arange(len(item)) - np.repeat(np.cumsum(many) - many, many)
+    key = np.zeros(len(starts), dtype=np.uint64)
+    values = ids.astype(np.uint64) + tx.U(2)
+    for n in np.unique(length[sizes > 0]).tolist():
+        own = np.flatnonzero(length[item] == n)
+        key[own] = tx.hash_grams(values, n)[starts[own]] + tx.U(n)
+    order = np.lexsort((starts, key))
+    starts, item, key = starts[order], item[order], key[order]
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = key[1:] != key[:-1]
+    at = np.flatnonzero(new)
+    names = sorted({i for i, _ in items})
+    place = {name: k for k, name in enumerate(names)}
+    return SimpleNamespace(names=pa.array(names, pa.string()), name_of=np.array([place[i] for i, _ in items], dtype=np.int64),
+                           vocabulary=vocabulary, ids=ids, item_first=item_first, starts=starts[at], lengths=length[item[at]],
+                           cut=np.append(at, len(key)), window_start=starts, window_item=item)
 
 
 class SuffixArray:
@@ -127,9 +146,9 @@ def _numbers(h: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
 
 
 def shard_matches(column: pa.Array, test: SimpleNamespace) -> Iterator[tuple]:
-    """Yield (first row, end row, first, places, windows): where test windows occur in a shard.
+    """Yield (first row, end row, first, places, classes): where test windows occur in a shard.
 
-    ``places``: word in the shard, ``windows``: index into the test windows.
+    ``places``: word in the shard, ``classes``: class of equal test windows.  A place has at most one class a length.
     """
     least = int(test.lengths.min()) if len(test.lengths) else 1
     depth = int(test.lengths.max()) if len(test.lengths) else 1
@@ -142,36 +161,63 @@ def shard_matches(column: pa.Array, test: SimpleNamespace) -> Iterator[tuple]:
         array = SuffixArray(ids, doc, first, least, depth)
         a, b = array.find(test.ids, test.starts, test.lengths)
         n = b - a
-        windows = np.repeat(np.arange(len(n)), n)
-        nth = np.arange(len(windows)) - np.repeat(np.cumsum(n) - n, n)
-        yield lo, hi, first, ids, array.place[a[windows] + nth], windows
+        classes = np.repeat(np.arange(len(n)), n)
+        nth = np.arange(len(classes)) - np.repeat(np.cumsum(n) - n, n)
+        places = array.place[a[classes] + nth]
+        order = np.argsort(places, kind="stable")
+        yield lo, hi, first, places[order], classes[order]
+
+
+def _listed(cut: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """All places of the lists ``cut[c]:cut[c + 1]`` of the chosen ones, one list after the other."""
+    n = cut[chosen + 1] - cut[chosen]
+    return np.arange(int(n.sum())) + np.repeat(cut[chosen] - np.cumsum(n) + n, n)
 
 
 def _hits(test):
     """Per text: its words, the hit ranges of words and the items found."""
     def run(batches):
-        items = test.value
+        items, known = test.value, {}
+
+        def names(classes: np.ndarray) -> pa.Array:
+            """Names of the items that have one of the classes; texts with the same classes share the answer."""
+            key = classes.tobytes()
+            if key not in known:
+                if len(known) >= KNOWN_LISTS:
+                    known.clear()
+                own = np.unique(items.name_of[items.window_item[_listed(items.cut, classes)]])
+                known[key] = items.names.take(pa.array(own))
+            return known[key]
+
         for batch in batches:
-            for lo, hi, first, _, places, windows in shard_matches(batch.column("text"), items):
-                doc = np.searchsorted(first, places, "right") - 1
-                order = np.argsort(doc, kind="stable")
-                doc, places, windows = doc[order], places[order], windows[order]
-                cut = np.searchsorted(doc, np.arange(hi - lo + 1))
-                ranges, found = [], []
+            for lo, hi, first, places, classes in shard_matches(batch.column("text"), items):
+                bounds = np.searchsorted(places, first)
+                begin, ranges, found, size = lo, [], [], 0
+
+                def rows(end):
+                    lists = pa.ListArray.from_arrays(
+                        pa.array(np.cumsum([0] + [len(f) for f in found]), pa.int32()),
+                        pa.concat_arrays(found) if found else pa.array([], pa.string()))
+                    return pa.RecordBatch.from_arrays(
+                        [batch.column("row").slice(begin, end - begin), batch.column("doc").slice(begin, end - begin),
+                         pa.array(np.diff(first)[begin - lo:end - lo], pa.int64()),
+                         pa.array(ranges, pa.list_(pa.int64())), lists], names=["row", "doc", "n_words", "ranges", "items"])
+
                 for d in range(hi - lo):
-                    a, b = cut[d], cut[d + 1]
+                    a, b = bounds[d], bounds[d + 1]
                     if a == b:
                         ranges.append([])
-                        found.append([])
+                        found.append(items.names[:0])
                         continue
                     p = places[a:b] - first[d]
-                    ranges.append(_union(p, p + items.lengths[windows[a:b]]))
-                    found.append(sorted({items.names[i] for i in np.unique(items.item[windows[a:b]]).tolist()}))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("row").slice(lo, hi - lo), batch.column("doc").slice(lo, hi - lo),
-                     pa.array(np.diff(first), pa.int64()), pa.array(ranges, pa.list_(pa.int64())),
-                     pa.array(found, pa.list_(pa.string()))],
-                    names=["row", "doc", "n_words", "ranges", "items"])
+                    ranges.append(_union(p, p + items.lengths[classes[a:b]]))
+                    found.append(names(np.unique(classes[a:b])))
+                    size += len(found[-1])
+                    if size >= LISTED:
+                        yield rows(lo + d + 1)
+                        begin, ranges, found, size = lo + d + 1, [], [], 0
+                if begin < hi:
+                    yield rows(hi)
     return run
 
 
@@ -190,32 +236,35 @@ def _longest(test):
     def run(batches):
         items = test.value
         for batch in batches:
-            for lo, hi, first, ids, places, windows in shard_matches(batch.column("text"), items):
-                # Windows on one diagonal (same text, item and offset) that follow each other are one match.
-                doc = np.searchsorted(first, places, "right") - 1
-                ends = first[1:][doc] if len(doc) else doc
-                seen, out = set(), []
-                for p, w, end, d in zip(places.tolist(), windows.tolist(), ends.tolist(), doc.tolist()):
-                    q = int(items.starts[w])
-                    key = (p - q, int(items.item[w]))
-                    back = 0
-                    while p - back > first[d] and q - back > 0 and items.ids[q - back - 1] >= 0 \
-                            and ids[p - back - 1] == items.ids[q - back - 1]:
-                        back += 1
-                    if (key, p - back) in seen:
-                        continue
-                    seen.add((key, p - back))
-                    n = int(items.lengths[w])
-                    while p + n < end and items.ids[q + n] >= 0 and ids[p + n] == items.ids[q + n]:
-                        n += 1
-                    item_first = int(items.starts[np.searchsorted(items.item, items.item[w])])
-                    out.append((lo + d, items.names[key[1]], q - back - item_first, p - back - int(first[d]), n + back))
-                if out:
-                    row, name, item_word, word, n = zip(*out)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("id").take(pa.array(row)), pa.array(name, pa.string()),
-                         pa.array(item_word, pa.int64()), pa.array(word, pa.int64()), pa.array(n, pa.int64())],
-                        names=["id", "item_id", "item_word", "word", "n_words"])
+            for lo, hi, first, places, classes in shard_matches(batch.column("text"), items):
+                many = items.cut[classes + 1] - items.cut[classes]
+                bounds = np.searchsorted(places, first)
+                done = np.concatenate([[0], np.cumsum(many)])[bounds]  # windows of the texts before each one
+                d = 0
+                while d < hi - lo:
+                    end = max(d + 1, int(np.searchsorted(done, done[d] + LISTED, side="right")) - 1)
+                    some = slice(bounds[d], bounds[end])
+                    at = _listed(items.cut, classes[some])
+                    place = np.repeat(places[some], many[some])
+                    item, start = items.window_item[at], items.window_start[at]
+                    # Windows that follow each other in a text and in an item are one match, and no word
+                    # more belongs to it: there would be one more window.
+                    order = np.lexsort((place, place - start, item))
+                    place, item, start = place[order], item[order], start[order]
+                    doc = np.searchsorted(first, place, "right") - 1
+                    new = np.ones(len(place), dtype=bool)
+                    new[1:] = (item[1:] != item[:-1]) | (place[1:] != place[:-1] + 1) | (start[1:] != start[:-1] + 1) \
+                        | (doc[1:] != doc[:-1])
+                    one = np.flatnonzero(new)
+                    last = np.append(one[1:], len(place)) - 1
+                    length = items.lengths[np.repeat(classes[some], many[some])][order]
+                    if len(one):
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column("id").take(pa.array(lo + doc[one])), items.names.take(pa.array(items.name_of[item[one]])),
+                             pa.array(start[one] - items.item_first[item[one]]), pa.array(place[one] - first[doc[one]]),
+                             pa.array(place[last] - place[one] + length[last])],
+                            names=["id", "item_id", "item_word", "word", "n_words"])
+                    d = end
     return run
 
 
@@ -292,6 +341,10 @@ def contamination(spark: SparkSession, docs: DataFrame, test_set: DataFrame, id_
     through, each row judged alone.  Other columns are ignored.  An empty table gives no rows;
     an empty test set contaminates nothing.  Words are told apart by 64-bit hashes.
 
+    Equal windows of several items are searched once and count as one class, so a template that
+    very many items share costs a place one match; the list of their names is made once for all texts
+    that hit the same classes.
+
     With one block of test items (``block_bytes`` of text) the texts are read once and
     nothing is shuffled; with more, each block reads them again and hits are joined per row.
     """
