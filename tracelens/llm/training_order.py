@@ -1,9 +1,10 @@
 """Training order on disk: a keyed permutation gives every sequence its slot in fixed-stride shards.
 
 Texts are tokenised, once, and cut into sequences of at most ``stride`` ids.  A sequence is
-known by its input partition and its number there.  A Feistel network on the smallest even
-number of bits that holds all such pairs, walked along its cycle until the value is one of them,
-permutes the pairs: no table is needed, any task can evaluate it, and one key reproduces it.
+known by its row's number in the input files, taken by name, and its own number in the row; how
+Spark splits the files plays no part.  A Feistel network on the smallest even number of bits
+that holds all such pairs, walked along its cycle until the value is one of them, permutes the
+pairs: no table is needed, any task can evaluate it, and one key over the same files reproduces it.
 Slots follow the permuted positions.  A shard holds a range of positions, so one shuffle brings
 each sequence to its shard, where sorting gives its record; the shards' counts, one number each,
 then give the global slots.  All records have the same size, so a reader finds any slot by
@@ -20,7 +21,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +31,9 @@ from tracelens.llm.store import columns_first, table
 from tracelens.llm.text import U, mix
 
 ROUNDS = 6
-LOCAL_BITS = 33  # sequences of one input partition
+PIECE_BITS = 22  # sequences of one row
+SHARD_BYTES = 64 << 20  # of input files behind one shard, and the share of 16 shards at the least
+LEAST_BYTES = 1 << 20
 
 
 def positions(index: np.ndarray, domain: int, key: int) -> np.ndarray:
@@ -51,23 +54,25 @@ def positions(index: np.ndarray, domain: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _sequences(where, stride, end_id, kind, key, domain, width):
+def _sequences(where, stride, end_id, kind, key, domain, width, offsets):
     size = np.dtype(kind).itemsize
 
     def run(batches):
-        encode, part, at = tokens.encoder(where), TaskContext.get().partitionId(), 0
-        if (part + 1) << LOCAL_BITS > domain:
-            raise RuntimeError("the input has more partitions than it was planned with; read it from files")
+        encode = tokens.encoder(where)
         for batch in batches:
-            source, start, ids = [], [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
+            source, start, ids, index = [], [], [], []
+            rows = zip(batch.column("text").to_pylist(), batch.column("file").to_pylist(), batch.column("row").to_pylist())
+            for i, (text, file, row) in enumerate(rows):
                 own = [*encode(text or ""), end_id]
                 data, cuts = tokens.pack_ids(own, kind), range(0, len(own), stride)
+                if len(cuts) >> PIECE_BITS:
+                    raise ValueError(f"a text has more than {1 << PIECE_BITS} sequences: raise stride")
                 source += [i] * len(cuts)
                 start += cuts
                 ids += [data[size * s:size * (s + stride)] for s in cuts]
-            position = positions((part << LOCAL_BITS) + np.arange(at, at + len(ids)), domain, key)
-            at += len(ids)
+                first = (offsets.value[file] + row) << PIECE_BITS
+                index += range(first, first + len(cuts))
+            position = positions(np.array(index, dtype=np.int64), domain, key)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id").take(pa.array(source, pa.int64())), pa.array(start, pa.int64()),
                  pa.array(position), pa.array((position // width).astype(np.int32)), pa.array(ids, pa.binary())],
@@ -75,6 +80,28 @@ def _sequences(where, stride, end_id, kind, key, domain, width):
     return run
 
 
+def _numbered(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, dict[str, int], int, int]:
+    """(id, text, file, row) of every row; the first row number of each file, by name; all rows; bytes of the files.
+
+    Rows that do not come straight from files with row numbers (Parquet) are written to such files first.
+    """
+    def columns(df: DataFrame, id_name: str, text_name: str) -> DataFrame:
+        return df.select(df[id_name].alias("id"), df[text_name].cast("string").alias("text"),
+                         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"),
+                         F.col("_metadata.row_index").alias("row"))
+
+    try:
+        rows = columns(docs, id_col, text_col)
+    except AnalysisException:
+        rows = columns(table(spark, columns_first(docs, id=id_col, text=text_col), "training-order-rows"), "id", "text")
+    files = rows.groupBy("file").agg(F.max("row").alias("last"), F.max("size").alias("size")).orderBy("file").collect()
+    offsets, n = {}, 0
+    for f in files:
+        offsets[f["file"]] = n
+        n += f["last"] + 1
+    return rows.drop("size"), offsets, n, sum(f["size"] for f in files)
+
+
 def _shards(folder, stride, kind, pad_id):
     size = np.dtype(kind).itemsize
     filling = np.full(stride, pad_id, dtype=kind).tobytes()
@@ -116,24 +143,25 @@ def materialise(spark: SparkSession, docs: DataFrame, folder: str, id_col: str =
 
     A row's ids and ``end_id`` are cut every ``stride`` ids; each piece is one sequence, filled up
     with ``pad_id``.  ``record`` is its place in its shard, ``slot`` its global one; slots run from 0
-    without gaps.  By default there are as many shards as input partitions, so they grow with the
-    input.  ``folder`` also gets ``order.json`` with what a reader needs.
+    without gaps.  By default the number of shards follows the bytes of the input files.  Slots, and with
+    equal ``shards`` the files written, are the same however many cores or splits there are.  ``folder``
+    also gets ``order.json`` with what a reader needs.
 
     Null text: empty, so ``end_id`` alone.  Null and repeated ids are passed through; each row is
     a text of its own.  Other columns are ignored.  An empty table gives no rows and no shards.
 
-    ``docs`` should be read straight from files: a partition that is computed again must give its
-    rows in the same order.  Only the ids are shuffled, once.
+    ``docs`` should be read straight from Parquet; other rows are written first.  What the driver holds is
+    one entry a file and a shard.  Only the ids are shuffled, once.
     """
     where = where or tokens.vocabulary()
-    rows = columns_first(docs, id=id_col, text=text_col).withColumn("text", F.col("text").cast("string"))
-    parts = max(1, rows.rdd.getNumPartitions())
-    shards = shards or parts
-    domain = parts << LOCAL_BITS
+    rows, offsets, n, size = _numbered(spark, docs, id_col, text_col)
+    shards = shards or max(1, min(16, -(-size // LEAST_BYTES)), -(-size // SHARD_BYTES))
+    domain = max(1, n) << PIECE_BITS
     width = -(-domain // shards)
     id_type = rows.schema["id"].dataType.simpleString()
-    placed = rows.mapInArrow(_sequences(where, stride, end_id, kind, key, domain, width),
-                             f"id {id_type}, start long, position long, shard int, ids binary")
+    placed = rows.mapInArrow(
+        _sequences(where, stride, end_id, kind, key, domain, width, spark.sparkContext.broadcast(offsets)),
+        f"id {id_type}, start long, position long, shard int, ids binary")
     written = placed.repartitionById(shards, "shard").sortWithinPartitions("position") \
         .mapInArrow(_shards(folder, stride, kind, pad_id),
                     f"id {id_type}, start long, length long, ids_crc32 long, shard int, record long")
