@@ -322,6 +322,26 @@ def test_rows_with_letters_stay_without_usable_labels(spark):
         assert sorted(r["doc_id"] for r in kept.collect()) == [held[j] for j in (0, 4, 6, 7)]
 
 
+def test_labels_that_are_no_languages_are_refused(spark):
+    rows = spark.range(40).select(F.lit("some words").alias("text"), F.concat(F.lit("l"), F.col("id")).alias("lang"))
+    with pytest.raises(ValueError, match="labels"):
+        language_id.train(rows, most_langs=39)
+    assert len(language_id.train(rows, most_langs=40).langs) == 40
+
+
+def test_few_rounds_name_the_language_that_convergence_names(spark):
+    """Expectation-maximisation by ``steps`` rounds against 500 rounds, on texts of one and of two languages."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang is not null").orderBy("doc_id").limit(120)
+    texts = [r["text"] for r in docs.collect()]
+    texts += [a + " " + b for a, b in zip(texts[:40], texts[40:80])]
+    few = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = language_id.train(docs)
+    got = {steps: {r["doc"]["doc_id"]: r for r in language_id.identify(spark, few, model, steps=steps).collect()} for steps in (6, 500)}
+    same = sum(got[6][i]["lang_pred"] == got[500][i]["lang_pred"] for i in got[6])
+    assert same >= 0.99 * len(texts)
+    assert np.mean([abs(got[6][i]["score"] - got[500][i]["score"]) for i in got[6]]) < 0.02
+
+
 def test_language_mixture_finds_both_languages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("lang in ('en', 'de')")
     model = language_id.train(docs)
@@ -405,6 +425,27 @@ def test_training_order(spark, edge):
     assert empty.count() == 0
 
 
+def test_training_order_does_not_depend_on_the_split(spark, tmp_path):
+    """Other file splits, cores and partitions: the same slots, shards and order.json; other keys, other slots."""
+    rows = [(i, " ".join(words(3 + i * 7 % 90, i))) for i in range(300)] + [(300, None), (None, "x"), (3, "twice")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "docs"))
+    setting, found = "spark.sql.files.maxPartitionBytes", []
+    before = spark.conf.get(setting)
+    for split, key in (("128m", 1), ("1k", 1), ("9k", 2)):
+        spark.conf.set(setting, split)
+        try:
+            folder = shared_dir(spark, "order-test")
+            docs = spark.read.parquet(str(tmp_path / "docs"))
+            got = training_order.materialise(spark, docs, folder, stride=32, key=key)
+            slots = sorted((r["slot"], r["ids_crc32"], r["shard"], r["byte_offset"]) for r in got.collect())
+            with open(f"{folder.removeprefix('file://')}/order.json") as file:
+                found.append((slots, json.load(file) | {"key": 0}))
+        finally:
+            spark.conf.set(setting, before)
+    assert found[0] == found[1] and found[0][0] != found[2][0]
+    assert sorted(c for _, c, _, _ in found[0][0]) == sorted(c for _, c, _, _ in found[2][0])
+
+
 def test_url_rules(spark):
     urls = ["http://a.net/x", "http://NET/", "https://blog.example.net/en/1", "http://example.net/english", "http://example.com/de/q?x#y",
             "http://example.com/den", "ftp://x.org/fr/", "http://net", "http://xnet/", "no url", None, "", "http://example.net/en/1#/de/",
