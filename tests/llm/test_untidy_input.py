@@ -128,3 +128,37 @@ def test_the_near_stage_keeps_columns_of_any_name(spark):
     docs = spark.createDataFrame([(i, t, "o", 1, "d", i, "w", i, i, True) for i, t in enumerate([text, text + " x", "other"])], CLASHING)
     kept = minhash_dedup.keep_one_per_group(spark, docs)
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 2]
+
+
+def test_functions_are_shipped_without_the_tables_of_the_driver():
+    """What the driver has hashed itself does not travel with the functions of later plans."""
+    from pyspark import cloudpickle
+
+    from tracelens.llm import decontaminate, substring_dedup
+    from tracelens.llm import text as tx
+
+    decontaminate.index_items([("a", "some words of an item " * 9)], 13)
+    assert tx._powers
+    for f in (minhash_dedup._sketches(5, 40, 5, 1), substring_dedup._prefixes(35, 5), minhash_dedup._verify(5, 75)):
+        assert len(cloudpickle.dumps(f)) < 200_000
+    h = tx.hash_words(*tx_words("a bc a"))
+    assert h[0] == h[2] != h[1] and len(cloudpickle.loads(cloudpickle.dumps(tx.hash_words))(*tx_words("a bc a"))) == 3
+
+
+def tx_words(text):
+    import numpy as np
+
+    from tracelens.llm import text as tx
+
+    buf = np.frombuffer(text.encode(), dtype=np.uint8)
+    starts, ends, _ = tx.words(buf, np.array([0, len(buf)]), tx.space_words())
+    return buf, starts, ends
+
+
+def test_a_text_longer_than_the_kept_tables_is_hashed_alike():
+    from tracelens.llm import text as tx
+
+    size = 2 * tx.BLOCK_BYTES
+    buf, starts, ends = tx_words("word " * (size // 5 + 100) + "other word")
+    h = tx.hash_words(buf, starts, ends)
+    assert (h[:-2] == h[0]).all() and h[-1] == h[0] != h[-2] and len(tx._powers[str(tx._BASE)]) <= size

@@ -82,16 +82,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-_powers: dict[str, np.ndarray] = {}
+class _Tables(dict):
+    """Tables that every process makes for itself: functions are shipped without them."""
+
+    def __reduce__(self):
+        return _Tables, ()
+
+
+_powers: dict[str, np.ndarray] = _Tables()
 
 
 def _power_table(base: int, n: int) -> np.ndarray:
+    """Powers of ``base`` from 0 to ``n`` - 1 at least; tables for blocks are kept, longer ones are not."""
     have = _powers.get(str(base))
     if have is None or len(have) < n:
-        table = np.full(max(n, BLOCK_BYTES + 1), base, dtype=np.uint64)
-        table[0] = 1
-        np.multiply.accumulate(table, out=table)
-        _powers[str(base)] = have = table
+        have = np.full(max(n, BLOCK_BYTES + 1), base, dtype=np.uint64)
+        have[0] = 1
+        np.multiply.accumulate(have, out=have)
+        if n <= 2 * BLOCK_BYTES:
+            _powers[str(base)] = have
     return have
 
 
