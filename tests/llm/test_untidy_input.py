@@ -162,3 +162,51 @@ def test_a_text_longer_than_the_kept_tables_is_hashed_alike():
     buf, starts, ends = tx_words("word " * (size // 5 + 100) + "other word")
     h = tx.hash_words(buf, starts, ends)
     assert (h[:-2] == h[0]).all() and h[-1] == h[0] != h[-2] and len(tx._powers[str(tx._BASE)]) <= size
+
+
+def test_names_of_both_kinds_speak_against_main_text(spark):
+    say = "The river rose in the night, and by the morning the whole lower town stood under water."
+    labels = html_extract.weak_labels(dom.Page(f'<article><p>{say}</p><div class="comment-content"><p>{say}</p></div></article>'
+                                               f'<div id="main-menu"><p>{say}</p></div>'))
+    assert labels.tolist() == [-1, 1, 1, 0, 0, 0, 0]
+
+
+def test_margins_are_those_of_the_fitted_trees(spark):
+    """The trees that tasks evaluate give Spark's own raw predictions."""
+    import numpy as np
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import array_to_vector
+    from types import SimpleNamespace
+
+    r = np.random.default_rng(4)
+    x = r.normal(size=(400, len(html_extract.FEATURES))).round(3)
+    y = (x[:, 0] + x[:, 3] * x[:, 5] > 0.2).astype(float)
+    df = spark.createDataFrame([(float(b), [float(v) for v in a]) for a, b in zip(x, y)], "label double, values array<double>") \
+        .select("label", array_to_vector("values").alias("values"))
+    fitted = GBTClassifier(featuresCol="values", labelCol="label", maxIter=6, maxDepth=4, seed=7).fit(df)
+    own = html_extract.margins(SimpleNamespace(base=0.0, trees=html_extract._tree_tables(fitted.toDebugString)), x)
+    raw = np.array([v["rawPrediction"][1] for v in fitted.transform(df).collect()])
+    assert np.allclose(own, 2 * raw) or np.allclose(own, raw)
+
+
+def test_the_training_sample_is_bounded_by_distinct_pages(spark, monkeypatch):
+    say = "The river rose in the night, and by the morning the whole lower town stood under water."
+    pages = spark.createDataFrame([(i % 30, f"<article><p>{say} {i % 30}</p></article><div class=ad><p>{say}</p></div>")
+                                   for i in range(90)], "page_id long, html string")
+    seen, keep = [], html_extract.table
+    monkeypatch.setattr(html_extract, "table", lambda s, df, name: seen.append(keep(s, df, name)) or seen[-1])
+    html_extract.train(spark, pages, sample_pages=10, rounds=2)
+    per_page = len(html_extract.node_features(dom.Page(pages.first()["html"]))[0])
+    assert 0 < seen[0].count() <= 10 * 2 * 3 * per_page
+
+
+def test_a_failed_attempt_leaves_no_file(tmp_path):
+    from tracelens.llm.files import whole_file
+
+    with pytest.raises(ZeroDivisionError), whole_file(str(tmp_path), "a.bin") as out:
+        out.write(b"half")
+        1 / 0
+    assert os.listdir(tmp_path) == []
+    with whole_file(str(tmp_path), "a.bin") as out:
+        out.write(b"whole")
+    assert os.listdir(tmp_path) == ["a.bin"]

@@ -89,7 +89,7 @@ def weak_labels(page: Page) -> np.ndarray:
     """1, 0 or -1 (not known) per node, from the words of its tag and attributes and those above it.
 
     Known: what stands below a node that speaks against main text, and what stands inside one
-    that speaks for it.  On a page where nothing speaks for any node, long text elements count as
+    that speaks for it; a name with words of both kinds (``comment-content``) speaks against it.  On a page where nothing speaks for any node, long text elements count as
     main text.
     """
     n = len(page.tag)
@@ -98,7 +98,7 @@ def weak_labels(page: Page) -> np.ndarray:
     state = [0] * n  # 1: inside main text, 2: below something against it
     for i in range(1, n):
         s = state[page.parent[i]]
-        state[i] = 2 if s == 2 or (page.against[i] and not page.favour[i]) else 1 if s == 1 or page.favour[i] else 0
+        state[i] = 2 if s == 2 or page.against[i] else 1 if s == 1 or page.favour[i] else 0
         label[i] = {2: 0, 1: 1}.get(state[i], -1)
     if not any_favour:
         size = [0] * n
@@ -190,10 +190,13 @@ def train(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", html_c
           sample_pages: int = 400, rounds: int = 12, depth: int = 4) -> SimpleNamespace:
     """Boosted trees fitted on the nodes of ``sample_pages`` pages, those with the smallest hash of the whole page.
 
+    The hashes are chosen first, so a task holds no page that is not in the sample; repeated rows count once.
     Without a labelled node, or with one kind of label only, the model is a constant.
     """
-    rows = columns_first(pages, id=id_col, html=html_col).where("html is not null")
-    sample = rows.orderBy(F.xxhash64("html"), F.xxhash64("id")).limit(sample_pages)
+    rows = columns_first(pages, id=id_col, html=html_col).where("html is not null") \
+        .withColumn("h", F.xxhash64("html")).withColumn("i", F.xxhash64("id"))
+    chosen = rows.select("h", "i").distinct().orderBy("h", "i").limit(sample_pages)
+    sample = rows.join(F.broadcast(chosen), ["h", "i"]).dropDuplicates(["h", "i"]).orderBy("h", "i")
     nodes = table(spark, sample.coalesce(1).mapInArrow(_labelled, "label double, values array<double>"), "html-nodes")
     kinds = {r["label"]: r["n"] for r in nodes.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(kinds) < 2:
