@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import brute  # noqa: E402
 
 from tracelens.llm import (decontaminate, dom, exact_dedup, graph, html_extract, language_id, minhash_dedup,  # noqa: E402
-                           packing, queries, substring_dedup, tokens, training_order, url_filter, warc_derive)
+                           packing, queries, store, substring_dedup, tokens, training_order, url_filter, warc_derive)
 from tracelens.session import shared_dir  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -639,7 +639,7 @@ def test_pipeline_against_brute_force(spark):
     bench = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     rows = {r["doc_id"]: r["text"] for r in docs.collect()}
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        out = corpus_pipeline.table(spark, stage(spark, docs, SF), f"test-{name}")
+        out = store.table(spark, stage(spark, docs, SF), f"test-{name}")
         assert out.columns == docs.columns
         kept = {r["doc_id"] for r in out.collect()}
         if name == "language_id":

@@ -210,3 +210,17 @@ def test_a_failed_attempt_leaves_no_file(tmp_path):
     with whole_file(str(tmp_path), "a.bin") as out:
         out.write(b"whole")
     assert os.listdir(tmp_path) == ["a.bin"]
+
+
+def test_scratch_tables_go_with_their_block(spark):
+    from tracelens.llm.store import scratch, scratch_dir, table
+
+    outer = scratch_dir(spark, "scratch-test")
+    with scratch(spark):
+        inner = scratch_dir(spark, "scratch-test")
+        assert table(spark, spark.range(3), "scratch-test").count() == 3
+        for path in (outer, inner):
+            spark.range(5).write.parquet(path)
+    assert spark.read.parquet(outer).count() == 5
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(inner)

@@ -2,18 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tracelens.session import remove_at_exit, shared_dir
 
+_blocks: list[list[str]] = []  # the folders of each open ``scratch`` block
+
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir`` that goes when the session ends."""
+    """A fresh folder below ``spark.checkpoint.dir`` that goes with its ``scratch`` block, or else when the session ends."""
     path = shared_dir(spark, name)
     remove_at_exit(spark, path)
+    if _blocks:
+        _blocks[-1].append(path)
     return path
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside the block are removed at its end; results must be written by then."""
+    _blocks.append([])
+    try:
+        yield
+    finally:
+        for path in _blocks.pop():
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
 
