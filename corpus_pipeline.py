@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tracelens.llm import decontaminate, exact_dedup, language_id, minhash_dedup, packing
-from tracelens.llm.store import table
+from tracelens.llm.store import scratch, scratch_dir
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +47,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pieces of all documents that the stages keep, with their places in the packed sequences."""
+    """Pieces of all documents that the stages keep, with their places in the packed sequences.
+
+    Each stage's intermediate tables go as soon as its output is written.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = table(spark, stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_dir(spark, f"pipeline-{name}")
+        with scratch(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
     return docs
