@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PIECES = 256
@@ -22,10 +22,15 @@ def _list(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def _piece(time: Column, low: Column, high: Column, pieces: int) -> Column:
-    """Number of the equal piece of [low, high] that holds ``time``; later times have larger numbers."""
+def _in_pieces(df: DataFrame, times: DataFrame, pieces: int) -> DataFrame:
+    """``df`` with the number of the equal piece of the range of ``times`` that holds its ``t``.
+
+    Later times have larger numbers.  The range is one scalar subquery that reads the times alone.
+    """
+    span = times.agg(F.struct(F.min("t").alias("low"), F.max("t").alias("high"))).scalar()
+    low, high = F.col("_span.low"), F.col("_span.high")
     width = F.greatest(F.ceil((high - low + 1) / F.lit(pieces)), F.lit(1))
-    return F.floor((time - low) / width).cast("int")
+    return df.withColumn("_span", span).withColumn("piece", F.floor((F.col("t") - low) / width).cast("int")).drop("_span")
 
 
 def pending_periods(events: DataFrame, keys: str | Sequence[str], event_col: str, start_codes: Sequence,
@@ -48,9 +53,8 @@ def pending_periods(events: DataFrame, keys: str | Sequence[str], event_col: str
     rows = events.where(ev.isin(start + end)).select(
         *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(time_col).cast("long").alias("t"),
         ev.isin(start).alias("starts"), ev.isin(end).alias("ends")).dropna(subset=[*key, "t"])
-    low, high = (rows.agg(f("t").alias("t")).scalar() for f in (F.min, F.max))
-    instants = rows.groupBy(*key, "t").agg(F.max("starts").alias("starts"), F.max("ends").alias("ends")) \
-        .withColumn("piece", _piece(F.col("t"), low, high, pieces))
+    instants = _in_pieces(rows.groupBy(*key, "t").agg(F.max("starts").alias("starts"), F.max("ends").alias("ends")),
+                          rows, pieces)
 
     # Ends before a row (an end closes after the starts of its instant) number the periods of a piece.
     in_piece = Window.partitionBy(*key, "piece").orderBy("t")
@@ -109,9 +113,8 @@ def as_of_join(events: DataFrame, states: DataFrame, keys: str | Sequence[str],
     kind = known.schema["state"].dataType
     both = known.select(*key, "t", "state", F.lit(0).cast("long").alias("times")).unionByName(
         asked.select(*key, "t", F.lit(None).cast(kind).alias("state"), "times"))
-    spans = both.where("t is not null")
-    low, high = (spans.agg(f("t").alias("t")).scalar() for f in (F.min, F.max))
-    placed = both.withColumn("piece", _piece(F.col("t"), low, high, pieces))
+    times = [df.select(F.col(time).cast("long").alias("t")) for df, time in ((states, state_time_col), (events, time_col))]
+    placed = _in_pieces(both, times[0].unionByName(times[1]), pieces)
 
     # Of one instant the state comes first: it holds from its own time on.
     in_piece = Window.partitionBy(*key, "piece").orderBy("t", "times").rowsBetween(Window.unboundedPreceding, Window.currentRow)
