@@ -114,6 +114,18 @@ def test_tolerated_faults_are_rows(spark, untidy):
     assert empty.rows.count() == 2 and empty.quarantined.count() == 5  # one field each, the blank line among them
 
 
+def test_ingest_puts_malformed_lines_beside_the_rows(spark, untidy, tmp_path):
+    from tracelens.sources.readers import ingest_trace_table, read_ingested_table
+
+    out, bad = str(tmp_path / "out"), str(tmp_path / "bad")
+    ingest_trace_table(spark, "machine_events", untidy, out, quarantine=bad)
+    assert read_ingested_table(spark, "machine_events", out).count() == 3
+    lines = spark.read.parquet(bad)
+    assert lines.columns == ["file", "line", "reasons"] and lines.count() == len(LINES) - 2
+    ingest_trace_table(spark, "machine_events", untidy, out)
+    assert read_ingested_table(spark, "machine_events", out).count() == len(LINES)  # the blank line gives no row
+
+
 def test_states_of_part_files_merge_to_one_pass(spark, tmp_path):
     parts, states = tmp_path / "parts", str(tmp_path / "states")
     parts.mkdir()

@@ -14,13 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracelens.functions.keys import name_list
 from tracelens.functions.missing import label_missing
 
 
-def _list(cols: str | Sequence[str]) -> list[str]:
-    return [cols] if isinstance(cols, str) else list(cols)
-
-
 def value_counts(df: DataFrame, cols: str | Sequence[str], *, name: str = "n_rows",
                  missing_label: str | None = None) -> DataFrame:
     """Rows per value of ``cols`` (A1).
@@ -30,14 +27,14 @@ def value_counts(df: DataFrame, cols: str | Sequence[str], *, name: str = "n_row
     and the key keeps its type.
     """
     keys = []
-    for c in _list(cols):
+    for c in name_list(cols):
         keys.append(label_missing(c, missing_label).alias(c) if missing_label else F.col(c))
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
 def rows_per_key(df: DataFrame, keys: str | Sequence[str], name: str = "n_rows") -> DataFrame:
     """Rows per key (A1 without labelling)."""
-    return df.groupBy(*_list(keys)).agg(F.count(F.lit(1)).alias(name))
+    return df.groupBy(*name_list(keys)).agg(F.count(F.lit(1)).alias(name))
 
 
 def frequency_of_counts(counts: DataFrame, count_col: str, name: str = "n_keys") -> DataFrame:
@@ -72,14 +69,14 @@ def distinct_per_key(df: DataFrame, keys: str | Sequence[str], value: str, *,
                      approx: bool = False) -> DataFrame:
     """Distinct values of ``value`` per key (A5)."""
     expr = distinct_count(value, count_missing=count_missing, approx=approx)
-    return df.groupBy(*_list(keys)).agg(expr.alias(name))
+    return df.groupBy(*name_list(keys)).agg(expr.alias(name))
 
 
 def distinct_and_rows(df: DataFrame, group: str | Sequence[str], distinct_col: str, *,
                       distinct_name: str = "n_distinct", rows_name: str = "n_rows",
                       count_missing: bool = False, approx: bool = False) -> DataFrame:
     """Distinct values and row count per group in one aggregation."""
-    return df.groupBy(*_list(group)).agg(
+    return df.groupBy(*name_list(group)).agg(
         distinct_count(distinct_col, count_missing=count_missing, approx=approx)
         .alias(distinct_name),
         F.count(F.lit(1)).alias(rows_name),
@@ -88,7 +85,7 @@ def distinct_and_rows(df: DataFrame, group: str | Sequence[str], distinct_col: s
 
 def distinct_rows(df: DataFrame, cols: str | Sequence[str] | None = None) -> DataFrame:
     """Distinct rows, optionally of a projection."""
-    return (df.select(*_list(cols)) if cols else df).distinct()
+    return (df.select(*name_list(cols)) if cols else df).distinct()
 
 
 __all__ = [

@@ -15,15 +15,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-
-def _list(cols: str | Sequence[str]) -> list[str]:
-    return [cols] if isinstance(cols, str) else list(cols)
+from tracelens.functions.keys import name_list
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
                  how: str = "inner") -> DataFrame:
     """Equi-join on one or several key columns."""
-    return left.join(right, on=_list(keys), how=how)
+    return left.join(right, on=name_list(keys), how=how)
 
 
 def semi_join(df: DataFrame, keys_df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -37,5 +35,5 @@ def semi_join(df: DataFrame, keys_df: DataFrame, keys: str | Sequence[str]) -> D
     on it and the join adds no exchange.  Rows of ``df`` are never
     duplicated.
     """
-    keys = _list(keys)
+    keys = name_list(keys)
     return df.join(keys_df.select(*keys).distinct(), on=keys, how="left_semi")

@@ -13,11 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _list(cols: str | Sequence[str] | None) -> list[str]:
-    if cols is None:
-        return []
-    return [cols] if isinstance(cols, str) else list(cols)
+from tracelens.functions.keys import name_list
 
 
 def _order(by: Sequence[str], ascending: bool, tie_break: Sequence[str]):
@@ -28,16 +24,16 @@ def _order(by: Sequence[str], ascending: bool, tie_break: Sequence[str]):
 def sort_by(df: DataFrame, by: str | Sequence[str], *, ascending: bool = True,
             tie_break: str | Sequence[str] | None = None) -> DataFrame:
     """Total order by ``by`` then ``tie_break`` ascending."""
-    return df.orderBy(*_order(_list(by), ascending, _list(tie_break)))
+    return df.orderBy(*_order(name_list(by), ascending, name_list(tie_break)))
 
 
 def top_k(df: DataFrame, by: str | Sequence[str], k: int, *,
           tie_break: str | Sequence[str] | None = None) -> DataFrame:
     """The ``k`` rows with the largest ``by`` (O2)."""
-    return df.orderBy(*_order(_list(by), False, _list(tie_break))).limit(k)
+    return df.orderBy(*_order(name_list(by), False, name_list(tie_break))).limit(k)
 
 
 def bottom_k(df: DataFrame, by: str | Sequence[str], k: int, *,
              tie_break: str | Sequence[str] | None = None) -> DataFrame:
     """The ``k`` rows with the smallest ``by`` (O3)."""
-    return df.orderBy(*_order(_list(by), True, _list(tie_break))).limit(k)
+    return df.orderBy(*_order(name_list(by), True, name_list(tie_break))).limit(k)

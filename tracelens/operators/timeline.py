@@ -15,11 +15,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PIECES = 256
-
+from tracelens.functions.keys import name_list
 
-def _list(cols: str | Sequence[str]) -> list[str]:
-    return [cols] if isinstance(cols, str) else list(cols)
+PIECES = 256
 
 
 def _in_pieces(df: DataFrame, times: DataFrame, pieces: int) -> DataFrame:
@@ -47,7 +45,7 @@ def pending_periods(events: DataFrame, keys: str | Sequence[str], event_col: str
     Rows with a null time or a null key part are left out, other columns are ignored.
     ``time_col`` is a whole number; ``pieces`` has no effect on the result.
     """
-    keys, ev = _list(keys), F.col(event_col)
+    keys, ev = name_list(keys), F.col(event_col)
     start, end = list(start_codes), list(end_codes)
     key = [f"k{i}" for i in range(len(keys))]
     rows = events.where(ev.isin(start + end)).select(
@@ -99,7 +97,7 @@ def as_of_join(events: DataFrame, states: DataFrame, keys: str | Sequence[str],
     Events with a null time, and null keys, find nothing; states with a null time are left out.
     Repeated events give repeated rows.  ``pieces`` has no effect on the result.
     """
-    keys, values = _list(keys), list(values)
+    keys, values = name_list(keys), list(values)
     key = [f"k{i}" for i in range(len(keys))]
 
     def side(df: DataFrame, time: str, carried: bool) -> DataFrame:

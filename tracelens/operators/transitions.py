@@ -16,16 +16,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _list(cols: str | Sequence[str]) -> list[str]:
-    return [cols] if isinstance(cols, str) else list(cols)
+from tracelens.functions.keys import name_list
 
 
 def first_event_time(df: DataFrame, keys: str | Sequence[str], event_col: str,
                      codes: Sequence, time_col: str, name: str = "first_time") -> DataFrame:
     """Earliest ``time_col`` per key among rows whose event is in ``codes``."""
     return (df.where(F.col(event_col).isin(list(codes)))
-            .groupBy(*_list(keys)).agg(F.min(time_col).alias(name)))
+            .groupBy(*name_list(keys)).agg(F.min(time_col).alias(name)))
 
 
 def transition_delay(df: DataFrame, keys: str | Sequence[str], event_col: str,
@@ -35,14 +33,14 @@ def transition_delay(df: DataFrame, keys: str | Sequence[str], event_col: str,
     ev, t = F.col(event_col), F.col(time_col)
     start, end = list(start_codes), list(end_codes)
     firsts = (df.where(ev.isin(start + end))
-              .groupBy(*_list(keys))
+              .groupBy(*name_list(keys))
               .agg(F.min(F.when(ev.isin(start), t)).alias("_start"),
                    F.min(F.when(ev.isin(end), t)).alias("_end")))
     delay = F.col("_end") - F.col("_start")
     if time_scale != 1:
         delay = delay.cast("double") / F.lit(float(time_scale))
     return (firsts.where(F.col("_start").isNotNull() & F.col("_end").isNotNull())
-            .select(*_list(keys), delay.alias(name)))
+            .select(*name_list(keys), delay.alias(name)))
 
 
 def positive_delays(delays: DataFrame, col: str = "delay") -> DataFrame:
@@ -53,7 +51,7 @@ def positive_delays(delays: DataFrame, col: str = "delay") -> DataFrame:
 def mean_rows_per_key(df: DataFrame, job: str | Sequence[str], task: str | Sequence[str], *,
                       name: str = "avg_rows", below: float | None = None) -> DataFrame:
     """Rows per (job, task), averaged per job, optionally kept below a bound."""
-    job, task = _list(job), _list(task)
+    job, task = name_list(job), name_list(task)
     counts = df.groupBy(*job, *task).agg(F.count(F.lit(1)).alias("_n"))
     out = counts.groupBy(*job).agg(F.avg("_n").alias(name))
     if below is not None:

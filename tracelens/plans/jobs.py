@@ -160,10 +160,14 @@ JOBS = {"job1": job1, "job2": job2, "job3": job3, "job4": job4,
 
 
 def ingest(spark: SparkSession, trace_root: str, out_root: str,
-           tables: list[str] | None = None) -> dict[str, str]:
-    """Convert the trace's CSV tables to parquet below ``out_root`` (one folder each)."""
+           tables: list[str] | None = None, quarantine: str | None = None) -> dict[str, str]:
+    """Convert the trace's CSV tables to parquet below ``out_root`` (one folder each).
+
+    With ``quarantine`` malformed lines go to a folder each below that root, with file and reasons.
+    """
     root, out = trace_root.rstrip("/"), out_root.rstrip("/")
-    return {t: ingest_trace_table(spark, t, f"{root}/{t}", f"{out}/{t}")
+    return {t: ingest_trace_table(spark, t, f"{root}/{t}", f"{out}/{t}",
+                                  quarantine=f"{quarantine.rstrip('/')}/{t}" if quarantine else None)
             for t in (tables or sorted(TABLES))}
 
 
@@ -210,6 +214,8 @@ def main(argv: list[str] | None = None) -> None:
                    help="parquet: read tables written by 'ingest'")
     p.add_argument("--tables", default=None,
                    help="ingest only these tables (comma-separated; default: all five)")
+    p.add_argument("--quarantine", default=None,
+                   help="ingest: root folder for malformed lines, which are then not converted")
     p.add_argument("--shuffle-partitions", type=int, default=None,
                    help="initial shuffle partition count (AQE coalesces it down); "
                         "size it so a partition of the largest shuffle is ~128 MB, "
@@ -218,7 +224,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(shuffle_partitions=args.shuffle_partitions, app_name=f"tracelens-{args.job}")
     if args.job == "ingest":
         tables = [t.strip() for t in args.tables.split(",")] if args.tables else None
-        paths = ingest(spark, args.trace, args.out, tables)
+        paths = ingest(spark, args.trace, args.out, tables, args.quarantine)
     else:
         paths = run_job(spark, args.job, args.trace, args.out, sample=args.sample,
                         seed=args.seed, fmt=args.format, input_format=args.input_format)

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tracelens.sources.ledger import read_with_ledger
 from tracelens.sources.schemas import schema_of, string_schema
 
 
@@ -40,7 +41,9 @@ def read_trace_table(
     ``schema`` replaces the registry's for files laid out otherwise.
 
     Short rows are padded with nulls, extra trailing fields are dropped and
-    quoted fields may contain commas (Spark's PERMISSIVE CSV parser).  With
+    quoted fields may contain commas (Spark's PERMISSIVE CSV parser).  A field
+    that does not parse as its column's type is null, without a trace;
+    ``ledger.read_with_ledger`` keeps account of such lines.  With
     ``typed=False`` all columns are strings.  Sampling is skipped for a
     fraction of 1 or more, so filters still reach the scan.
     """
@@ -110,7 +113,7 @@ INGEST_PARTITIONS = {"task_events": ["event_type"], "job_events": ["event_type"]
 
 def ingest_trace_table(spark: SparkSession, table: str, src: str | list[str], dst: str, *,
                        mode: str = "overwrite", compression: str = "zstd",
-                       partition_by: list[str] | None = None) -> str:
+                       partition_by: list[str] | None = None, quarantine: str | None = None) -> str:
     """Convert a CSV trace table (plain or gzipped) to typed parquet, once.
 
     Gzipped CSV cannot be split (one task per file) and every scan parses
@@ -121,8 +124,16 @@ def ingest_trace_table(spark: SparkSession, table: str, src: str | list[str], ds
     rebalanced by event code: AQE splits a frequent code and joins rare ones
     by size, so the files of a code grow with its data and not with the number
     of input splits.  Other tables are written by the scanning tasks.
+
+    With ``quarantine`` (a folder) only whole rows are converted, and every malformed line is
+    written there with its file and reasons (``read_with_ledger``); without it, short rows
+    are padded and values that do not parse are null.
     """
-    df = read_trace_table(spark, table, src)
+    if quarantine is None:
+        df = read_trace_table(spark, table, src)
+    else:
+        df, lines = read_with_ledger(spark, table, src)
+        lines.write.mode(mode).parquet(quarantine)
     parts = INGEST_PARTITIONS.get(table, []) if partition_by is None else partition_by
     if parts:
         df = df.hint("rebalance", *[F.col(c) for c in parts])
