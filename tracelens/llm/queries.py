@@ -48,9 +48,17 @@ def op4_bloom_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.contamination(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    docs, bench = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    # Where the longest verbatim match of each document lies: in the document, and in the smallest item of equal ones.
+    place = F.struct(-F.col("n_words"), "word", "item_id", "item_word")
+    longest = decontaminate.longest_matches(spark, docs, bench).groupBy(F.col("doc_id").alias("id")).agg(F.min(place).alias("m"))
+    longest = longest.toDF("id", "m").select("id", (-F.col("m.col1")).alias("longest_words"), F.col("m.word").alias("longest_word"),
+                                             F.col("m.item_id").alias("longest_item"), F.col("m.item_word").alias("longest_item_word"))
+    found = decontaminate.contamination(spark, docs, bench)
+    found = found.join(longest, F.col("doc_id").eqNullSafe(F.col("id")), "left")
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated",
+                        "longest_words", "longest_word", "longest_item", "longest_item_word")
 
 
 def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,18 +206,26 @@ ORACLE_SQL: dict[str, str] = {
                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
         b AS (
-            SELECT item_id, regexp_extract_all(
+            SELECT row_number() OVER () AS b, item_id, regexp_extract_all(
                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
         item AS (
-            SELECT item_id, n, array_to_string(list_slice(words, i, i + n - 1), ' ') AS run
-            FROM (SELECT item_id, words, least(13, len(words)) AS n FROM b WHERE len(words) > 0),
+            SELECT b, i, item_id, n, array_to_string(list_slice(words, i, i + n - 1), ' ') AS run
+            FROM (SELECT b, item_id, words, least(13, len(words)) AS n FROM b WHERE len(words) > 0),
                  unnest(range(1, len(words) - n + 2)) AS t(i)),
         sizes AS (SELECT DISTINCT n FROM item),
         win AS (
             SELECT doc_id, i, n, array_to_string(list_slice(words, i, i + n - 1), ' ') AS run
             FROM d, sizes, unnest(range(1, greatest(len(words) - n + 2, 1))) AS t(i)),
-        hit AS (SELECT win.doc_id, win.i, win.n, item.item_id FROM win JOIN item ON win.run = item.run),
+        hit AS (SELECT win.doc_id, win.i, win.n, item.item_id, item.b, item.i AS j FROM win JOIN item ON win.run = item.run),
+        diagonal AS (
+            SELECT doc_id, b, item_id, i, j, n, i - row_number() OVER (PARTITION BY doc_id, b, i - j ORDER BY i) AS island FROM hit),
+        match AS (
+            SELECT doc_id, item_id, min(i) - 1 AS word, min(j) - 1 AS item_word, count(*) - 1 + max(n) AS n
+            FROM diagonal GROUP BY doc_id, b, item_id, i - j, island),
+        longest AS (
+            SELECT * FROM match QUALIFY row_number() OVER (
+                PARTITION BY doc_id ORDER BY n DESC, word, CAST(item_id AS VARCHAR), item_word) = 1),
         word AS (
             SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hit, unnest(range(0, n)) AS t(k) GROUP BY doc_id),
         found AS (
@@ -217,8 +233,10 @@ ORACLE_SQL: dict[str, str] = {
             FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hit) GROUP BY doc_id)
         SELECT d.doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(items, '')) AS items_sha256,
-               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
-        FROM d LEFT JOIN word ON d.doc_id = word.doc_id LEFT JOIN found ON d.doc_id = found.doc_id""",
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated, longest.n AS longest_words,
+               longest.word AS longest_word, CAST(longest.item_id AS VARCHAR) AS longest_item, longest.item_word AS longest_item_word
+        FROM d LEFT JOIN word ON d.doc_id = word.doc_id LEFT JOIN found ON d.doc_id = found.doc_id
+               LEFT JOIN longest ON d.doc_id = longest.doc_id""",
     "op9_streaming_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
