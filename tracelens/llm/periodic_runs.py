@@ -221,7 +221,7 @@ def find_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     null and repeated ones too; every row is judged by itself.  Other columns are ignored.
     An empty table gives no rows.  Words are told apart by 64-bit hashes.
 
-    One map without a shuffle.  A text is held whole in its task: a block takes some 30 times its
+    One map without a shuffle.  A text is held whole in its task: a block takes some 40 times its
     bytes, a very long text is a block of its own.
     """
     if min_exponent < 2:
