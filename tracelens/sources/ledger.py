@@ -41,9 +41,13 @@ def read_with_ledger(spark: SparkSession, table: str, path: str | list[str], *,
     n = len(schema.fields)
     text = StructType([StructField(f"f{i}", StringType()) for i in range(n + 1)])
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
-    parsed = lines.withColumn("p", F.from_csv(F.concat("line", F.lit("," + _END)), F.lit(text.toDDL()),
-                                              {"mode": "PERMISSIVE", "sep": ","}))
-    odd = F.length(F.regexp_replace("line", '[^"]', "")) % 2 == 1  # the end then lies inside the open quote
+    # Parsed as one field more than there should be.  The generator keeps the optimiser from copying the
+    # parser into every use of a field.
+    parts = F.from_csv(F.concat("line", F.lit("," + _END)), F.lit(text.toDDL()), {"mode": "PERMISSIVE", "sep": ","})
+    quotes = F.length(F.regexp_replace("line", '[^"]', "")) % 2 == 1
+    parsed = lines.select("file", "line", F.explode(F.array(F.struct(parts.alias("p"), quotes.alias("odd")))).alias("r")) \
+        .select("file", "line", "r.p", "r.odd")
+    odd = F.col("odd")  # the end then lies inside the open quote
     at = F.coalesce(*[F.when(F.col(f"p.f{i}") == _END, F.lit(i)) for i in range(n, -1, -1)])
     fields = F.when(~odd, F.coalesce(at, F.lit(n + 1)))
     faults, columns = [], []
