@@ -13,6 +13,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 HIDDEN = frozenset("""script style template noscript head title textarea select option button iframe svg object
     canvas audio video datalist""".split())
 RAW = frozenset("script style textarea title iframe".split())
+LINKING = frozenset("a img link script iframe area form source".split())
 # Start tags that may stand in a head, or are ignored there; any other ends it, as text does.
 IN_HEAD = frozenset("html head title base basefont bgsound link meta noframes noscript script style template".split())
 CLOSES_P = frozenset("""address article aside blockquote center details dialog dir div dl fieldset figcaption figure
@@ -150,12 +151,15 @@ class Page:
     ``parent``, ``tag``, ``against``, ``favour`` by node; node 0 is the page itself.
     Text outside every block element is a ``p`` of its own, up to the next block at top level.
     ``pieces``: (node, text, inside a link) in page order; breaks between blocks are pieces of one space.
+    ``linking``: (name, attributes) of every tag that may link, shown or not; ``title``: the source of the first title.
     """
 
     def __init__(self, source: str):
         self.parent, self.tag = [-1], ["#page"]
         self.against, self.favour = [False], [False]
         self.pieces: list[tuple[int, str, bool]] = []
+        self.linking: list[tuple[str, str]] = []
+        self.title: str | None = None
         stack, hidden = _Stack(), _Stack()  # hidden: open hidden elements
         tags, loose = Tags(source), 0  # loose: node of the text at top level, since the last block there
         link, at, size = False, 0, len(source)
@@ -198,11 +202,15 @@ class Page:
                 continue
             if in_head() and tag not in IN_HEAD:
                 hidden.cut(0)
+            if tag in LINKING:
+                self.linking.append((tag, attributes))
             if tag in HIDDEN:
                 if tag == "head" and hidden.items:
                     continue
                 if tag in RAW:
-                    at = raw_end(source, tag, at)[1]
+                    begin, (end, at) = at, raw_end(source, tag, at)
+                    if tag == "title" and self.title is None:
+                        self.title = source[begin:end]
                 elif not attributes.endswith("/") or tag not in ("svg", "object"):
                     if tag != "option":
                         hidden.push(tag, 0)

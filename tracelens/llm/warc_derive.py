@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelens.llm.dom import RAW, Page, Tags, raw_end, unescape
+from tracelens.llm.dom import Page, unescape
 from tracelens.llm.files import whole_file
 from tracelens.llm.store import columns_first
 
@@ -28,7 +28,6 @@ RESPONSE = "record_id string, target_uri string, date string, payload_digest str
 DERIVED = ("warc_type string, record_id string, refers_to string, target_uri string, date string, "
            "source_digest string, digest_ok boolean, block_digest string, content_type string, "
            "content_length long, header string, block string")
-_LINKING = frozenset("a img link script iframe area form source".split())
 _ATTRIBUTE = re.compile(r"""([^\s=>"'/]++)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _TARGETS = frozenset("href src action".split())
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
@@ -49,27 +48,18 @@ def _uri(text: str | None) -> str:
     return _CONTROL.sub(lambda m: f"%{ord(m[0]):02X}", text or "")
 
 
-def links_and_title(source: str) -> tuple[list[dict], str]:
-    """The first target of each linking tag, and the text of the first title, from one pass over the tags.
+def links_and_title(page: Page) -> tuple[list[dict], str]:
+    """The first target of each linking tag, and the text of the first title.
 
     Comments and the content of scripts, styles and the like hold no tags.
     """
-    tags, at, links, title = Tags(source), 0, [], None
-    while found := tags.next(at):
-        _, at, closing, tag, attributes = found
-        if closing or not tag:
-            continue
-        if tag in _LINKING:
-            for m in _ATTRIBUTE.finditer(attributes):
-                if m[1].lower() in _TARGETS and m.lastindex > 1:
-                    links.append({"path": f"{tag}@/{m[1].lower()}", "url": unescape(m[m.lastindex])})
-                    break
-        if tag in RAW:
-            end, after = raw_end(source, tag, at)
-            if tag == "title" and title is None:
-                title = " ".join(unescape(source[at:end]).split())
-            at = after
-    return links, title or ""
+    links = []
+    for tag, attributes in page.linking:
+        for m in _ATTRIBUTE.finditer(attributes):
+            if m[1].lower() in _TARGETS and m.lastindex > 1:
+                links.append({"path": f"{tag}@/{m[1].lower()}", "url": unescape(m[m.lastindex])})
+                break
+    return links, " ".join(unescape(page.title or "").split())
 
 
 def header(fields: list[tuple[str, str]]) -> str:
@@ -158,7 +148,8 @@ def derive_one(record_id: str, target: str | None, date: str | None, digest: str
     is_text = is_html or kind.startswith("text/")
     source = decode(decompressed(payload, fields.get("content-encoding", [])), kind) if is_text else ""
     uri, date = _uri(target), date or ""
-    links, title = links_and_title(source) if is_html else ([], "")
+    page = Page(source) if is_html else None
+    links, title = links_and_title(page) if page else ([], "")
     meta = {"Envelope": {
         "WARC-Header-Metadata": {"WARC-Type": "response", "WARC-Record-ID": record_id, "WARC-Target-URI": uri,
                                  "WARC-Date": date, "WARC-Payload-Digest": digest or own},
@@ -167,8 +158,7 @@ def derive_one(record_id: str, target: str | None, date: str | None, digest: str
             "Entity-Length": len(payload), "Entity-Digest": own,
             "HTML-Metadata": {"Title": title, "Links": links}}}}}
     blocks = [("metadata", "application/json", json.dumps(meta, ensure_ascii=False))]
-    if is_html:
-        page = Page(source)
+    if page:
         blocks.append(("conversion", "text/plain; charset=utf-8", page.text([True] * len(page.tag))))
     elif is_text:
         blocks.append(("conversion", "text/plain; charset=utf-8", source))
