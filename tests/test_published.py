@@ -6,11 +6,12 @@ import os
 import subprocess
 import sys
 import textwrap
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import ROOT, rows
+from conftest import ROOT, plan_text, rows
 from tracelens.operators.partials import merged_counts, merged_sketches, update_states
 from tracelens.session import shared_dir
 from tracelens.sources import ledger as L
@@ -104,6 +105,32 @@ def test_every_line_is_a_row_or_in_quarantine(spark, untidy):
     assert summary["ok"] == 3 and summary[L.SHORT] >= 4 and summary["time: not a bigint"] == 2
 
 
+def test_the_summary_reads_each_line_once(spark, untidy, tmp_path):
+    got = L.read_with_ledger(spark, "machine_events", untidy)
+    assert plan_text(L.ledger_summary(got)).count("FileScan text") == 1
+    bad = [r["reasons"] for r in got.quarantined.collect()]
+    counts = Counter(reason for reasons in bad for reason in reasons) | Counter(ok=got.rows.count())
+    assert {r["reason"]: r["n_lines"] for r in L.ledger_summary(got).collect()} == counts
+    assert got.judged.count() == len(LINES) + 1
+    (tmp_path / "short.csv").write_text("1\n2\n")
+    none = L.read_with_ledger(spark, "machine_events", str(tmp_path / "short.csv"))
+    assert rows(L.ledger_summary(none)) == [("ok", 0), (L.SHORT, 2)]
+
+
+def test_only_what_looks_like_a_number_is_cast(spark):
+    marks = ["", "+", "-", ".", "e", "E5", "e-3", "d", "F", "L", "x", "0x", "0x1p3", "0X1.8P-1f", "nan", "NaN", "-Infinity", "+inf", "INF", "infinit",
+             "_", ",", "\t", "\n", "\x00", "\x7f", "\x1f", "\x85", "\u00a0", "\u2028", "\u0661", "\uff11", " "]
+    numbers = ["", "0", "-0", "7", "12", "1 2", "1-2", "2024-01-01", "1.5", ".5", "5.", "1.2.3", "1e400", "127", "128", "-129", "32768", "-32768",
+               "2147483647", "2147483648", "-2147483648", "-2147483649", "9223372036854775807", "9223372036854775808", "-9223372036854775808",
+               "-9223372036854775809", "999999999999999999", "0000000000000000000000042", "99999999999999999999"]
+    texts = spark.createDataFrame([(a + n + b,) for n in numbers for a in marks for b in marks], "s string")
+    kinds = ["tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date", "decimal(10,2)"]
+    for k in kinds:
+        both = texts.select("s", L._typed(F.col("s"), k).alias("a"), F.col("s").try_cast(k).alias("b"))
+        assert both.where(~F.col("a").eqNullSafe(F.col("b"))).collect() == [], k
+    assert "try_cast" in plan_text(texts.select(L._typed(F.col("s"), "int"))) and texts.where(L._typed(F.col("s"), "int").isNotNull()).count() > 50
+
+
 def test_tolerated_faults_are_rows(spark, untidy):
     got = L.read_with_ledger(spark, "machine_events", untidy, tolerate=[L.SHORT, L.LONG, "time"])
     assert got.rows.count() + got.quarantined.count() == len(LINES) + 1

@@ -371,9 +371,12 @@ def _faulty_csv(spark, sf) -> str:
     """Machine events as CSV of which four lines in five have a fault, by line number."""
     key = (spark.sparkContext.applicationId, sf + "#faulty")
     if key not in _WRITTEN:
+        def text(c):
+            return F.coalesce(F.col(c).cast("string"), F.lit("null"))
+
         number = F.when(F.col("l_linenumber") % 5 == 2, F.lit("x")).otherwise(F.lit(""))
-        start = F.concat(number, F.format_string("%d,%d,%d", "l_orderkey", "l_partkey", "l_linenumber"))
-        name = F.format_string("%s, %s", "l_returnflag", "l_linestatus")
+        start = F.concat(number, F.concat_ws(",", text("l_orderkey"), text("l_partkey"), text("l_linenumber")))
+        name = F.concat_ws(", ", text("l_returnflag"), text("l_linestatus"))
         whole = F.concat(start, F.lit(',"'), name, F.lit('",'), F.col("l_returnflag"), F.lit(","),
                          F.col("l_quantity").cast("int").cast("string"))
         line = F.when(F.col("l_linenumber") % 5 == 0, start).when(F.col("l_linenumber") % 5 == 1, F.concat(whole, F.lit(",spare"))) \

@@ -132,8 +132,9 @@ def ingest_trace_table(spark: SparkSession, table: str, src: str | list[str], ds
     if quarantine is None:
         df = read_trace_table(spark, table, src)
     else:
-        df, lines = read_with_ledger(spark, table, src)
-        lines.write.mode(mode).parquet(quarantine)
+        ledger = read_with_ledger(spark, table, src)
+        ledger.quarantined.write.mode(mode).parquet(quarantine)
+        df = ledger.rows
     parts = INGEST_PARTITIONS.get(table, []) if partition_by is None else partition_by
     if parts:
         df = df.hint("rebalance", *[F.col(c) for c in parts])
