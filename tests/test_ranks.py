@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 from collections import Counter
 
@@ -117,6 +118,33 @@ def test_sample_is_exact_and_independent_of_the_layout(spark, monkeypatch, small
             ranks.exact_sample(df, **bad)
 
 
+@pytest.mark.parametrize("digits, last", [(4, 10_000), (4, 3), (1, 3), (2, 0)])
+def test_sample_is_selected_by_the_first_digits_of_its_hash(spark, monkeypatch, digits, last):
+    monkeypatch.setattr(ranks, "SMALL_SAMPLE", 0)
+    monkeypatch.setattr(ranks, "PASS_DIGITS", digits)
+    monkeypatch.setattr(ranks, "LAST_ROWS", last)
+    df = spark.range(900).select((F.col("id") % 300).alias("a"), "id").unionByName(spark.range(200).select(F.lit(None).alias("a"), "id"))
+    key = {a: hashlib.md5(f"5|{'\\N' if a is None else a}".encode()).hexdigest()[:15] for a in [None, *range(300)]}
+    order = sorted(rows(df), key=lambda r: (key[r[0]], r[1]))
+    nulls = next(i for i, r in enumerate(order) if r[0] is None)  # 200 rows of one hash
+    for k in (1, 3, 4, nulls, nulls + 77, nulls + 200, 1099):
+        assert sorted(map(str, order[:k])) == sorted(map(str, rows(ranks.exact_sample(df, rows=k, keys=["a"], seed=5)))), k
+
+
+def test_a_sample_reads_its_table_a_few_times(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "SMALL_SAMPLE", 100)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(30_000).mapInArrow(counted, "id long")
+    assert len(ranks.exact_sample(df, fraction=0.2, keys=["id"]).collect()) == 6000
+    assert read.value <= 4 * 30_000  # counted, two passes of the selection, the sample
+
+
 def test_sample_takes_every_row_equally_often(spark):
     df = spark.range(40)
     times = Counter(r["id"] for seed in range(60) for r in ranks.exact_sample(df, rows=10, seed=seed).collect())

@@ -21,6 +21,7 @@ from tracelens.sources.sinks import checkpoint_table
 PIVOTS = 63  # values that cut a range in one round of narrowing
 LAST_ROWS = 10_000  # distinct values that the last step of a selection fetches at most
 SMALL_SAMPLE = 10_000  # rows that tasks keep each, and one task merges
+HASH_DIGITS, PASS_DIGITS = 15, 4  # hex digits of a sample's hash, and those that one pass of its selection settles
 
 
 def value_ranks(df: DataFrame, col: str, *, rank: str = "rank2") -> DataFrame:
@@ -146,9 +147,27 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], *, name: st
 
 
 def sample_hash(keys: Sequence[str], seed: int) -> Column:
-    """A 60-bit number from md5 of the seed and the keys' text: the same in every engine that has md5."""
+    """The first 15 hex digits of md5 of the seed and the keys' text: the same in every engine that has md5, in the order of the number."""
     text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("\\N")) for k in keys])
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+    return F.substring(F.md5(text), 1, HASH_DIGITS)
+
+
+def _hash_at(marked: DataFrame, col: str, n: int, place: int) -> tuple[str, int, int]:
+    """(hash, rows below it, its rows): the hash at a place (from 0) of the sorted hashes of ``n`` rows.
+
+    Rows are counted by the hash's first digits, so that a pass leaves about one row in 65,536; once at most
+    ``LAST_ROWS`` are left they are counted by the whole hash.  Each pass fetches 65,536 counts at most.
+    """
+    prefix, below = "", 0
+    while len(prefix) < HASH_DIGITS:
+        width = HASH_DIGITS if n <= LAST_ROWS else min(len(prefix) + PASS_DIGITS, HASH_DIGITS)
+        left = marked.where(F.col(col).startswith(prefix)) if prefix else marked
+        counts = left.groupBy(F.substring(col, 1, width).alias("first")).agg(F.count(F.lit(1)).alias("n"))
+        for prefix, n in sorted(map(tuple, counts.collect())):
+            if place < below + n:
+                break
+            below += n
+    return prefix, below, n
 
 
 def exact_sample(df: DataFrame, *, rows: int | None = None, fraction: float | None = None, keys: Sequence[str] | None = None,
@@ -161,8 +180,8 @@ def exact_sample(df: DataFrame, *, rows: int | None = None, fraction: float | No
     gets the number of rows that it stands for.  Asking for more rows than there are gives all.
 
     Up to ``SMALL_SAMPLE`` rows every task keeps its own smallest; beyond, the bounding hash is
-    selected exactly and the sample is a filter (``select_positions``), with only the rows of the
-    bounding hash itself sorted.
+    selected exactly, in two passes up to 600 million rows, and the sample is a filter.  Only if the
+    rows of the bounding hash are not all taken, they are sorted.
     """
     if (rows is None) == (fraction is None):
         raise ValueError("give either rows or fraction")
@@ -176,8 +195,10 @@ def exact_sample(df: DataFrame, *, rows: int | None = None, fraction: float | No
     elif k <= SMALL_SAMPLE:
         some = marked.orderBy("_h", *df.columns).limit(k)
     else:
-        bound = select_positions(marked, "_h", [k - 1])[0]
-        below = marked.where(F.col("_h") < F.lit(bound))
-        some = below.unionByName(marked.where(F.col("_h") == F.lit(bound)).orderBy(*df.columns).limit(k - below.count()))
+        bound, below, tied = _hash_at(marked, "_h", n, k - 1)
+        some = marked.where(F.col("_h") <= F.lit(bound))
+        if below + tied > k:
+            some = marked.where(F.col("_h") < F.lit(bound)).unionByName(
+                marked.where(F.col("_h") == F.lit(bound)).orderBy(*df.columns).limit(k - below))
     some = some.drop("_h")
     return some.withColumn(weight, F.lit(n / k if k else None).cast("double")) if weight else some
