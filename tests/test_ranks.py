@@ -86,6 +86,12 @@ def test_quantiles_without_values(spark):
     assert rows(ranks.exact_quantiles(spark.createDataFrame([(None,)], "v double"), "v", [0.5])) == [(0.5, None)]
 
 
+def test_a_value_is_placed_among_the_cuts(spark):
+    for cuts in ([], [4], [0, 3, 4, 9], [2, 5, 6, 7, 8, 11, 30]):
+        got = spark.range(-1, 32).select(ranks._place(F.col("id"), cuts)).collect()
+        assert [r[0] for r in got] == [2 * sum(c < x for c in cuts) + (x in cuts) for x in range(-1, 32)]
+
+
 def test_the_last_step_of_a_selection_is_bounded(spark, monkeypatch):
     fetched = []
     monkeypatch.setattr(ranks, "LAST_ROWS", 50)

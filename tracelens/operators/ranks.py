@@ -76,6 +76,15 @@ def rank_correlation(df: DataFrame, x: str, y: str, name: str = "rank_corr", dig
     return sums.select((value if digits is None else round_half_up(value, digits)).alias(name))
 
 
+def _place(x: Column, cuts: list, first: int = 0) -> Column:
+    """2j for a value between cuts j - 1 and j of ascending cuts, 2j + 1 for one equal to cut j, found by halving."""
+    if not cuts:
+        return F.lit(2 * first)
+    mid = len(cuts) // 2
+    return F.when(x < F.lit(cuts[mid]), _place(x, cuts[:mid], first)).when(x == F.lit(cuts[mid]), F.lit(2 * (first + mid) + 1)) \
+        .otherwise(_place(x, cuts[mid + 1:], first + mid + 1))
+
+
 def select_positions(df: DataFrame, col: str, positions: Sequence[int]) -> list:
     """The values at the given places (from 0) of the sorted values of ``col``, nulls left out.
 
@@ -110,13 +119,15 @@ def select_positions(df: DataFrame, col: str, positions: Sequence[int]) -> list:
         pivots = rows.agg(*[F.percentile_approx(F.when(inside(lo, hi), x), probs, 1000).alias(f"c{i}")
                             for i, ((lo, hi, _, _), _) in enumerate(asked)]).first()
         cuts = [sorted(set(c)) for c in pivots]
-        counts = rows.agg(*[count(F.lit(v)).alias(f"{kind}{i}_{j}") for i, c in enumerate(cuts) for j, v in enumerate(c)
-                            for kind, count in (("l", lambda v: F.count_if(x < v)), ("u", lambda v: F.count_if(x <= v)))]).first()
-        ranges = {}
+        # Counted by the place among all cuts, which ascend as the ranges do: 2j between the cuts before and at j, 2j + 1 at j.
+        counts = rows.groupBy(_place(x, [v for c in cuts for v in c]).alias("at")).agg(F.count(F.lit(1)).alias("n"))
+        sizes = counts.agg(F.map_from_entries(F.collect_list(F.struct("at", "n")))).first()[0]
+        ranges, at, upto = {}, 0, 0
         for i, ((lo, hi, below, n), places) in enumerate(asked):
             end = below + n
-            for j, v in enumerate(cuts[i]):
-                less, upto = counts[f"l{i}_{j}"], counts[f"u{i}_{j}"]
+            for v in cuts[i]:
+                less = upto + sizes.get(at, 0)
+                at, upto = at + 2, less + sizes.get(at + 1, 0)
                 ranges[(lo, v, below, less - below)] = {p for p in places if below <= p < less}
                 found |= {p: v for p in places if less <= p < upto}
                 lo, below = v, upto
